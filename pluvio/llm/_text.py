@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text handled at once; a longer single text is a slice of its own.
-SLICE_BYTES = 2 << 20
+#: Bytes and rows of text handled at once; a longer single text is a slice of its own.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
 
 _BYTE = np.zeros(256, np.uint8)
 _BYTE[48:58] = np.arange(48, 58)
@@ -130,18 +130,22 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of a slice stay below SLICE_BYTES, or are one text."""
+    """The batches cut so that the texts of a slice stay below SLICE_BYTES and SLICE_ROWS, or are one text."""
     for batch in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
             done = size[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, "right")))
+            to = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, "right"))))
             yield batch.slice(at, to - at)
             at = to
 
 
-def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+def list_offsets(counts: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+    return pa.array(offsets)
+
+
+def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(list_offsets(counts), pa.array(values, kind))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup, sql
+from . import decontaminate, near_dedup, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,9 +16,21 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup,)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": sql.NEAR_DEDUP}
+    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE}

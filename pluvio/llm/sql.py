@@ -10,7 +10,7 @@ def words_of(text: str) -> str:
 NEAR_DEDUP = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {words_of("text")} AS ws FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -22,3 +22,18 @@ SELECT w.doc_id,
   k.class_id
 FROM w JOIN (SELECT a, min(b) AS class_id FROM r GROUP BY a) k ON k.a = w.doc_id
 """
+
+DECONTAMINATE = f"""
+WITH w AS (SELECT doc_id, {words_of("text")} AS ws FROM documents),
+b AS (SELECT item_id, {words_of("text")} AS ws FROM benchmark),
+b1 AS (SELECT item_id, ws, least(13, len(ws)) AS n FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))) AS g FROM b1),
+lens AS (SELECT DISTINCT n FROM win),
+pos AS (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, lens WHERE len(ws) >= n),
+hit AS (SELECT doc_id, i, pos.n, item_id FROM pos JOIN win ON win.n = pos.n AND win.g = array_to_string(ws[i:i + pos.n - 1], ' ')),
+h AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
