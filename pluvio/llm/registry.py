@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, sql
+from . import bpe, decontaminate, near_dedup, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +28,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary() -> str:
+    """Path of the public byte-level BPE vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary())
+    return bpe.decode(encoded, vocabulary()).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
