@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ._text import slices
 
@@ -250,7 +251,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
     ids_col: binary as encode() gives it. Null ids give a null text; special tokens are spelled out.
     """
     held = encoded.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))
-    schema = encoded.schema.add("decoded", "string")
+    schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     at = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dedup, sql
+from . import bpe, decontaminate, near_dedup, secrets, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(_table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, secrets.KINDS))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kinds, x["rank"]), x["start"], x["end"])), ",")
+    counts = [F.size(F.filter("base", lambda x, k=k: x["rank"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS[:3])]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def vocabulary() -> str:
     """Path of the public byte-level BPE vocabulary."""
     import public_tokenizers
@@ -43,7 +51,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op8_bpe)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op4_secrets, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
