@@ -37,3 +37,30 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+def licenses() -> str:
+    from . import licenses as lic
+
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ", ".join(f"({q(s)}, {q(i)})" for s, i in sorted(lic.known_sentences().items()))
+    rules = ", ".join(f"{{'licence': {q(a)}, 'ids': {q(b)}}}" for a, b in lic.all_rules())
+    joined = "".join(f"UNION ALL SELECT doc_id, i, {k} AS k, array_to_string(p[i:i + {k - 1}], ' ') AS s FROM spot WHERE len(p) >= i + {k - 1}\n" for k in range(1, lic.WRAP + 1))
+    return f"""
+WITH RECURSIVE known(s, id) AS (VALUES {known}),
+rules AS (SELECT unnest([{rules}]) AS r, generate_subscripts([{rules}], 1) AS nr),
+t AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+  '[.!?;:]+([\\t\\n\\v\\f\\r ]|$)', chr(10), 'g'), '[^a-z0-9.+/\\n-]+', ' ', 'g'), '([0-9])\\.([0-9])', '\\1_\\2', 'g') AS t FROM documents),
+p AS (SELECT doc_id, list_filter(list_transform(string_split(replace(translate(t, '.', ''), '_', '.'), chr(10)), lambda p: trim(p, ' +/-')), lambda p: p <> '') AS p FROM t),
+spot AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM p),
+c AS ({joined.removeprefix("UNION ALL ")}),
+hit AS (SELECT doc_id, i, arg_max(id, k) AS id FROM c JOIN known USING (s) GROUP BY doc_id, i),
+s AS (SELECT doc_id, string_agg('<' || id || '>', '' ORDER BY i) AS ids FROM hit GROUP BY doc_id),
+run AS (
+  SELECT doc_id, ids AS rest, CAST([] AS VARCHAR[]) AS got, 0 AS nr FROM s
+  UNION ALL
+  SELECT doc_id, replace(rest, r.ids, '|'), CASE WHEN contains(rest, r.ids) AND NOT list_contains(got, r.licence) THEN list_append(got, r.licence) ELSE got END, rules.nr
+  FROM run JOIN rules ON rules.nr = run.nr + 1)
+SELECT documents.doc_id, coalesce(s.ids, '') AS sentence_ids, coalesce(array_to_string(got, ','), '') AS licences, coalesce(rest, '') AS unmatched
+FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN (SELECT * FROM run WHERE nr = (SELECT max(nr) FROM rules)) USING (doc_id)
+"""
