@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, near_dedup, secrets, sql
+from . import bpe, decontaminate, knn, licenses, near_dedup, secrets, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return knn.top_k(vectors, vectors.where("vec_id % 50 = 0")).withColumnRenamed("id", "vec_id")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary())
     return bpe.decode(encoded, vocabulary()).select(
@@ -55,8 +60,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op8_bpe)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op7_top_k, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op3_licenses": sql.licenses()}
+    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}

@@ -64,3 +64,15 @@ run AS (
 SELECT documents.doc_id, coalesce(s.ids, '') AS sentence_ids, coalesce(array_to_string(got, ','), '') AS licences, coalesce(rest, '') AS unmatched
 FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN (SELECT * FROM run WHERE nr = (SELECT max(nr) FROM rules)) USING (doc_id)
 """
+
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
