@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, knn, licenses, near_dedup, secrets, sql
+from . import bpe, decontaminate, knn, licenses, near_dedup, secrets, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Rules of the URL query: (host, path, verdict).
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).select(
+        F.col("id").alias("page_id"), "host", "path", "rule", "verdict"
+    )
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return knn.top_k(vectors, vectors.where("vec_id % 50 = 0")).withColumnRenamed("id", "vec_id")
@@ -60,8 +70,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op7_top_k, op8_bpe)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op6_url_filter, op7_top_k, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}
+    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op6_url_filter": sql.url_filter(URL_RULES), "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}

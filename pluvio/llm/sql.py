@@ -76,3 +76,32 @@ p AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
 """
+
+
+def url_filter(rules: list[tuple[str, str, str]]) -> str:
+    """Rules and aliases; the pages' canonical links and refresh redirects connect addresses."""
+    values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rules)
+    after = lambda u: f"CASE WHEN contains({u}, '://') THEN substr({u}, strpos({u}, '://') + 3) ELSE '' END"
+    host = lambda u: f"translate(regexp_extract({after(u)}, '^[^/?#]*'), '{UPPER}', '{LOWER}')"
+    path = lambda u: f"regexp_extract({after(u)}, '^[^/?#]*([^?#]*)', 1)"
+    address = lambda u: f"CASE WHEN contains({u}, '://') THEN {host(u)} || regexp_extract({after(u)}, '^[^/?#]*([^#]*)', 1) END"
+    fits = "(host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)"
+    return f"""
+WITH RECURSIVE rules(h, p, v) AS (VALUES {values}),
+u AS (SELECT page_id, coalesce(url, '') AS url, html FROM pages),
+d AS (SELECT page_id, {host("url")} AS host, {path("url")} AS path, {address("url")} AS address, url, html FROM u),
+t AS (SELECT address AS source, url, unnest([
+  regexp_extract(regexp_extract(html, '(?i)<link\\b[^>]*?\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
+  regexp_extract(regexp_extract(html, '(?i)<meta\\b[^>]*?\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)]) AS t
+  FROM d WHERE address IS NOT NULL),
+e AS (SELECT DISTINCT source, {address("regexp_replace(replace(t, '&amp;', '&'), '#.*$', '')")} AS target FROM t WHERE contains(t, '://')),
+both_ways AS (SELECT source AS a, target AS b FROM e WHERE source <> target UNION SELECT target, source FROM e WHERE source <> target),
+r AS (SELECT a, a AS b FROM both_ways UNION SELECT r.a, both_ways.b FROM r JOIN both_ways ON r.b = both_ways.a),
+named AS (SELECT DISTINCT b AS address, {host("'x://' || b")} AS host, {path("'x://' || b")} AS path FROM r),
+own AS (SELECT address, arg_max(v, (length(h || p), v = 'allow')) AS v FROM named JOIN rules ON {fits} GROUP BY address),
+alias AS (SELECT r.a AS address, CASE WHEN bool_or(own.v = 'allow') THEN 'allow' ELSE 'block' END AS v FROM r JOIN own ON own.address = r.b GROUP BY r.a),
+best AS (SELECT page_id, host AS h0, path AS p0, arg_max(h || p, (length(h || p), v = 'allow')) AS rule, arg_max(v, (length(h || p), v = 'allow')) AS v
+  FROM d JOIN rules ON {fits} GROUP BY ALL)
+SELECT d.page_id, d.host, d.path, best.rule, coalesce(best.v, alias.v, 'allow') AS verdict
+FROM d LEFT JOIN best ON d.page_id = best.page_id AND d.host = best.h0 AND d.path = best.p0 LEFT JOIN alias USING (address)
+"""
