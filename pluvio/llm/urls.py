@@ -116,9 +116,11 @@ def judge_urls(
         names = names.withColumn("node", F.xxhash64("address"))
         group = components(edges.select(F.xxhash64("source").alias("a"), F.xxhash64("target").alias("b")))
         target = F.concat(F.lit("x://"), F.col("address"))
-        own = names.withColumn("hit", longest_rule(host_of(target), path_of(target), rules)).join(group, "node")
-        decided = own.groupBy("component").agg(F.max(F.col("hit.verdict") == "allow").alias("allow"), F.max(F.col("hit.verdict") == "block").alias("block")).where("allow or block")
-        alias = own.join(decided, "component").select("address", F.when(F.col("allow"), "allow").otherwise("block").alias("alias_verdict"))
+        own = names.withColumns({"host": host_of(target), "path": path_of(target)})
+        own = shared(own.select("address", "node", longest_rule(F.col("host"), F.col("path"), rules)["verdict"].alias("own"))).join(group, "node")
+        # "allow" sorts before "block".
+        decided = own.groupBy("component").agg(F.min("own").alias("alias_verdict")).where("alias_verdict is not null")
+        alias = own.join(decided, "component").select("address", "alias_verdict")
         judged = judged.join(alias, address(F.col("url")) == F.col("address"), "left")
         verdict = F.coalesce(verdict, "alias_verdict")
     return judged.select("id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"))
