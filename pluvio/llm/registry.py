@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, knn, licenses, near_dedup, secrets, sql, urls
+from . import bpe, decontaminate, html_text, knn, labelled_pages, licenses, near_dedup, secrets, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = html_text.train(labelled_pages.labelled_pages())
+    return html_text.main_text(_table(spark, sf_dir, "pages"), model).withColumn("n_chars", F.length("text").cast("long"))
+
+
 #: Rules of the URL query: (host, path, verdict).
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -70,7 +75,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op6_url_filter, op7_top_k, op8_bpe)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
