@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, knn, labelled_pages, licenses, near_dedup, secrets, sql, urls
+from . import bpe, decontaminate, html_text, knn, labelled_pages, licenses, near_dedup, quality, secrets, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,8 +74,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe, op9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
