@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A condition on the columns of two sides, given their prefixes.
+Linked = Callable[[str, str], Column]
+
 
 def shared(df: DataFrame) -> DataFrame:
     """`df` written to the checkpoint folder that all executors share, with its lineage cut.
@@ -54,35 +57,36 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def bucket_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame], fits: Callable[[str, str], Column] | None = None) -> DataFrame:
+def bucket_links(members: DataFrame, evidence: DataFrame, linked: Linked, measures: Callable[[str, str], dict[str, Column]], fits: Linked) -> DataFrame:
     """(node, component) by all true links between members of a bucket, without emitting all pairs of a bucket.
 
     members: bucket, id, rep, probe; one row for every member but the bucket's representative `rep`. Two members can be
-    linked if one of them at least was indexed (probe is false); representatives are indexed. verify: pairs (a, b) to
-    those that are truly linked. fits(left prefix, right prefix): a cheap necessary condition on columns of `members`.
+    linked if one of them at least was indexed (probe is false); representatives are indexed. evidence: id and what a link
+    is judged by. linked, measures, fits take the prefixes of two sides: whether their evidence links them; measures of the
+    right side against the representative on the left; and a necessary condition for a link from the measures of both.
 
     First each member is held against its bucket's representative, which joins copies of one text to it in one row per
-    member. Only pairs of members that are still in different components are then held against each other, so that a
-    bucket of any size costs its members plus those pairs, and no link between different components is missed.
+    member. Only members that are still in different components are then held against each other, in the condition of a
+    join that puts out links alone: no link between different components is missed, and no pair is a row.
     """
+
+    def side(prefix: str, df: DataFrame) -> DataFrame:
+        return df.select([F.col(c).alias(prefix + c) for c in df.columns])
+
     members = shared(members)
-    star = verify(members.select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct())
-    star = shared(star.select("a", "b"))
-    of = components(star)
+    pairs = members.select(F.col("rep").alias("l_id"), F.col("id").alias("r_id")).distinct()
+    pairs = pairs.join(side("r_", evidence), "r_id").join(side("l_", evidence), "l_id")
+    star = shared(pairs.select("l_id", "r_id", linked("l_", "r_").alias("linked"), *[v.alias(k) for k, v in measures("l_", "r_").items()]))
+    links = star.where("linked").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    of = components(links)
     joined = members.join(of.withColumnsRenamed({"node": "id", "component": "of_id"}), "id", "left").join(
         of.withColumnsRenamed({"node": "rep", "component": "of_rep"}), "rep", "left"
     )
     joined = joined.withColumns({"of_id": F.coalesce("of_id", "id"), "of_rep": F.coalesce("of_rep", "rep")})
     apart = joined.where("of_id <> of_rep").select("bucket").distinct()
-    inside = shared(joined.join(apart, "bucket", "left_semi"))
-    left, right = inside.select([F.col(c).alias(f"l_{c}") for c in inside.columns]), inside.select([F.col(c).alias(f"r_{c}") for c in inside.columns])
+    inside = joined.drop("of_rep").join(apart, "bucket", "left_semi").join(star.drop("linked").withColumnsRenamed({"l_id": "rep", "r_id": "id"}), ["rep", "id"])
+    inside = inside.join(evidence, "id")
     on = (F.col("l_bucket") == F.col("r_bucket")) & (F.col("l_of_id") != F.col("r_of_id")) & ~F.col("l_probe")
-    on &= F.col("r_probe") | (F.col("l_id") < F.col("r_id"))
-    on &= fits("l_", "r_") if fits else F.lit(True)
-    cross = left.join(right, on).select(F.least("l_id", "r_id").alias("a"), F.greatest("l_id", "r_id").alias("b")).distinct()
-    more = verify(cross).select("a", "b")
-    return components(star.unionByName(more))
-
-
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    on &= (F.col("r_probe") & (F.col("l_id") != F.col("r_id"))) | (F.col("l_id") < F.col("r_id"))
+    cross = side("l_", inside).join(side("r_", inside), on & fits("l_", "r_") & linked("l_", "r_"))
+    return components(links.unionByName(cross.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))))

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import bucket_links, shared
@@ -144,20 +144,35 @@ def near_duplicates(
         .select("id", F.posexplode("bands").alias("band", "value"))
         .select("id", F.xxhash64("band", "value").alias("bucket"))
     )
-    heads = banded.groupBy("bucket").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = banded.join(heads, "bucket").where("id <> rep").select("bucket", "id", "rep", F.lit(False).alias("probe"))
+    full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = shared(banded.join(full, "bucket"))
+    # The member that stands in the largest buckets is the most like the others: it represents its buckets.
+    weight = crowded.groupBy("id").agg(F.sum("n").alias("weight"))
+    heads = crowded.join(weight, "id").groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("weight"), "id")).alias("rep"))
+    members = crowded.drop("n").join(heads, "bucket").where("id <> rep").withColumn("probe", F.lit(False))
     members = shared(members)
     wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
     sets = shared(
         shingle_sets(docs.join(wanted.withColumnRenamed("id", id_col), id_col, "left_semi"), id_col, text_col, size).dropDuplicates(["id"])
     )
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("id").alias("a"), F.col("words").alias("wa"))
-        b = sets.select(F.col("id").alias("b"), F.col("words").alias("wb"))
-        sized = pairs.join(b, "b").join(a, "a").withColumn("common", F.size(F.array_intersect("wa", "wb")))
-        return sized.where(F.col("common") >= similarity * (F.size("wa") + F.size("wb") - F.col("common")) - 1e-9).select("a", "b")
+    def enough(common: Column, sizes: Column) -> Column:
+        return common >= similarity * (sizes - common) - 1e-9
 
-    classes = bucket_links(members, verify).select(F.col("node").alias("copy_of"), F.col("component").alias("class_id"))
+    def common(left: str, right: str) -> Column:
+        return F.size(F.array_intersect(f"{left}words", f"{right}words"))
+
+    def linked(left: str, right: str) -> Column:
+        return enough(common(left, right), F.size(f"{left}words") + F.size(f"{right}words"))
+
+    def measures(left: str, right: str) -> dict[str, Column]:
+        return {"common": common(left, right), "n": F.size(f"{right}words")}
+
+    def fits(left: str, right: str) -> Column:
+        """What two sets share is shared with the representative by both, or by neither."""
+        c, d, n, m = (F.col(x) for x in (f"{left}common", f"{right}common", f"{left}n", f"{right}n"))
+        return enough(F.least(c, d) + F.least(n - c, m - d), n + m)
+
+    classes = bucket_links(members, sets, linked, measures, fits).select(F.col("node").alias("copy_of"), F.col("component").alias("class_id"))
     known = first.join(classes, "copy_of", "left").select("k1", "k2", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))
     return sketch.select("id", "k1", "k2").join(known, ["k1", "k2"], "left").select("id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"))
