@@ -3,27 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A condition on the columns of two sides, given their prefixes.
 Linked = Callable[[str, str], Column]
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """`df` written to the checkpoint folder that all executors share, with its lineage cut.
+def _folder(spark: SparkSession) -> str:
+    """The folder that the cluster's machines share: spark.checkpoint.dir; where unset, as in tests, one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
 
-    The folder is the session's spark.checkpoint.dir. Where that is unset, as in tests, one under the warehouse is set.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def shared(df: DataFrame) -> DataFrame:
+    """`df` checkpointed in the shared folder, with its lineage cut; the files go when the frame is no longer used."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as a compressed table in the shared folder and read again: for tables of which parts are read often."""
+    path = f"{_folder(df.sparkSession)}/tables/{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges (hi, lo) with hi > lo."""
     both = edges.select(F.col("hi").alias("x"), F.col("lo").alias("y")).unionByName(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, knn, labelled_pages, licenses, near_dedup, quality, secrets, sql, urls
+from . import bpe, decontaminate, html_text, knn, labelled_pages, licenses, line_dedup, near_dedup, quality, secrets, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +79,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", F.array_join("dropped", ",").alias("dropped_lines"), "kept_text")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe, op9_quality)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe, op9_quality, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op6_url_filter": sql.url_filter(URL_RULES), "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}
+    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op6_url_filter": sql.url_filter(URL_RULES), "op10_line_dedup": sql.LINE_DEDUP, "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}

@@ -105,3 +105,22 @@ best AS (SELECT page_id, host AS h0, path AS p0, arg_max(h || p, (length(h || p)
 SELECT d.page_id, d.host, d.path, best.rule, coalesce(best.v, alias.v, 'allow') AS verdict
 FROM d LEFT JOIN best ON d.page_id = best.page_id AND d.host = best.h0 AND d.path = best.p0 LEFT JOIN alias USING (address)
 """
+
+
+_COUNTED = "etaonirshdu"
+LINE_DEDUP = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, n - 1 AS n, trim(line, ' ') AS line FROM (SELECT doc_id, generate_subscripts(p, 1) AS n, unnest(p) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents))),
+d AS (SELECT line, min((doc_id, n)) AS first, length(line) AS size, {", ".join(f"length(line) - length(replace(line, '{c}', '')) AS n{i}" for i, c in enumerate(_COUNTED))}
+  FROM l WHERE length(line) >= 20 GROUP BY line),
+links AS (SELECT a.line AS a, b.line AS b FROM d a JOIN d b ON b.size BETWEEN a.size - 2 AND a.size + 2 AND a.line <> b.line
+  WHERE {" + ".join(f"abs(a.n{i} - b.n{i})" for i in range(len(_COUNTED)))} <= 4 AND levenshtein(a.line, b.line) <= 2),
+r AS (SELECT a, a AS b FROM links UNION SELECT r.a, links.b FROM r JOIN links ON r.b = links.a),
+c AS (SELECT r.a AS line, min(d.first) AS class_first FROM r JOIN d ON d.line = r.b GROUP BY r.a),
+k AS (SELECT l.doc_id, l.n, d.line IS NULL OR (l.doc_id, l.n) = coalesce(c.class_first, d.first) AS kept
+  FROM l LEFT JOIN d USING (line) LEFT JOIN c USING (line))
+SELECT documents.doc_id, CAST(count(*) AS BIGINT) AS n_lines, coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) FILTER (WHERE NOT kept), '') AS dropped_lines,
+  CASE WHEN bool_and(kept) THEN any_value(text) ELSE coalesce(string_agg(string_split(text, chr(10))[n + 1], chr(10) ORDER BY n) FILTER (WHERE kept), '') END AS kept_text
+FROM documents JOIN k USING (doc_id) GROUP BY documents.doc_id
+"""
