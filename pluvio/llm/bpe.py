@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from ._text import slices
 
@@ -208,18 +208,19 @@ class _Block:
         return self.tokens[_spread(self.offset, every)] if len(every) else every, np.bincount(row, size, len(places)).astype(np.int64)
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids) of every row; ids is the binary string of the ids as little-endian unsigned 32-bit integers.
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_tokens, ids) and the columns `keep` of every row; ids is the binary string of the ids as little-endian unsigned 32-bit integers.
 
     vocabulary: path of a byte-level BPE file in the tokenizers JSON format, read by the driver and broadcast. Special
     strings of the file are single tokens wherever they stand in a text, and nothing is added, cut or padded. A null or
     empty text has no ids. Texts are whole: a text of any length is encoded in one piece. Other columns are not read.
     """
+    kept = docs.select(*keep).schema if keep else StructType([])
     held = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block(parse(held.value))
-        ids: list[pa.Array] = []
+        held_rows: list[pa.RecordBatch] = []
         places: list[np.ndarray] = []
         size = 0
 
@@ -227,22 +228,24 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
             tokens, counts = block.encode(places)
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]) * 4, pa.int64())
             packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, offsets.buffers()[1], pa.py_buffer(tokens.astype("<u4").tobytes())])
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(counts, pa.int64()), packed.cast(pa.binary())], ["id", "n_tokens", "ids"])
+            rows = pa.concat_batches(held_rows)
+            return pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts, pa.int64()), packed.cast(pa.binary()), *rows.columns[2:]], ["id", "n_tokens", "ids", *kept.names])
 
         for batch in slices(batches, 1):
-            ids.append(batch.column(0))
+            held_rows.append(batch)
             for text in batch.column(1).to_pylist():
                 places.append(block.cut(text or ""))
                 size += len(text or "")
             if size >= BLOCK_CHARS:
                 yield done()
-                ids, places, size = [], [], 0
+                held_rows, places, size = [], [], 0
                 if len(block.place) > KEPT_TOKENS:
                     block.forget()
-        if ids:
+        if held_rows:
             yield done()
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, n_tokens long, ids binary")
+    schema = StructType([StructField("id", LongType()), StructField("n_tokens", LongType()), StructField("ids", BinaryType()), *kept.fields])
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *keep).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
