@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 Linked = Callable[[str, str], Column]
 
 
+#: Whether Spark removes a query's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _folder(spark: SparkSession) -> str:
     """The folder that the cluster's machines share: spark.checkpoint.dir; where unset, as in tests, one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -27,10 +31,19 @@ def shared(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """`df` written as a compressed table in the shared folder and read again: for tables of which parts are read often."""
-    path = f"{_folder(df.sparkSession)}/tables/{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written as a compressed table in the shared folder and read again: for tables of which parts are read often.
+
+    The shuffle files of the job go when it ends, as the table takes their place.
+    """
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/tables/{uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _stars(edges: DataFrame) -> DataFrame:

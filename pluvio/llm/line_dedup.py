@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._graph import bucket_links, stored
+from ._graph import bucket_links, shared, stored
 
 #: Edits (insertions, deletions, substitutions of characters) up to which two lines are copies.
 MAX_EDITS = 2
@@ -34,54 +34,80 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment(line: Column, length: Column, i: int, shift: int, edits: int) -> Column:
-    """The substring where segment i of a line of this length stands, moved by `shift`. The last segments take the rest."""
-    short = F.floor(length / (edits + 1))
-    longer = length % (edits + 1)
-    first_long = edits + 1 - longer
-    start = short * i + F.greatest(F.lit(i) - first_long, F.lit(0)) + 1 + shift
-    size = short + F.when(F.lit(i) >= first_long, 1).otherwise(0)
-    return F.substring(line, start.cast("int"), size.cast("int"))
+def looked_up(lines: DataFrame, edits: int) -> tuple[DataFrame, list[str], list[str]]:
+    """lines (id, line) with a column for each hash to look up, the names of all of them, and of a line's own segments.
+
+    The last segments take what the division of a line's length leaves over. The columns come in short steps, since one
+    long expression would make a method that the JVM does not compile; the line is cut at four bytes a character, so that
+    a cut costs the same wherever it is.
+    """
+    n = edits + 1
+    out = lines.select("id", F.length("line").alias("chars"), F.encode("line", "UTF-32").alias("wide"))
+    out = out.withColumns({f"n{d}": F.col("chars") - d for d in range(n)})
+    rest = {f"r{d}": F.col(f"n{d}") % n for d in range(n)}
+    out = out.withColumns({**rest, **{f"q{d}": F.call_function("div", F.col(f"n{d}"), F.lit(n)).cast("int") for d in range(n)}})
+    cuts = {}
+    for d in range(n):
+        for i in range(n):
+            cuts[f"s{d}_{i}"] = (F.col(f"q{d}") * i + F.greatest(F.col(f"r{d}") - (n - i), F.lit(0))) * 4 + 1
+            cuts[f"z{d}_{i}"] = (F.col(f"q{d}") + F.when(F.col(f"r{d}") >= n - i, 1).otherwise(0)) * 4
+    out = out.withColumns(cuts)
+    places = probes(edits)
+    hashed = [F.xxhash64(f"n{d}", F.lit(i), F.substring(F.col("wide"), F.col(f"s{d}_{i}") + 4 * shift, F.col(f"z{d}_{i}"))).alias(f"b{k}") for k, (d, i, shift) in enumerate(places)]
+    return out.select("id", *hashed), [f"b{k}" for k in range(len(places))], [f"b{k}" for k, (d, _, shift) in enumerate(places) if d == 0 and shift == 0]
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def bounded_distance(a: Column, b: Column, edits: int) -> Column:
-    """The edit distance of two arrays of characters if it is at most `edits`; some larger number otherwise.
+    """The edit distance of two arrays if it is at most `edits`; some larger number otherwise.
 
-    A band of 2 * edits + 1 diagonals is held in the bits of two bigints, the vertical differences of one column of the
-    distance matrix; each character of b moves the band by one row and column. Needs both to have `edits` elements or more.
+    Both must have `edits` elements or more. What they begin and end with in common is left out, but for `edits` elements.
     """
+    same = lambda x, y: F.zip_with(x, y, lambda p, q: p.eqNullSafe(q))
+    run = lambda x, y: F.coalesce(F.nullif(F.array_position(same(x, y), False), F.lit(0).cast("long")) - 1, F.least(F.size(x), F.size(y)).cast("long")).cast("int")
+
+    def trimmed(head: Column, tail: Column) -> Column:
+        start, end = F.greatest(head - edits, F.lit(0)), F.greatest(F.least(tail, F.least(F.size(a), F.size(b)) - head) - edits, F.lit(0))
+        cut = lambda x: F.slice(x, start + 1, F.size(x) - start - end)
+        return _let(F.struct(cut(a).alias("a"), cut(b).alias("b")), lambda p: _banded(p["a"], p["b"], edits))
+
+    return _let(run(a, b), lambda head: _let(run(F.reverse(a), F.reverse(b)), lambda tail: trimmed(head, tail)))
+
+
+def _banded(a: Column, b: Column, edits: int) -> Column:
+    """A band of 2 * edits + 1 diagonals of the distance matrix, bit-parallel: the vertical differences of one column are
+    held in the bits of two bigints, and each element of b moves the band by one row and column."""
     n, m = F.size(a), F.size(b)
     top, mask = 2 * edits, (1 << (2 * edits + 1)) - 1
-    one = lambda f: lambda x: F.get(F.transform(F.array(x), f), F.lit(0))
     bit = lambda x, k: F.call_function("shiftright", x, k).bitwiseAND(F.lit(1))
 
     def matches(j: Column) -> Column:
-        """Bits of the rows j - edits .. j + edits whose character is b's j-th."""
-        c = F.get(b, j - 1)
-        bits = [F.when(F.get(a, j - edits + k - 1) == c, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(2 * edits + 1)]
-        return sum(bits[1:], bits[0])
+        """Bits of the rows j - edits .. j + edits whose element is b's j-th."""
+        bits = lambda c: [F.when(F.get(a, j - edits + k - 1) == c, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(2 * edits + 1)]
+        return _let(F.get(b, j - 1), lambda c: sum(bits(c)[1:], bits(c)[0]))
 
     def step(s: Column, j: Column) -> Column:
         vp, vn, d = s["vp"], s["vn"], s["d"]
 
         def with_matches(pm: Column) -> Column:
-            d0 = (((pm.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(pm).bitwiseOR(vn)).bitwiseAND(F.lit(mask))
-            return one(with_diagonal)(d0)
+            return _let((((pm.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(pm).bitwiseOR(vn)).bitwiseAND(F.lit(mask)), with_diagonal)
 
         def with_diagonal(d0: Column) -> Column:
             hp = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))).bitwiseAND(F.lit(mask))
             hn = d0.bitwiseAND(vp)
             down = F.call_function("shiftright", d0, F.lit(1))
-            inside = 1 - bit(d0, F.lit(top))
             last = (n - j + edits).cast("int")
-            along = bit(hp, last) - bit(hn, last)
             return F.struct(
                 hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(F.lit(mask)).alias("vp"),
                 down.bitwiseAND(hp).alias("vn"),
-                (d + F.when(j <= n - edits, inside).otherwise(along)).cast("long").alias("d"),
+                (d + F.when(j <= n - edits, 1 - bit(d0, F.lit(top))).otherwise(bit(hp, last) - bit(hn, last))).cast("long").alias("d"),
             )
 
-        return F.when(d > 2 * edits + m - n, s).otherwise(one(with_matches)(matches(j)))
+        return F.when(d > 2 * edits + m - n, s).otherwise(_let(matches(j), with_matches))
 
     start = F.struct(F.lit(mask & ~((1 << edits) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), F.lit(edits).cast("long").alias("d"))
     return F.aggregate(F.sequence(F.lit(1), m), start, step)["d"]
@@ -97,43 +123,51 @@ def _position() -> Column:
     return F.col("id").cast("decimal(20,0)") * F.lit(1 << _LINE_BITS).cast("decimal(10,0)") + F.col("n").cast("decimal(10,0)")
 
 
+#: What stands for a line in joins.
+_NAMES = ("id", "k2", "k3")
+
+
+def _key() -> dict[str, Column]:
+    return dict(zip(_NAMES, (F.xxhash64("line"), F.hash("line"), F.length("line")), strict=True))
+
+
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(line, first, times, class_first) of every distinct line of `min_chars` characters or more.
+    """(id, k2, k3, line, first, times, class_first) of every distinct line of `min_chars` characters or more.
 
     first: position of its first occurrence; times: its occurrences; class_first: position of the first occurrence of any
-    line connected to it by lines within `edits` of one another. A position is id * 2**32 + line number, a decimal. Lines
-    of null ids are left out. Lines are known by a 64-bit hash while they are joined.
+    line connected to it by lines within `edits` of one another. A position is the document's id * 2**32 + line number, a
+    decimal. Lines of null ids are left out. id, k2 and k3 are two hashes and the length of the line, which stand for it
+    in joins; the links are between ids.
     """
     if min_chars < 3 * (edits + 1):
         raise ValueError("min_chars must be three times edits + 1 or more")
     lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= min_chars)
     distinct = lines.groupBy("line").agg(F.min(_position()).alias("first"), F.count("*").alias("times"))
-    distinct = stored(distinct.withColumn("id", F.xxhash64("line")))
-    length = F.length("line")
-    looked_up = probes(edits)
-    bucket = lambda delta, i, shift: F.xxhash64(length - delta, F.lit(i), segment(F.col("line"), length - delta, i, shift, edits))
-    own = distinct.select("id", F.explode(F.array(*[bucket(0, i, 0) for i in range(edits + 1)])).alias("bucket"))
-    heads = own.groupBy("bucket").agg(F.min("id").alias("rep"))
-    probed = distinct.select(
-        "id",
-        F.explode(F.array(*[F.struct(bucket(*p).alias("bucket"), F.lit(p[0] > 0 or p[2] != 0).alias("probe")) for p in looked_up])).alias("p"),
-    ).select("id", "p.bucket", "p.probe")
+    distinct = stored(distinct.withColumns(_key()))
+    hashed, all_, own = looked_up(distinct.select("id", "line"), edits)
+    heads = hashed.select("id", F.explode(F.array(*own)).alias("bucket")).groupBy("bucket").agg(F.min("id").alias("rep"))
+    probed = hashed.select("id", F.posexplode(F.array(*[*own, *[c for c in all_ if c not in own]])).alias("place", "bucket"))
+    probed = probed.select("id", "bucket", (F.col("place") >= len(own)).alias("probe"))
     members = stored(probed.join(heads.hint("shuffle_hash"), "bucket").where("id <> rep"))
     wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
-    counts = [(F.length("line") - F.length(F.translate("line", c, ""))).alias(f"n_{c}") for c in COUNTED]
-    evidence = stored(distinct.select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"])).select("id", "line", length.alias("chars"), *counts)
+    letters = F.transform(F.split("line", ""), F.ascii)
+    length = F.length("line")
+    counts = [(length - F.length(F.replace("line", F.lit(c), F.lit("")))).alias(f"n_{c}") for c in COUNTED]
+    near = distinct.select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    evidence = stored(near.select("id", length.alias("chars"), letters.alias("letters"), *counts))
 
     def alike(left: str, right: str) -> Column:
-        apart = sum((F.abs(F.col(f"{left}n_{c}") - F.col(f"{right}n_{c}")) for c in COUNTED[1:]), F.abs(F.col(f"{left}n_{COUNTED[0]}") - F.col(f"{right}n_{COUNTED[0]}")))
-        return (F.abs(F.col(f"{left}chars") - F.col(f"{right}chars")) <= edits) & (apart <= 2 * edits)
+        apart = [F.abs(F.col(f"{left}n_{c}") - F.col(f"{right}n_{c}")) for c in COUNTED]
+        return (F.abs(F.col(f"{left}chars") - F.col(f"{right}chars")) <= edits) & (sum(apart[1:], apart[0]) <= 2 * edits)
 
     def linked(left: str, right: str) -> Column:
-        return alike(left, right) & (bounded_distance(F.split(f"{left}line", ""), F.split(f"{right}line", ""), edits) <= edits)
+        return alike(left, right) & (bounded_distance(F.col(f"{left}letters"), F.col(f"{right}letters"), edits) <= edits)
 
     groups = bucket_links(members, evidence, linked, lambda *_: {}, alike).withColumnRenamed("node", "id")
-    named = distinct.join(groups, "id", "left")
-    first = named.where("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
-    return named.join(first, "component", "left").select("line", "first", "times", F.coalesce("class_first", "first").alias("class_first"))
+    placed = shared(groups.join(distinct.select("id", "first"), "id"))
+    first = placed.groupBy("component").agg(F.min("first").alias("class_first"))
+    named = placed.join(first, "component").groupBy("id").agg(F.min("class_first").alias("class_first"))
+    return distinct.join(named, "id", "left").withColumn("class_first", F.coalesce("class_first", "first"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -145,11 +179,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     what is dropped in one is dropped in all of them. A text of any length and number of lines is treated alike.
     """
     groups = line_classes(docs, id_col, text_col, edits, min_chars)
-    repeated = groups.where((F.col("times") > 1) | (F.col("first") != F.col("class_first"))).select("line", "class_first")
+    repeated = groups.where((F.col("times") > 1) | (F.col("first") != F.col("class_first"))).select(*_NAMES, "class_first")
     lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= min_chars)
-    key = lambda df, name: df.withColumns({f"{name}1": F.xxhash64("line"), f"{name}2": F.hash("line"), f"{name}3": F.length("line")}).drop("line")
-    found = key(lines, "k").join(key(repeated, "k"), ["k1", "k2", "k3"]).where(_position() != F.col("class_first"))
-    dropped = found.groupBy("id").agg(F.array_sort(F.collect_set("n")).alias("dropped")).withColumnRenamed("id", "_dropped_id")
+    found = lines.select(_position().alias("position"), F.col("id").alias("doc"), "n", *[v.alias(k) for k, v in _key().items()])
+    found = found.join(repeated, list(_NAMES)).where("position <> class_first").withColumnRenamed("doc", "_dropped_id")
+    dropped = found.groupBy("_dropped_id").agg(F.array_sort(F.collect_set("n")).alias("dropped"))
     joined = docs.join(dropped, docs[id_col].cast("long") == dropped["_dropped_id"], "left").drop("_dropped_id")
     text = F.col(text_col).cast("string")
     pieces = F.split(F.coalesce(text, F.lit("")), "\n")
