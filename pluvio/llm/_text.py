@@ -6,15 +6,20 @@ that is a property of single bytes, so a whole batch of texts is cut with a byte
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Bytes and rows of text handled at once; a longer single text is a slice of its own.
-SLICE_BYTES, SLICE_ROWS = 1 << 20, 512
+SLICE_BYTES, SLICE_ROWS = 1 << 18, 256
+#: Rows of an Arrow batch between the JVM and Python.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _BYTE = np.zeros(256, np.uint8)
 _BYTE[48:58] = np.arange(48, 58)
@@ -141,6 +146,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.
             at = to
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """df.mapInArrow with small batches, as texts can be long: the session's limit is lowered to BATCH_ROWS."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def list_offsets(counts: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])

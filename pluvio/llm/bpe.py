@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from ._text import slices
+from ._text import map_arrow, slices
 
 #: Pre-tokens: contractions, letters, digits and other marks with one leading space, and white space.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text encoded at once, and pre-tokens whose tokens a worker keeps between blocks.
-BLOCK_CHARS, KEPT_TOKENS = 12 << 20, 400_000
+BLOCK_CHARS, KEPT_TOKENS = 6 << 20, 300_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -170,13 +170,13 @@ class _Block:
             words = self.find(text)
         place = self.place
         try:
-            return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+            return np.fromiter(map(place.__getitem__, words), np.int32, len(words))
         except KeyError:
             for word in words:
                 if word not in place:
                     place[word] = len(place)
                     self.fresh.append(word)
-            return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+            return np.fromiter(map(place.__getitem__, words), np.int32, len(words))
 
     def learn(self) -> None:
         """Encode the pre-tokens met since the last call."""
@@ -245,7 +245,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
             yield done()
 
     schema = StructType([StructField("id", LongType()), StructField("n_tokens", LongType()), StructField("ids", BinaryType()), *kept.fields])
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *keep).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *keep), run, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
@@ -266,5 +266,5 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
                 texts.append(None if packed is None else v.data[_spread(v.offset, ids)].tobytes().decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return map_arrow(encoded, run, schema)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._text import flat, list_offsets, lists, slices, words
+from ._text import flat, list_offsets, lists, map_arrow, slices, words
 
 WINDOW_WORDS = 13
 #: A shard is indexed when it holds this many benchmark words, or as much text as SHARD_BYTES.
@@ -218,7 +218,7 @@ def _scan(texts: DataFrame, test: Windows) -> DataFrame:
         if shard.n:
             yield shard.result()
 
-    return texts.mapInArrow(run, SCHEMA)
+    return map_arrow(texts, run, SCHEMA)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block_bytes: int) -> Iterator[Windows]:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import bucket_links, shared
-from ._text import flat, lists, mix, shingles, slices, text_keys, words
+from ._text import flat, lists, map_arrow, mix, shingles, slices, text_keys, words
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -100,7 +100,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
                 ["id", "k1", "k2", "bands"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, k1 long, k2 long, bands array<long>")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")), run, "id long, k1 long, k2 long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -112,7 +112,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Data
             row, element, _ = _weighted(*shingles(w, size), "count")
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(element.view(np.int64), np.bincount(row, minlength=batch.num_rows), pa.int64())], ["id", "words"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, words array<long>")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")), run, "id long, words array<long>")
 
 
 def near_duplicates(

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import Words, flat, lists, mix, slices, span_sums, words
+from ._text import flat, lists, map_arrow, mix, slices, span_sums, Words, words
 from ._text import _WORDS as _POWERS
 
 #: Documents that the scorer is fitted on at most (about), and labelled documents that the toxic lexicon is counted on.
@@ -289,7 +289,7 @@ def toxic_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
     # The drawn labels are bounded by `labelled`.
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).join(F.broadcast(drawn), "doc_id").select("toxic", "t")
-    found = held.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    found = map_arrow(held, count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     best = found.where((F.col("toxic") >= LEXICON_LEAST) & (F.col("toxic") > 20 * F.col("clean"))).orderBy(F.desc("toxic"), "word").limit(LEXICON)
     return [r.word for r in best.collect()]
 
@@ -308,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         for batch in slices(batches, 1):
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in votes(profile(batch.column(1), _INSULT_HASHES, held.value))], ["quality", "toxic"])
 
-    counted = texts.mapInArrow(vote, "quality long, toxic long").groupBy("quality", "toxic").count().toPandas()
+    counted = map_arrow(texts, vote, "quality long, toxic long").groupBy("quality", "toxic").count().toPandas()
     models = [label_model(counted[c].to_numpy(np.int64), counted["count"].to_numpy(float), n) for c, n in (("quality", len(QUALITY_LABELLERS)), ("toxic", len(TOXIC_LABELLERS)))]
     n = int(counted["count"].sum())
 
@@ -319,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int64()) for v in votes(p)), lists(bucket, counts, pa.int32())], ["quality", "toxic", "bucket"])
 
     drawn = texts.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(1, n))))
-    rows = drawn.mapInArrow(example, "quality long, toxic long, bucket array<int>").toArrow().combine_chunks()
+    rows = map_arrow(drawn, example, "quality long, toxic long, bucket array<int>").toArrow().combine_chunks()
     bucket = rows["bucket"].combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
     counts = np.diff(bucket.offsets.to_numpy()) if rows.num_rows else np.zeros(0, np.int64)
     heads = [fit_linear(bucket.flatten().to_numpy(), counts, m.posterior(rows[c].to_numpy())) for m, c in zip(models, ("quality", "toxic"), strict=True)]
@@ -341,4 +341,4 @@ def judge(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
             s[none] = [1.0, 0.0]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s[:, 0]), pa.array(s[:, 1]), pa.array((s < threshold).all(axis=1))], ["id", "low_quality", "toxic", "keep"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, low_quality double, toxic double, keep boolean")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")), run, "id long, low_quality double, toxic double, keep boolean")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import slices
+from ._text import map_arrow, slices
 
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -157,7 +157,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 tested.append(more)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, _BASE), pa.array(tested, _TESTED)], ["id", "base", "tested"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")), 
         run, "id long, base array<struct<start:int,rank:int,end:int>>, tested array<struct<start:int,end:int,stratum:string,p_class:int>>"
     )
 
