@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pluvio.plans import forecasting, housekeeping, monitoring, spatial, verification
+from pluvio.plans._registry import QUERIES, SQL
+
+__all__ = ["flagship", "forecasting", "housekeeping", "monitoring", "oracle_sql", "queries", "spatial", "verification"]
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    """Ninety-day accumulation, anomaly, percentile score and drought class of every cell."""
+    return monitoring.sta2_scores(spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
