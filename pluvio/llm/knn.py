@@ -121,7 +121,7 @@ def top_k(
     id does not find that vector. If there are fewer candidates than k, all are returned; without any, the query has no
     rows. Vectors that are null or empty, have a null id, or hold null or non-finite components take no part; vectors of
     another dimension than the query's are no candidates. Rows that repeat an id are one candidate each. Scores beyond the
-    range of a long are undefined. Queries that repeat an id are one query. Other columns are not read.
+    range of a long are its ends. Queries that repeat an id are one query. Other columns are not read.
 
     The driver holds the pivots and one summary row for each of their cells, whatever the number of vectors.
     """
@@ -185,7 +185,7 @@ def top_k(
             for at in range(0, len(q), 256):
                 found += _best(qi[at : at + 256], _scores(q[at : at + 256], x), xi, k)
         query, near, score = (np.concatenate(c) for c in zip(*found, strict=True))
-        return pa.table({"query_id": pa.array(query, pa.int64()), "id": pa.array(near, pa.int64()), "score": pa.array([int(s) for s in score], pa.int64())})
+        return pa.table({"query_id": pa.array(query, pa.int64()), "id": pa.array(near, pa.int64()), "score": pa.array([max(-(2**63), min(2**63 - 1, int(s))) for s in score], pa.int64())})
 
     shape = "id long, dim int, v array<double>, cell int, block int, piece int"
     key = ["dim", "cell", "block", "piece"]
