@@ -24,8 +24,16 @@ _BOXES = {
 class _Writer:
     def __init__(self, random: Random):
         self.random = random
+        self.used: set[str] = set()
 
     def words(self, least: int, most: int, stop: bool) -> str:
+        """Random words that the page does not hold yet, so that its text tells content from the rest."""
+        while (text := self._words(least, most, stop)) in self.used:
+            pass
+        self.used.add(text)
+        return text
+
+    def _words(self, least: int, most: int, stop: bool) -> str:
         r = self.random
         out = []
         for _ in range(r.randint(least, most)):
@@ -50,22 +58,22 @@ class _Writer:
 
         if r.random() < 0.8:
             title = add("h1", self.words(2, 16, r.random() < 0.6))
-            html += self.tagged("header", title) if r.random() < 0.15 else title
+            html += self.tagged("header", title) if r.random() < 0.01 else title
         for _ in range(r.choice([1, 1, 2, 3, 5, 8, 13])):
             kind = r.random()
             text = self.paragraph()
             if kind < 0.1:
                 html += add("h2", self.words(1, 8, False))
-            elif kind < 0.17:
+            elif kind < 0.22:
                 html += self.tagged("ul", "".join(add("li", self.words(1, 14, r.random() < 0.5)) for _ in range(r.randint(2, 5))))
-            elif kind < 0.25:
+            elif kind < 0.3:
                 link = self.words(1, 3, False)
                 html += add("p", f"{text} {link}", f"{escape(text)} <a href='/x'>{escape(link)}</a>")
-            elif kind < 0.3:
+            elif kind < 0.35:
                 html += self.tagged("blockquote", add("p", text))
-            elif kind < 0.34:
+            elif kind < 0.39:
                 html += self.tagged("table", self.tagged("tr", add("td", text) + add("td", self.words(1, 6, False))))
-            elif kind < 0.38:
+            elif kind < 0.43:
                 html += self.tagged("div", add("p", text))
             else:
                 html += add("p", text)
@@ -77,10 +85,10 @@ class _Writer:
         """A box that is not content."""
         r = self.random
         links = "".join(f"<li><a href='/{i}'>{escape(self.words(1, 3, False))}</a></li>" for i in range(r.randint(2, 8)))
-        short = lambda: self.tagged("p", escape(self.words(2, 14, r.random() < 0.6)))
+        short = lambda: self.tagged(r.choice(["p", "p", "div", "span"]), escape(self.words(2, 14, r.random() < 0.6) if r.random() < 0.6 else self.paragraph()))
         inner = {
             "menu": lambda: self.tagged("ul", links),
-            "header": lambda: r.choice([self.tagged("div class='logo'", escape(self.words(1, 4, False))), short(), self.tagged("h1", escape(self.words(1, 4, False)))]) + (self.tagged("ul", links) if r.random() < 0.5 else ""),
+            "header": lambda: r.choice([self.tagged("div class='logo'", escape(self.words(1, 4, False))), short(), self.tagged("h1", escape(self.words(1, 4, False))), self.tagged("h1", escape(self.words(1, 4, False))) + short(), self.tagged("p", escape(self.paragraph()))]) + (self.tagged("ul", links) if r.random() < 0.5 else ""),
             "footer": lambda: r.choice(["&copy; " + escape(self.words(1, 20, r.random() < 0.6)), self.tagged("p", "&copy; 2020 " + escape(self.words(1, 9, False))), short() + self.tagged("ul", links)]),
             "side": lambda: r.choice([self.tagged("h3", escape(self.words(1, 4, False))) + self.tagged("ul", links), short(), self.tagged("p", escape(self.paragraph()))]),
             "advert": lambda: r.choice([escape(self.words(2, 20, r.random() < 0.8)), short(), f"<a href='/ad'>{escape(self.words(2, 8, False))}</a>"]),
@@ -94,10 +102,12 @@ class _Writer:
 
     def page(self) -> tuple[str, str]:
         r = self.random
+        self.used = set()
         article, lines = self.content()
         tag = r.choice(_CONTENT)
-        if r.random() < 0.15:
-            article += self.box("comments")
+        for kind, chance in (("comments", 0.2), ("form", 0.08), ("side", 0.08), ("footer", 0.06), ("menu", 0.05), ("advert", 0.08)):
+            if r.random() < chance:
+                article += self.box(kind)
         body = self.tagged(tag, article)
         some = lambda kinds, chance: "".join(self.box(k) for k in kinds if r.random() < chance)
         body = some(["advert", "side"], 0.25) + body + some(["side", "comments", "advert", "form"], 0.35)
@@ -108,7 +118,7 @@ class _Writer:
         return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>", "\n".join(lines)
 
 
-def labelled_pages(n: int = 1200, seed: int = 7) -> list[tuple[str, str]]:
+def labelled_pages(n: int = 2000, seed: int = 7) -> list[tuple[str, str]]:
     """(html, text) of n pages."""
     writer = _Writer(Random(seed))
     return [writer.page() for _ in range(n)]
