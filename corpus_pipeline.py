@@ -49,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids (little-endian unsigned 32-bit), their number, and whether decoding them gives the text."""
-    decoded = bpe.decode(bpe.encode(docs, vocabulary(), keep=("text",)), vocabulary())
+    decoded = bpe.encode(docs, vocabulary(), keep=("text",), decoded=True)
     same = F.coalesce(F.col("text"), F.lit("")) == F.col("decoded")
     return decoded.select(F.col("id").alias("doc_id"), "n_tokens", "ids", same.alias("round_trip"))
 

@@ -27,7 +27,7 @@ from ._text import map_arrow, slices
 #: Pre-tokens: contractions, letters, digits and other marks with one leading space, and white space.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text encoded at once, and pre-tokens whose tokens a worker keeps between blocks.
-BLOCK_CHARS, KEPT_TOKENS = 6 << 20, 300_000
+BLOCK_CHARS, KEPT_TOKENS = 4 << 20, 250_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -208,14 +208,17 @@ class _Block:
         return self.tokens[_spread(self.offset, every)] if len(every) else every, np.bincount(row, size, len(places)).astype(np.int64)
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """(id, n_tokens, ids) and the columns `keep` of every row; ids is the binary string of the ids as little-endian unsigned 32-bit integers.
 
     vocabulary: path of a byte-level BPE file in the tokenizers JSON format, read by the driver and broadcast. Special
     strings of the file are single tokens wherever they stand in a text, and nothing is added, cut or padded. A null or
     empty text has no ids. Texts are whole: a text of any length is encoded in one piece. Other columns are not read.
+    decoded: also the text that the ids stand for, as decode() gives it, by the same worker.
     """
-    kept = docs.select(*keep).schema if keep else StructType([])
+    kept = docs.select(*keep).schema.fields if keep else []
+    more = [StructField("decoded", StringType())] if decoded else []
+    schema = StructType([StructField("id", LongType()), StructField("n_tokens", LongType()), StructField("ids", BinaryType()), *kept, *more])
     held = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +232,11 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]) * 4, pa.int64())
             packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, offsets.buffers()[1], pa.py_buffer(tokens.astype("<u4").tobytes())])
             rows = pa.concat_batches(held_rows)
-            return pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts, pa.int64()), packed.cast(pa.binary()), *rows.columns[2:]], ["id", "n_tokens", "ids", *kept.names])
+            columns = [rows.column(0), pa.array(counts, pa.int64()), packed.cast(pa.binary()), *rows.columns[2:]]
+            if decoded:
+                ends = np.cumsum(counts)
+                columns.append(pa.array([spelled(block.vocabulary, tokens[a:b]) for a, b in zip(ends - counts, ends, strict=True)], pa.string()))
+            return pa.RecordBatch.from_arrays(columns, schema.names)
 
         for batch in slices(batches, 1):
             held_rows.append(batch)
@@ -244,10 +251,14 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         if held_rows:
             yield done()
 
-    schema = StructType([StructField("id", LongType()), StructField("n_tokens", LongType()), StructField("ids", BinaryType()), *kept.fields])
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"), *keep), run, schema)
 
 
+def spelled(vocabulary: Vocabulary, ids: np.ndarray) -> str:
+    """The text of some ids, bytes that are not UTF-8 replaced."""
+    return vocabulary.data[_spread(vocabulary.offset, ids)].tobytes().decode("utf-8", "replace")
+
+
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """The rows of `encoded` with a column `decoded`: the text of the ids, bytes that are not UTF-8 replaced.
 
@@ -262,8 +273,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
         for batch in slices(batches, at):
             texts = []
             for packed in batch.column(at).to_pylist():
-                ids = np.frombuffer(packed or b"", "<u4").astype(np.int64)
-                texts.append(None if packed is None else v.data[_spread(v.offset, ids)].tobytes().decode("utf-8", "replace"))
+                texts.append(None if packed is None else spelled(v, np.frombuffer(packed, "<u4").astype(np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
     return map_arrow(encoded, run, schema)
