@@ -150,6 +150,9 @@ def top_k(
         targets.setdefault(g.dim, []).append((g.cell, drawn[g.dim][g.cell], g.radius, sure[g.dim, g.cell], ceil(g.n / group_queries), ceil(total[g.dim] / piece_vectors)))
     held = spark.sparkContext.broadcast(targets)
 
+    def dealt(ids: np.ndarray, n: int) -> np.ndarray:
+        return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
+
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each data vector once for each query group in which it may be wanted."""
         for batch in batches:
@@ -161,21 +164,20 @@ def top_k(
                     most = x @ pivot + radius * norm
                     keep = most + 1e-6 * (1 + np.abs(most)) >= least
                     sent = part.filter(pa.array(keep)).select([0, 1, 2])
-                    piece = (own[keep].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(pieces)
+                    piece = dealt(own[keep], pieces)
                     for block in range(blocks):
-                        n = sent.num_rows
-                        yield pa.RecordBatch.from_arrays([*sent.columns, pa.array(np.full(n, cell), pa.int32()), pa.array(np.full(n, block), pa.int32()), pa.array(piece.astype(np.int32))], ["id", "dim", "v", "cell", "block", "piece"])
+                        yield pa.RecordBatch.from_arrays([*sent.columns, *(pa.array(np.broadcast_to(v, sent.num_rows), pa.int32()) for v in (cell, block, piece))], ["id", "dim", "v", "cell", "block", "piece"])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each query once for each piece of the data."""
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                id_, dim, cell = (row.column(j)[0].as_py() for j in (0, 1, 3))
-                _, _, _, _, blocks, pieces = next(t for t in held.value[dim] if t[0] == cell)
-                block = (id_ * 0x9E3779B97F4A7C15 % 2**64 >> 33) % blocks
-                for piece in range(pieces):
-                    yield pa.RecordBatch.from_arrays([*row.select([0, 1, 2]).columns, *(pa.array([v], pa.int32()) for v in (cell, block, piece))], ["id", "dim", "v", "cell", "block", "piece"])
+            dims, cells = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            for dim, own in held.value.items():
+                for cell, _, _, _, blocks, pieces in own:
+                    part = batch.filter(pa.array((dims == dim) & (cells == cell)))
+                    block = dealt(part.column(0).to_numpy(), blocks)
+                    for piece in range(pieces if part.num_rows else 0):
+                        yield pa.RecordBatch.from_arrays([*part.columns[:3], *(pa.array(np.broadcast_to(v, part.num_rows), pa.int32()) for v in (cell, block, piece))], ["id", "dim", "v", "cell", "block", "piece"])
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
