@@ -13,7 +13,7 @@ DOMAINS = {
     "NZ": (161.0, 181.0, -50.0, -30.0),
     "Pacific": (140.0, 240.0, -50.0, 25.0),
     "C3S_download": (100.0, 240.0, -50.0, 30.0),
-    "Water_Watch": (125.0, 240.0, -35.0, 25.0),
+    "Monitoring": (125.0, 240.0, -35.0, 25.0),
 }
 
 
