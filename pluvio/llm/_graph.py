@@ -30,20 +30,36 @@ def shared(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """`df` written as a compressed table in the shared folder and read again: for tables of which parts are read often.
+class Scratch:
+    """Compressed tables in the shared folder, for results that are read again; clear() removes them.
 
-    The shuffle files of the job go when it ends, as the table takes their place.
+    The shuffle files of the job that writes a table go when it ends, as the table takes their place.
     """
-    spark = df.sparkSession
-    path = f"{_folder(spark)}/tables/{uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{_folder(spark)}/tables/{uuid4().hex}"
+        self.n = 0
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        conf = self.spark.conf
+        path = f"{self.path}/{self.n}"
+        self.n += 1
+        before = conf.get(_CLEANUP, None)
+        conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as a table of its own in the shared folder and read again."""
+    return Scratch(df.sparkSession).stored(df)
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -82,7 +98,7 @@ def components(edges: DataFrame) -> DataFrame:
 def bucket_links(members: DataFrame, evidence: DataFrame, linked: Linked, measures: Callable[[str, str], dict[str, Column]], fits: Linked) -> DataFrame:
     """(node, component) by all true links between members of a bucket, without emitting all pairs of a bucket.
 
-    members: bucket, id, rep, probe; one row for every member but the bucket's representative `rep`. Two members can be
+    members, a table that is at hand: bucket, id, rep, probe; one row for every member but the bucket's representative `rep`. Two members can be
     linked if one of them at least was indexed (probe is false); representatives are indexed. evidence: id and what a link
     is judged by. linked, measures, fits take the prefixes of two sides: whether their evidence links them; measures of the
     right side against the representative on the left; and a necessary condition for a link from the measures of both.
@@ -95,10 +111,10 @@ def bucket_links(members: DataFrame, evidence: DataFrame, linked: Linked, measur
     def side(prefix: str, df: DataFrame) -> DataFrame:
         return df.select([F.col(c).alias(prefix + c) for c in df.columns])
 
-    members = shared(members)
+    scratch = Scratch(members.sparkSession)
     pairs = members.select(F.col("rep").alias("l_id"), F.col("id").alias("r_id")).distinct()
     pairs = pairs.join(side("r_", evidence), "r_id").join(side("l_", evidence), "l_id")
-    star = shared(pairs.select("l_id", "r_id", linked("l_", "r_").alias("linked"), *[v.alias(k) for k, v in measures("l_", "r_").items()]))
+    star = scratch.stored(pairs.select("l_id", "r_id", linked("l_", "r_").alias("linked"), *[v.alias(k) for k, v in measures("l_", "r_").items()]))
     links = star.where("linked").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
     of = components(links)
     joined = members.join(of.withColumnsRenamed({"node": "id", "component": "of_id"}), "id", "left").join(
@@ -111,4 +127,6 @@ def bucket_links(members: DataFrame, evidence: DataFrame, linked: Linked, measur
     on = (F.col("l_bucket") == F.col("r_bucket")) & (F.col("l_of_id") != F.col("r_of_id")) & ~F.col("l_probe")
     on &= (F.col("r_probe") & (F.col("l_id") != F.col("r_id"))) | (F.col("l_id") < F.col("r_id"))
     cross = side("l_", inside).join(side("r_", inside), on & fits("l_", "r_") & linked("l_", "r_"))
-    return components(links.unionByName(cross.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))))
+    out = components(scratch.stored(links.unionByName(cross.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))))
+    scratch.clear()
+    return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._graph import bucket_links, shared, stored
+from ._graph import Scratch, bucket_links, shared, stored
 
 #: Edits (insertions, deletions, substitutions of characters) up to which two lines are copies.
 MAX_EDITS = 2
@@ -148,13 +148,14 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = hashed.select("id", F.explode(F.array(*own)).alias("bucket")).groupBy("bucket").agg(F.min("id").alias("rep"))
     probed = hashed.select("id", F.posexplode(F.array(*[*own, *[c for c in all_ if c not in own]])).alias("place", "bucket"))
     probed = probed.select("id", "bucket", (F.col("place") >= len(own)).alias("probe"))
-    members = stored(probed.join(heads.hint("shuffle_hash"), "bucket").where("id <> rep"))
+    scratch = Scratch(docs.sparkSession)
+    members = scratch.stored(probed.join(heads.hint("shuffle_hash"), "bucket").where("id <> rep"))
     wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
     letters = F.transform(F.split("line", ""), F.ascii)
     length = F.length("line")
     counts = [(length - F.length(F.replace("line", F.lit(c), F.lit("")))).alias(f"n_{c}") for c in COUNTED]
     near = distinct.select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    evidence = stored(near.select("id", length.alias("chars"), letters.alias("letters"), *counts))
+    evidence = scratch.stored(near.select("id", length.alias("chars"), letters.alias("letters"), *counts))
 
     def alike(left: str, right: str) -> Column:
         apart = [F.abs(F.col(f"{left}n_{c}") - F.col(f"{right}n_{c}")) for c in COUNTED]
@@ -164,6 +165,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return alike(left, right) & (bounded_distance(F.col(f"{left}letters"), F.col(f"{right}letters"), edits) <= edits)
 
     groups = bucket_links(members, evidence, linked, lambda *_: {}, alike).withColumnRenamed("node", "id")
+    scratch.clear()
     placed = shared(groups.join(distinct.select("id", "first"), "id"))
     first = placed.groupBy("component").agg(F.min("first").alias("class_first"))
     named = placed.join(first, "component").groupBy("id").agg(F.min("class_first").alias("class_first"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._graph import bucket_links, shared
+from ._graph import Scratch, bucket_links
 from ._text import flat, lists, map_arrow, mix, shingles, slices, text_keys, words
 
 SHINGLE_WORDS = 5
@@ -135,9 +135,10 @@ def near_duplicates(
     one row. A null or empty text, or one without words, is a class of its own. Rows with one id are one document, and a
     null id is null in all columns. A text of fewer than `size` words is one shingle. Other columns are not read.
     """
-    sketch = shared(sketches(docs, id_col, text_col, size, bands, rows, weights))
+    scratch, kept = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    sketch = kept.stored(sketches(docs, id_col, text_col, size, bands, rows, weights))
     first = sketch.where("k1 is not null and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("copy_of"))
-    first = shared(first)
+    first = kept.stored(first)
     banded = (
         sketch.join(first.select(F.col("copy_of").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
         .dropDuplicates(["id"])
@@ -145,14 +146,14 @@ def near_duplicates(
         .select("id", F.xxhash64("band", "value").alias("bucket"))
     )
     full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = shared(banded.join(full, "bucket"))
+    crowded = scratch.stored(banded.join(full, "bucket"))
     # The member that stands in the largest buckets is the most like the others: it represents its buckets.
     weight = crowded.groupBy("id").agg(F.sum("n").alias("weight"))
     heads = crowded.join(weight, "id").groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("weight"), "id")).alias("rep"))
     members = crowded.drop("n").join(heads, "bucket").where("id <> rep").withColumn("probe", F.lit(False))
-    members = shared(members)
+    members = scratch.stored(members)
     wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
-    sets = shared(
+    sets = scratch.stored(
         shingle_sets(docs.join(wanted.withColumnRenamed("id", id_col), id_col, "left_semi"), id_col, text_col, size).dropDuplicates(["id"])
     )
 
@@ -174,5 +175,6 @@ def near_duplicates(
         return enough(F.least(c, d) + F.least(n - c, m - d), n + m)
 
     classes = bucket_links(members, sets, linked, measures, fits).select(F.col("node").alias("copy_of"), F.col("component").alias("class_id"))
+    scratch.clear()
     known = first.join(classes, "copy_of", "left").select("k1", "k2", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))
     return sketch.select("id", "k1", "k2").join(known, ["k1", "k2"], "left").select("id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"))
