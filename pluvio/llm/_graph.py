@@ -22,12 +22,17 @@ def _folder(spark: SparkSession) -> str:
     return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
 
 
+def _files(df: DataFrame, a_core: int) -> DataFrame:
+    """df in so many partitions for each core at most, as each becomes a file: no shuffle, and no swarm of tiny files."""
+    return df.coalesce(a_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def shared(df: DataFrame) -> DataFrame:
     """`df` checkpointed in the shared folder, with its lineage cut; the files go when the frame is no longer used."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    return _files(df, 2).checkpoint(eager=True)
 
 
 class Scratch:
@@ -47,7 +52,7 @@ class Scratch:
         before = conf.get(_CLEANUP, None)
         conf.set(_CLEANUP, "true")
         try:
-            df.write.option("compression", "zstd").parquet(path)
+            _files(df, 4).write.option("compression", "zstd").parquet(path)
         finally:
             conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
