@@ -23,8 +23,13 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _files(df: DataFrame, a_core: int) -> DataFrame:
-    """df in so many partitions for each core at most, as each becomes a file: no shuffle, and no swarm of tiny files."""
-    return df.coalesce(a_core * df.sparkSession.sparkContext.defaultParallelism)
+    """df in fewer partitions, as each becomes a file: no shuffle, and no swarm of tiny files.
+
+    There are so many for each core, or a quarter of the session's shuffle partitions if these are more, so that a task
+    takes four of its partitions at most where the data, and with it that setting, grow.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(a_core * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
 
 
 def shared(df: DataFrame) -> DataFrame:
