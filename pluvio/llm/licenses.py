@@ -1,13 +1,15 @@
 """Licence statements in texts: known sentences by their normalised wording, then ordered rules over their identifiers.
 
-DataFrame functions only. A text is cut at line ends and after sentence marks; up to five neighbouring pieces are also
-tried together, as licence texts wrap. Normalised pieces are looked up among the known sentences, and the identifiers
-found, in text order, are matched against the rules in rule order: a rule takes the identifiers that it matches away from
+DataFrame functions only. A text is cut at line ends and after sentence marks; neighbouring pieces are also tried
+together, as many as a known sentence has words, as licence texts wrap. Normalised pieces are looked up among the known
+sentences, and the identifiers found, in text order, are matched against the rules in rule order: a rule takes the identifiers that it matches away from
 the later rules, so that the longer text of a licence is not also reported as the shorter one that it contains.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ RULES = [
 ]
 #: Every known sentence holds one of these; other texts have none.
 KEYWORDS = ("licen", "copyright", "redistribut", "permission", "warrant", "unencumbered")
-#: Pieces that are tried together.
+#: Pieces that the SQL in sql.py tries together; license_scan has no such bound.
 WRAP = 5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -110,6 +112,28 @@ def all_rules() -> list[tuple[str, str]]:
     return [(licence, "".join(f"<{x}>" for x in ids)) for licence, ids in RULES] + [(licence, f"<IS-{licence}>") for licence in NAMES]
 
 
+def _by_head() -> Column:
+    """A map from the first two words of known sentences to the most words of any of them, and them, longest first."""
+    heads: dict[str, dict] = {}
+    for s, name in sorted(known_sentences().items(), key=lambda pair: (-len(pair[0]), pair[0])):
+        words = s.split(" ")
+        head = heads.setdefault(" ".join(words[:2]), {"most": 0, "known": []})
+        head["most"] = max(head["most"], len(words))
+        head["known"].append({"s": s, "n": len(words), "id": name})
+    return F.from_json(F.lit(json.dumps(heads)), "map<string, struct<most: int, known: array<struct<s: string, n: int, id: string>>>>")
+
+
+def _found(all_: Column, i: Column, by_head: Column) -> Column:
+    """The identifier of the longest known sentence that is the pieces from the i-th on, joined by single spaces, or null.
+
+    Every piece has a word, so that a sentence has no more pieces than words.
+    """
+    joined = lambda k: F.array_join(F.slice(all_, i + 1, k), " ")
+    whole = lambda x: F.exists(F.sequence(F.lit(1), x["n"]), lambda k: joined(k) == x["s"])
+    ids = lambda head: F.transform(F.array(joined(head["most"])), lambda ahead: F.get(F.filter(head["known"], lambda x: ahead.startswith(x["s"]) & whole(x)), F.lit(0))["id"])
+    return F.flatten(F.transform(F.array(F.try_element_at(by_head, F.substring_index(joined(2), " ", 2))), ids))[0]
+
+
 def pieces(text: Column) -> Column:
     """Normalised pieces between line ends and sentence marks: lower case, single spaces, points only inside numbers."""
     t = F.translate(text, _UPPER, _LOWER)
@@ -133,10 +157,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     may = F.lit(False)
     for word in KEYWORDS:
         may = may | low.contains(word)
-    known = F.create_map(*[F.lit(x) for pair in sorted(known_sentences().items()) for x in pair])
-    found = lambda all_, i: F.coalesce(*[F.try_element_at(known, F.when(F.size(all_) >= i + k, F.array_join(F.slice(all_, i + 1, k), " "))) for k in range(WRAP, 0, -1)])
+    by_head = _by_head()
     likely = lambda p: F.exists(F.array(*map(F.lit, sorted({s.split(" ")[0] for s in known_sentences()}))), lambda w: p.startswith(w))
-    ids = F.filter(F.transform("pieces", lambda p, i: F.when(likely(p), found(F.col("pieces"), i))), lambda x: x.isNotNull())
+    ids = F.filter(F.transform("pieces", lambda p, i: F.when(likely(p), _found(F.col("pieces"), i, by_head))), lambda x: x.isNotNull())
     rules = F.array(*[F.struct(F.lit(a).alias("licence"), F.lit(b).alias("ids")) for a, b in all_rules()])
     start = F.struct(F.col("sentence_ids").alias("rest"), F.array().cast("array<string>").alias("got"))
     taken = F.aggregate(

@@ -163,6 +163,36 @@ def test_licence_texts(spark):
     assert all(any(k in s for k in licenses.KEYWORDS) for s in licenses.known_sentences())
 
 
+def test_licence_texts_in_their_usual_wrapping(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+    gpl = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+    comment = lambda text, mark: "".join(f"{mark} {x}\n" for x in text.splitlines())
+    narrow = lambda text: "\n".join(text.split())
+    rows = [(1, mit), (2, gpl), (3, comment(mit, " *")), (4, comment(gpl, "#")), (5, narrow(mit)), (6, narrow(gpl)), (7, mit.replace("without limitation", "with limitation"))]
+    got = {r.id: (r.sentence_ids, r.licences) for r in licenses.license_scan(spark.createDataFrame(rows, DOC)).collect()}
+    assert all(got[i] == ("<MIT-GRANT><MIT-NOTICE>", "MIT") for i in (1, 3, 5))
+    assert all(got[i] == ("<GPL-2-OR-LATER><GPL-HOPE>", "GPL-2.0-or-later") for i in (2, 4, 6))
+    assert got[7] == ("<MIT-NOTICE>", "")
+
+
 def test_secrets_keep_the_base_and_add_random_strings(spark):
     key = "aZ3kQ9xT7bLm2Vw8RpYc5NfHs1Jd6GuE"
     rows = [(1, 'é token = "abc" PASSWORD: hunter2x and API_KEY=' + "a" * 5), (2, "AKIA" + "B" * 15 + " AKIA" + "B" * 16), (3, "deadbeef" * 3 + " " + "deadbeef" * 2), (4, f"see {key} there"), (5, "thequickbrownfoxjumpsoverthelazydog 2020-01-02T03:04:05 " + "x" * 50)]
