@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function of (spark, sf_dir); sql: DuckDB's statement for the same rows."""
+def query(sql: str | None = None, whole: list[tuple[str, str]] | None = None):
+    """Register a function of (spark, sf_dir); sql: DuckDB's statement for the same rows.
+
+    whole: if the SQL covers a part of the rows, the pieces of it that say so and what stands there for all of them.
+    f(spark, sf_dir, whole=True) covers all, and is registered as <name>_all with that SQL.
+    """
 
     def add(f):
         name = f.__name__
@@ -16,6 +22,13 @@ def query(sql: str | None = None):
         QUERIES[name] = f
         if sql is not None:
             SQL[name] = sql
+        if whole:
+            QUERIES[f"{name}_all"], all_ = partial(f, whole=True), sql
+            for part, instead in whole:
+                if part not in all_:
+                    raise ValueError(f"the SQL of {name} does not have {part}")
+                all_ = all_.replace(part, instead)
+            SQL[f"{name}_all"] = all_
         return f
 
     return add

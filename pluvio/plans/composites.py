@@ -101,11 +101,11 @@ _SMOOTH_DOY = mon._DOY.replace("time", "o.time")
 
 
 @query(f"""WITH {t.SQL_OBS}, {mon._DOY_ROWS}, c AS (SELECT doy, iy, avg(precip) AS average FROM d GROUP BY ALL)
-SELECT o.iy, o.ix, o.time, o.precip, round(c.average, 11) AS average FROM obs o JOIN c ON c.iy = o.iy AND c.doy = {_SMOOTH_DOY} WHERE year(o.time) = 2000""")
-def jn9_src23_doy_join(spark, sf_dir):
+SELECT o.iy, o.ix, o.time, o.precip, round(c.average, 11) AS average FROM obs o JOIN c ON c.iy = o.iy AND c.doy = {_SMOOTH_DOY} WHERE year(o.time) = 2000""", whole=[(" WHERE year(o.time) = 2000", "")])
+def jn9_src23_doy_join(spark, sf_dir, whole=False):
     """Observations with the climatology of their day of year: an equality join on the calendar day."""
     c = clim.days_of_year(t.obs_daily(spark, sf_dir), 7, leap_mode="correct").groupBy("doy", "iy").agg(F.avg("precip").alias("average"))
-    o = t.obs_daily(spark, sf_dir).where(F.year("time") == 2000).withColumn("doy", cal.doy(F.col("time"), "correct"))
+    o = t.obs_daily(spark, sf_dir).where(F.lit(whole) | (F.year("time") == 2000)).withColumn("doy", cal.doy(F.col("time"), "correct"))
     return o.join(c, ["doy", "iy"]).select("iy", "ix", "time", "precip", F.round("average", 11).alias("average"))
 
 

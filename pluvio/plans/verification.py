@@ -19,71 +19,73 @@ from ._registry import query
 #: Monthly means of the bands, scaled to the ensemble's range, and their categories by month.
 _BANDS = """bands AS (SELECT iy, CAST(date_trunc('month', l_shipdate) AS DATE) AS time, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100000.0::DOUBLE AS precip
   FROM lineitem JOIN (SELECT s_suppkey, CAST(s_nationkey // 5 AS INTEGER) AS iy FROM supplier) ON l_suppkey = s_suppkey WHERE l_linenumber <= 2 GROUP BY ALL)"""
+#: For the queries over all lines of orders.
+_ALL_LINES = [(" WHERE l_linenumber <= 2", "")]
 _OBS_CAT = f"""oe AS (SELECT month(time) AS month, iy, quantile_cont(precip, [{fo._levels_sql('tercile')}]) AS edges FROM bands GROUP BY ALL),
 ocat AS (SELECT bands.iy, time, precip AS value, CAST(len(list_filter(edges, lambda e: e <= precip)) + 1 AS INTEGER) AS o FROM bands JOIN oe ON oe.iy = bands.iy AND oe.month = month(time))"""
 _PAIRS = f"""{fo._probs_sql('tercile', 3)}, {_BANDS}, {_OBS_CAT}, best AS (SELECT gcm, init, step, iy, arg_max(category, (prob, -category)) AS f FROM probs GROUP BY ALL),
 pairs AS (SELECT gcm, init, step, best.iy, f, o FROM best JOIN ocat ON ocat.iy = best.iy AND ocat.time = CAST(init + to_months(step) AS DATE))"""
 
 
-def bands(spark, sf_dir):
+def bands(spark, sf_dir, whole=False):
     supplier = t.table(spark, sf_dir, "supplier").select("s_suppkey", F.floor(F.col("s_nationkey") / 5).cast("int").alias("iy"))
-    item = t.table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select("l_suppkey", F.to_date(F.date_trunc("month", "l_shipdate")).alias("time"), "l_extendedprice")
+    item = t.table(spark, sf_dir, "lineitem").where("true" if whole else "l_linenumber <= 2").select("l_suppkey", F.to_date(F.date_trunc("month", "l_shipdate")).alias("time"), "l_extendedprice")
     value = F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / F.count("*") / F.lit(100000.0)
     return item.join(supplier, item.l_suppkey == supplier.s_suppkey).groupBy("iy", "time").agg(value.alias("precip"))
 
 
-def observed_categories(spark, sf_dir):
-    b = bands(spark, sf_dir).withColumn("month", F.month("time"))
+def observed_categories(spark, sf_dir, whole=False):
+    b = bands(spark, sf_dir, whole).withColumn("month", F.month("time"))
     edges = clim.monthly_quantiles(b.drop("month"), ["iy"], clim.SCHEMES["tercile"])
     return fc.categorise(b, edges, ["month", "iy"]).select("iy", "time", F.col("precip").alias("value"), F.col("category").alias("o"))
 
 
-def pairs(spark, sf_dir):
+def pairs(spark, sf_dir, whole=False):
     best = fo.probabilities(spark, sf_dir).groupBy(*fo.KEY).agg(fc.most_likely().alias("f"))
-    return ver.lead_join(best, observed_categories(spark, sf_dir), ["iy"]).select("gcm", "init", "step", "iy", "f", "o")
+    return ver.lead_join(best, observed_categories(spark, sf_dir, whole), ["iy"]).select("gcm", "init", "step", "iy", "f", "o")
 
 
-@query(f"WITH {_BANDS}, {_OBS_CAT} SELECT iy, time, o FROM ocat")
-def cat2_observed_categories(spark, sf_dir):
-    return observed_categories(spark, sf_dir).drop("value")
+@query(f"WITH {_BANDS}, {_OBS_CAT} SELECT iy, time, o FROM ocat", whole=_ALL_LINES)
+def cat2_observed_categories(spark, sf_dir, whole=False):
+    return observed_categories(spark, sf_dir, whole).drop("value")
 
 
-@query(f"WITH {_PAIRS} SELECT gcm, init, step, iy, CAST(f AS INTEGER) AS f, o FROM pairs")
-def jn5_jn6_lead_join(spark, sf_dir):
-    return pairs(spark, sf_dir)
+@query(f"WITH {_PAIRS} SELECT gcm, init, step, iy, CAST(f AS INTEGER) AS f, o FROM pairs", whole=_ALL_LINES)
+def jn5_jn6_lead_join(spark, sf_dir, whole=False):
+    return pairs(spark, sf_dir, whole)
 
 
 @query(f"""WITH {_PAIRS}, c AS (SELECT gcm, step, iy, count(*) FILTER (f = 1 AND o = 1) AS tp, count(*) FILTER (f = 1 AND o <> 1) AS fp, count(*) FILTER (f <> 1 AND o = 1) AS fn, count(*) FILTER (f <> 1 AND o <> 1) AS tn FROM pairs GROUP BY ALL)
 SELECT *, round(tp / nullif(tp + fp, 0), 9) AS precision, round(tp / nullif(tp + fn, 0), 9) AS recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 9) AS f1,
-  round(tp / nullif(tp + fp + fn, 0), 9) AS iou, round((tp + tn) / nullif(tp + fp + fn + tn, 0), 9) AS one_vs_rest FROM c""")
-def ver1_ver2_ver3_contingency(spark, sf_dir):
-    c = ver.contingency(pairs(spark, sf_dir), ["gcm", "step", "iy"], 1)
+  round(tp / nullif(tp + fp + fn, 0), 9) AS iou, round((tp + tn) / nullif(tp + fp + fn + tn, 0), 9) AS one_vs_rest FROM c""", whole=_ALL_LINES)
+def ver1_ver2_ver3_contingency(spark, sf_dir, whole=False):
+    c = ver.contingency(pairs(spark, sf_dir, whole), ["gcm", "step", "iy"], 1)
     return c.withColumns({k: F.round(v, 9) for k, v in ver.scores().items()})
 
 
-@query(f"WITH {_PAIRS}, k AS (SELECT unnest([1, 2, 3]) AS f) SELECT k.f, count(*) FILTER (o = 1) AS o1, count(*) FILTER (o = 2) AS o2, count(*) FILTER (o = 3) AS o3 FROM k LEFT JOIN pairs USING (f) GROUP BY k.f")
-def ver4_confusion(spark, sf_dir):
-    return ver.confusion(pairs(spark, sf_dir), 3)
+@query(f"WITH {_PAIRS}, k AS (SELECT unnest([1, 2, 3]) AS f) SELECT k.f, count(*) FILTER (o = 1) AS o1, count(*) FILTER (o = 2) AS o2, count(*) FILTER (o = 3) AS o3 FROM k LEFT JOIN pairs USING (f) GROUP BY k.f", whole=_ALL_LINES)
+def ver4_confusion(spark, sf_dir, whole=False):
+    return ver.confusion(pairs(spark, sf_dir, whole), 3)
 
 
-@query(f"WITH {_PAIRS} SELECT CAST(month(init) AS INTEGER) AS month, gcm, step, round(avg(CASE WHEN f = o THEN 1.0::DOUBLE ELSE 0 END), 9) AS accuracy FROM pairs GROUP BY ALL")
-def ver5_agg17_accuracy(spark, sf_dir):
-    return pairs(spark, sf_dir).groupBy(F.month("init").alias("month"), "gcm", "step").agg(F.round(ver.accuracy(), 9).alias("accuracy"))
+@query(f"WITH {_PAIRS} SELECT CAST(month(init) AS INTEGER) AS month, gcm, step, round(avg(CASE WHEN f = o THEN 1.0::DOUBLE ELSE 0 END), 9) AS accuracy FROM pairs GROUP BY ALL", whole=_ALL_LINES)
+def ver5_agg17_accuracy(spark, sf_dir, whole=False):
+    return pairs(spark, sf_dir, whole).groupBy(F.month("init").alias("month"), "gcm", "step").agg(F.round(ver.accuracy(), 9).alias("accuracy"))
 
 
 @query(f"""WITH {_PAIRS}, own AS (SELECT probs.gcm, probs.init, probs.step, probs.iy, max(prob) AS most, max(CASE WHEN category = o THEN prob END) AS own FROM probs JOIN pairs USING (gcm, init, step, iy) GROUP BY ALL)
-SELECT gcm, step, round(avg(CASE WHEN most - own <= 10 THEN 1.0::DOUBLE ELSE 0 END), 9) AS accuracy FROM own GROUP BY ALL""")
-def ver6_tolerant_accuracy(spark, sf_dir):
-    p = fo.probabilities(spark, sf_dir).join(pairs(spark, sf_dir).drop("f"), fo.KEY)
+SELECT gcm, step, round(avg(CASE WHEN most - own <= 10 THEN 1.0::DOUBLE ELSE 0 END), 9) AS accuracy FROM own GROUP BY ALL""", whole=_ALL_LINES)
+def ver6_tolerant_accuracy(spark, sf_dir, whole=False):
+    p = fo.probabilities(spark, sf_dir).join(pairs(spark, sf_dir, whole).drop("f"), fo.KEY)
     out = ver.tolerant_accuracy(p, ["gcm", "step"], ["init", "iy"], 10.0)
     return out.withColumn("accuracy", F.round("accuracy", 9))
 
 
 @query(f"""WITH {_PAIRS}, s AS (SELECT gcm, count(*) AS n, avg(CASE WHEN f = o THEN 1.0::DOUBLE ELSE 0 END) AS accuracy,
   {" + ".join(f"count(*) FILTER (f = {k}) * count(*) FILTER (o = {k})" for k in (1, 2, 3))} AS chance FROM pairs GROUP BY gcm)
-SELECT gcm, round(accuracy, 9) AS accuracy, round((accuracy - chance / (n * n)) / nullif(1 - chance / (n * n), 0), 9) AS hss FROM s""")
-def ver12_heidke(spark, sf_dir):
-    out = ver.heidke(pairs(spark, sf_dir), ["gcm"], 3)
+SELECT gcm, round(accuracy, 9) AS accuracy, round((accuracy - chance / (n * n)) / nullif(1 - chance / (n * n), 0), 9) AS hss FROM s""", whole=_ALL_LINES)
+def ver12_heidke(spark, sf_dir, whole=False):
+    out = ver.heidke(pairs(spark, sf_dir, whole), ["gcm"], 3)
     return out.select("gcm", F.round("accuracy", 9).alias("accuracy"), F.round("hss", 9).alias("hss"))
 
 
@@ -91,20 +93,20 @@ _MEANS = f"""{t.SQL_ENS}, {_BANDS}, m AS (SELECT gcm, init, step, iy, avg(precip
 fm AS (SELECT m.gcm, m.init, m.step, m.iy, f, bands.precip AS o FROM m JOIN bands ON bands.iy = m.iy AND bands.time = CAST(init + to_months(step) AS DATE))"""
 
 
-def means(spark, sf_dir):
+def means(spark, sf_dir, whole=False):
     mean = t.ensemble(spark, sf_dir).groupBy(*fo.KEY).agg(F.avg("precip").alias("f"))
-    return ver.lead_join(mean, bands(spark, sf_dir).withColumnRenamed("precip", "o"), ["iy"])
+    return ver.lead_join(mean, bands(spark, sf_dir, whole).withColumnRenamed("precip", "o"), ["iy"])
 
 
-@query(f"WITH {_MEANS} SELECT gcm, step, round(corr(f, o), 6) AS corr, round(sqrt(avg((f - o) * (f - o))), 6) AS rmse, round(avg(f - o), 6) AS bias, count(*) AS n FROM fm GROUP BY ALL")
-def ver8_deterministic(spark, sf_dir):
-    out = ver.deterministic(means(spark, sf_dir), ["gcm", "step"])
+@query(f"WITH {_MEANS} SELECT gcm, step, round(corr(f, o), 6) AS corr, round(sqrt(avg((f - o) * (f - o))), 6) AS rmse, round(avg(f - o), 6) AS bias, count(*) AS n FROM fm GROUP BY ALL", whole=_ALL_LINES)
+def ver8_deterministic(spark, sf_dir, whole=False):
+    out = ver.deterministic(means(spark, sf_dir, whole), ["gcm", "step"])
     return out.select("gcm", "step", *[F.round(c, 6).alias(c) for c in ("corr", "rmse", "bias")], "n")
 
 
-@query(f"WITH {_MEANS} SELECT CAST(month(init) AS INTEGER) AS month, round(corr(f, o), 6) AS corr, round(sqrt(avg((f - o) * (f - o))), 6) AS rmse, count(*) AS n FROM fm GROUP BY ALL")
-def ver9_by_month(spark, sf_dir):
-    out = ver.deterministic(means(spark, sf_dir).withColumn("month", F.month("init")), ["month"])
+@query(f"WITH {_MEANS} SELECT CAST(month(init) AS INTEGER) AS month, round(corr(f, o), 6) AS corr, round(sqrt(avg((f - o) * (f - o))), 6) AS rmse, count(*) AS n FROM fm GROUP BY ALL", whole=_ALL_LINES)
+def ver9_by_month(spark, sf_dir, whole=False):
+    out = ver.deterministic(means(spark, sf_dir, whole).withColumn("month", F.month("init")), ["month"])
     return out.select("month", F.round("corr", 6).alias("corr"), F.round("rmse", 6).alias("rmse"), "n")
 
 
@@ -117,38 +119,38 @@ def phases(spark, sf_dir):
     return index.withColumn("phase", ver.phase(ind.scaled(F.col("x")), 0.5)).select("init", "phase")
 
 
-@query(f"WITH {_MEANS}, {_INDEX} SELECT phase, round(corr(f, o), 6) AS corr, count(*) AS n FROM fm JOIN ph USING (init) GROUP BY phase")
-def ver10_idx6_by_phase(spark, sf_dir):
-    joined = means(spark, sf_dir).join(phases(spark, sf_dir), "init")
+@query(f"WITH {_MEANS}, {_INDEX} SELECT phase, round(corr(f, o), 6) AS corr, count(*) AS n FROM fm JOIN ph USING (init) GROUP BY phase", whole=_ALL_LINES)
+def ver10_idx6_by_phase(spark, sf_dir, whole=False):
+    joined = means(spark, sf_dir, whole).join(phases(spark, sf_dir), "init")
     return ver.deterministic(joined, ["phase"]).select("phase", F.round("corr", 6).alias("corr"), "n")
 
 
-@query(f"WITH {_MEANS}, {_INDEX} SELECT iy, step, round(avg(f), 6) AS f FROM fm SEMI JOIN (SELECT * FROM ph WHERE phase = 'warm') w USING (init) GROUP BY ALL")
-def idx7_jn12_composite(spark, sf_dir):
-    return ind.composite(means(spark, sf_dir), phases(spark, sf_dir), "warm", ["iy", "step"], "f", "init").withColumn("f", F.round("f", 6))
+@query(f"WITH {_MEANS}, {_INDEX} SELECT iy, step, round(avg(f), 6) AS f FROM fm SEMI JOIN (SELECT * FROM ph WHERE phase = 'warm') w USING (init) GROUP BY ALL", whole=_ALL_LINES)
+def idx7_jn12_composite(spark, sf_dir, whole=False):
+    return ind.composite(means(spark, sf_dir, whole), phases(spark, sf_dir), "warm", ["iy", "step"], "f", "init").withColumn("f", F.round("f", 6))
 
 
 @query(f"""WITH {_PAIRS}, x AS (SELECT probs.gcm, probs.init, probs.step, probs.iy, category, o,
   sum(prob) OVER (PARTITION BY probs.gcm, probs.init, probs.step, probs.iy ORDER BY category) / 100 - CASE WHEN o <= category THEN 1 ELSE 0 END AS gap FROM probs JOIN pairs USING (gcm, init, step, iy)),
-s AS (SELECT gcm, init, step, iy, sum(gap * gap) AS rps FROM x GROUP BY ALL) SELECT gcm, step, round(avg(rps), 6) AS rps FROM s GROUP BY ALL""")
-def ver11_rps(spark, sf_dir):
-    p = fo.probabilities(spark, sf_dir).join(pairs(spark, sf_dir).drop("f"), fo.KEY)
+s AS (SELECT gcm, init, step, iy, sum(gap * gap) AS rps FROM x GROUP BY ALL) SELECT gcm, step, round(avg(rps), 6) AS rps FROM s GROUP BY ALL""", whole=_ALL_LINES)
+def ver11_rps(spark, sf_dir, whole=False):
+    p = fo.probabilities(spark, sf_dir).join(pairs(spark, sf_dir, whole).drop("f"), fo.KEY)
     return ver.rps(p, ["gcm", "step"], ["init", "iy"]).withColumn("rps", F.round("rps", 6))
 
 
 @query(f"""WITH {_PAIRS}, a AS (SELECT gcm, step, iy, avg(CASE WHEN f = o THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM pairs GROUP BY ALL)
-SELECT gcm, step, iy, round(accuracy, 9) AS accuracy, CAST(row_number() OVER (PARTITION BY step ORDER BY round(accuracy, 9) DESC, gcm, iy) AS INTEGER) AS rank FROM a QUALIFY rank <= 5""")
-def ver15_srt1_lim1_best(spark, sf_dir):
+SELECT gcm, step, iy, round(accuracy, 9) AS accuracy, CAST(row_number() OVER (PARTITION BY step ORDER BY round(accuracy, 9) DESC, gcm, iy) AS INTEGER) AS rank FROM a QUALIFY rank <= 5""", whole=_ALL_LINES)
+def ver15_srt1_lim1_best(spark, sf_dir, whole=False):
     from pyspark.sql import Window
 
-    a = pairs(spark, sf_dir).groupBy("gcm", "step", "iy").agg(F.round(ver.accuracy(), 9).alias("accuracy"))
+    a = pairs(spark, sf_dir, whole).groupBy("gcm", "step", "iy").agg(F.round(ver.accuracy(), 9).alias("accuracy"))
     rank = F.row_number().over(Window.partitionBy("step").orderBy(F.desc("accuracy"), "gcm", "iy"))
     return a.withColumn("rank", rank).where("rank <= 5")
 
 
-@query(f"WITH {_PAIRS}, a AS (SELECT step, iy, avg(CASE WHEN f = o THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM pairs GROUP BY ALL) SELECT iy, bool_and(accuracy > 0.2) AS always, bool_or(accuracy > 0.4) AS once FROM a GROUP BY iy")
-def ver16_every_lead(spark, sf_dir):
-    a = pairs(spark, sf_dir).groupBy("step", "iy").agg(ver.accuracy().alias("accuracy"))
+@query(f"WITH {_PAIRS}, a AS (SELECT step, iy, avg(CASE WHEN f = o THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM pairs GROUP BY ALL) SELECT iy, bool_and(accuracy > 0.2) AS always, bool_or(accuracy > 0.4) AS once FROM a GROUP BY iy", whole=_ALL_LINES)
+def ver16_every_lead(spark, sf_dir, whole=False):
+    a = pairs(spark, sf_dir, whole).groupBy("step", "iy").agg(ver.accuracy().alias("accuracy"))
     return a.groupBy("iy").agg(F.every(F.col("accuracy") > 0.2).alias("always"), F.some(F.col("accuracy") > 0.4).alias("once"))
 
 
