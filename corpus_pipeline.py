@@ -29,8 +29,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines go that repeat an earlier line up to two edits; documents go that have lost all their words by that."""
-    left = line_dedup.dedup_lines(docs)
+    """Lines go that repeat an earlier line up to two edits, or exactly if they are short; documents go that have lost all
+    their words by that."""
+    left = line_dedup.dedup_lines(docs, min_chars=line_dedup.LEAST_CHARS, exact_chars=1)
     left = left.where((F.size("dropped") == 0) | F.col("kept_text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     return left.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(docs.columns)
 

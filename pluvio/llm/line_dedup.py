@@ -16,8 +16,10 @@ from ._graph import Scratch, bucket_links, shared, stored
 
 #: Edits (insertions, deletions, substitutions of characters) up to which two lines are copies.
 MAX_EDITS = 2
-#: Shorter lines, without the white space around them, are left alone.
+#: Shorter lines, without the white space around them, are left alone, unless exact_chars takes them in.
 MIN_CHARS = 20
+#: Lines of this length on can be joined by their distance.
+LEAST_CHARS = 3 * (MAX_EDITS + 1)
 #: Letters whose counts are compared before the distance: an edit changes them by 2 in all at most.
 COUNTED = "etaonirshdu"
 #: Bits of a line number in a position.
@@ -114,7 +116,7 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, line) of the lines of MIN_CHARS characters or more, without the spaces around them; n from 0."""
+    """(id, n, line) of all lines, without the spaces around them; n from 0."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
 
@@ -131,8 +133,14 @@ def _key() -> dict[str, Column]:
     return dict(zip(_NAMES, (F.xxhash64("line"), F.hash("line"), F.length("line")), strict=True))
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, k2, k3, line, first, times, class_first) of every distinct line of `min_chars` characters or more.
+def _least(min_chars: int, exact_chars: int | None) -> int:
+    """Characters of the shortest line that takes part; an empty line never does."""
+    return min_chars if exact_chars is None else max(1, min(min_chars, exact_chars))
+
+
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+    """(id, k2, k3, line, first, times, class_first) of every distinct line of `min_chars` characters or more, and, if
+    exact_chars is given, of the shorter ones of `exact_chars` or more, which are connected to no other line.
 
     first: position of its first occurrence; times: its occurrences; class_first: position of the first occurrence of any
     line connected to it by lines within `edits` of one another. A position is the document's id * 2**32 + line number, a
@@ -141,10 +149,10 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if min_chars < 3 * (edits + 1):
         raise ValueError("min_chars must be three times edits + 1 or more")
-    lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= min_chars)
+    lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= _least(min_chars, exact_chars))
     distinct = lines.groupBy("line").agg(F.min(_position()).alias("first"), F.count("*").alias("times"))
     distinct = stored(distinct.withColumns(_key()))
-    hashed, all_, own = looked_up(distinct.select("id", "line"), edits)
+    hashed, all_, own = looked_up(distinct.where(F.length("line") >= min_chars).select("id", "line"), edits)
     heads = hashed.select("id", F.explode(F.array(*own)).alias("bucket")).groupBy("bucket").agg(F.min("id").alias("rep"))
     probed = hashed.select("id", F.posexplode(F.array(*[*own, *[c for c in all_ if c not in own]])).alias("place", "bucket"))
     probed = probed.select("id", "bucket", (F.col("place") >= len(own)).alias("probe"))
@@ -172,17 +180,18 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return distinct.join(named, "id", "left").withColumn("class_first", F.coalesce("class_first", "first"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """All columns and rows of `docs`, with n_lines, dropped (line numbers from 0, ascending), and the text that is left.
 
     Of each group of connected lines the first occurrence stays, by id, then line number; every other occurrence in any
-    document is dropped. Shorter lines, and all lines of rows with a null id, stay. kept_text joins the lines that stay by
+    document is dropped. Lines of fewer than `min_chars` characters stay; if exact_chars is given, those of that length on
+    go like the others where they repeat an earlier line exactly. All lines of rows with a null id stay. kept_text joins the lines that stay by
     line feeds; it is the text itself, null included, where nothing is dropped. Rows that repeat an id hold one document:
     what is dropped in one is dropped in all of them. A text of any length and number of lines is treated alike.
     """
-    groups = line_classes(docs, id_col, text_col, edits, min_chars)
+    groups = line_classes(docs, id_col, text_col, edits, min_chars, exact_chars)
     repeated = groups.where((F.col("times") > 1) | (F.col("first") != F.col("class_first"))).select(*_NAMES, "class_first")
-    lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= min_chars)
+    lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= _least(min_chars, exact_chars))
     found = lines.select(_position().alias("position"), F.col("id").alias("doc"), "n", *[v.alias(k) for k, v in _key().items()])
     found = found.join(repeated, list(_NAMES)).where("position <> class_first").withColumnRenamed("doc", "_dropped_id")
     dropped = found.groupBy("_dropped_id").agg(F.array_sort(F.collect_set("n")).alias("dropped"))

@@ -79,8 +79,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
 
 
-def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", F.array_join("dropped", ",").alias("dropped_lines"), "kept_text")
+def op10_line_dedup(spark: SparkSession, sf_dir: str, **lengths) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"), **lengths).select("doc_id", "n_lines", F.array_join("dropped", ",").alias("dropped_lines"), "kept_text")
+
+
+def op10_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10 with short lines as the pipeline treats them."""
+    return op10_line_dedup(spark, sf_dir, min_chars=line_dedup.LEAST_CHARS, exact_chars=1)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +95,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe, op9_quality, op10_line_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe, op9_quality, op10_line_dedup, op10_line_dedup_all, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op6_url_filter": sql.url_filter(URL_RULES), "op10_line_dedup": sql.LINE_DEDUP, "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}
+    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op6_url_filter": sql.url_filter(URL_RULES), "op10_line_dedup": sql.LINE_DEDUP, "op10_line_dedup_all": sql.LINE_DEDUP_ALL, "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}

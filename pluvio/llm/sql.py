@@ -124,3 +124,6 @@ SELECT documents.doc_id, CAST(count(*) AS BIGINT) AS n_lines, coalesce(string_ag
   CASE WHEN bool_and(kept) THEN any_value(text) ELSE coalesce(string_agg(string_split(text, chr(10))[n + 1], chr(10) ORDER BY n) FILTER (WHERE kept), '') END AS kept_text
 FROM documents JOIN k USING (doc_id) GROUP BY documents.doc_id
 """
+
+#: With short lines: from 9 characters on by their distance, shorter ones exactly.
+LINE_DEDUP_ALL = LINE_DEDUP.replace("length(line) >= 20", "length(line) >= 1").replace("a.line <> b.line", "a.line <> b.line AND a.size >= 9 AND b.size >= 9")

@@ -367,6 +367,14 @@ def test_lines_keep_their_first_occurrence(spark):
     assert got == {1: ([], f"{long}\nfirst"), 2: ([1, 3], "short\nsecond"), 3: ([0], "")}
 
 
+def test_short_lines_by_equality(spark):
+    rows = [(1, "Menu\n\nRead more now\nHome"), (2, "Menu\n\nRead more nou\nHoma"), (3, " Menu \nMenus\nRead it")]
+    docs = spark.createDataFrame(rows, DOC)
+    got = {r.doc_id: r.dropped for r in line_dedup.dedup_lines(docs, min_chars=9, exact_chars=1).collect()}
+    assert got == {1: [], 2: [0, 2], 3: [0]}
+    assert all(r.dropped == [] for r in line_dedup.dedup_lines(docs).collect())
+
+
 def test_digests(spark, sf_dir):
     row = registry.op8_bpe(spark, sf_dir).where("doc_id = 5").first()
     text = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id = 5").first().text

@@ -46,3 +46,10 @@ def test_stages_return_the_columns_of_documents(spark, sf_dir):
     for name, stage in cp.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).columns == docs.columns, name
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_short_lines_go_too(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"Share\nthe {i * 7919} words of document number {i * 104729}\nRead more", "en", "s", 0) for i in range(4)], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in cp.dedup_lines(spark, docs, str(tmp_path)).collect()}
+    assert left[0].startswith("Share\n") and left[0].endswith("\nRead more")
+    assert all("Share" not in left.get(i, "") and "Read more" not in left.get(i, "") for i in (1, 2, 3))
