@@ -116,6 +116,16 @@ def words(data: np.ndarray, rows: np.ndarray) -> Words:
     return Words(start, end, h, np.searchsorted(start, rows))
 
 
+def prefix_hashes(data: np.ndarray, w: Words, chars: int) -> np.ndarray:
+    """For each word the hash that its first `chars` characters have as a word."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(lead):
+        return np.zeros(0, np.uint64)
+    after = np.searchsorted(lead, w.start) + chars
+    end = np.minimum(w.end, np.where(after < len(lead), lead[np.minimum(after, len(lead) - 1)], len(data)))
+    return mix(span_sums(_BYTE_VALUE[_BYTE[data]], w.start, end, _CHARS) + (end - w.start).astype(np.uint64) * _ODD)
+
+
 def text_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each text's sequence of words."""
     n = w.counts.astype(np.uint64)

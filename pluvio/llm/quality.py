@@ -17,13 +17,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import flat, lists, map_arrow, mix, slices, span_sums, Words, words
+from ._text import flat, lists, map_arrow, mix, prefix_hashes, slices, span_sums, Words, words
 from ._text import _WORDS as _POWERS
 
 #: Documents that the scorer is fitted on at most (about), and labelled documents that the toxic lexicon is counted on.
 SAMPLE, LABELLED = 12_000, 20_000
-#: Words of the counted lexicon, and the documents of the toxic class that a word must stand in.
-LEXICON, LEXICON_LEAST = 500, 5
+#: Documents of the sample that a word must stand in to have a weight.
+LEAST_EXAMPLES = 20
+#: Entries of the counted lexicon, the documents of the toxic class that one must stand in, and the letters of a word's stem.
+LEXICON, LEXICON_LEAST, STEM = 500, 12, 4
 #: Hashed features; the last SHAPES of them are for shape features.
 BUCKETS, SHAPES = 1 << 15, 256
 # Frequent words of English, French, German and Spanish.
@@ -54,9 +56,9 @@ _PIPE[ord("|")] = 1
 for _c in ".!?":
     _STOP[ord(_c)] = 1
 
-#: What is known of any labeller: P(says bad) of bad and of good documents.
-PRIOR = np.array([0.3, 0.002])
-QUALITY_LABELLERS = ("shouting", "marks", "table", "function words", "repeated lines", "vocabulary", "sentences", "letters", "bare tokens", "stutter")
+#: What is known beforehand of any labeller that votes, as so many documents of each class: P(says bad) of bad and good ones.
+PRIOR, PRIOR_DOCUMENTS = np.array([0.3, 0.002]), 20.0
+QUALITY_LABELLERS = ("shouting", "marks", "table", "function words", "repeated lines", "vocabulary", "sentences", "letters", "bare tokens", "stutter", "runs")
 TOXIC_LABELLERS = ("insults", "lexicon", "density")
 
 
@@ -114,7 +116,22 @@ def _bare_tokens(data: np.ndarray, offsets: np.ndarray, w: Words) -> np.ndarray:
     return _sums(first.astype(np.int64), offsets) - np.bincount(row[new], minlength=len(offsets) - 1)
 
 
-def profile(texts: pa.Array, insults: np.ndarray, lexicon: np.ndarray) -> Profile:
+@dataclass
+class Lexicon:
+    """Hashes of words, and of the first STEM letters of words, that stand in toxic texts."""
+
+    words: np.ndarray
+    stems: np.ndarray
+
+    @staticmethod
+    def of(words: list[str], stems: list[str]) -> Lexicon:
+        return Lexicon(word_hashes(words), word_hashes(stems))
+
+    def holds(self, data: np.ndarray, w: Words) -> np.ndarray:
+        return _within(self.words, w.hash) | (_within(self.stems, prefix_hashes(data, w, STEM)) if len(self.stems) else False)
+
+
+def profile(texts: pa.Array, insults: np.ndarray, lexicon: Lexicon) -> Profile:
     data, offsets = flat(texts)
     w = words(data, offsets)
     n_words = w.counts
@@ -135,70 +152,90 @@ def profile(texts: pa.Array, insults: np.ndarray, lexicon: np.ndarray) -> Profil
             "function": _sums(_within(_STOP_HASHES, w.hash), w.offset) / some,
             "repeated": _repeated(data, w) / some,
             "distinct": np.bincount(r, minlength=len(n_words)) / some,
+            "richness": np.bincount(r, minlength=len(n_words)) / np.sqrt(some),
             "stops": _sums(_STOP[data], offsets) / some,
             "letters": _sums(_BODY[data], offsets) / np.maximum(1, _sums((~_SPACE[data]).astype(np.int64), offsets)),
             "bare": _bare_tokens(data, offsets, w) / some,
             "stutter": np.bincount(row[1:][(w.hash[1:] == w.hash[:-1]) & (row[1:] == row[:-1])], minlength=len(n_words)) / some,
+            "runs": np.bincount(row[2:][(w.hash[2:] == w.hash[1:-1]) & (w.hash[2:] == w.hash[:-2]) & (row[2:] == row[:-2])], minlength=len(n_words)) / some,
             "insults": _sums(_within(insults, w.hash), w.offset),
-            "lexicon": _sums(_within(lexicon, w.hash), w.offset),
+            "lexicon": _sums(lexicon.holds(data, w), w.offset),
         },
         r,
         h,
     )
 
 
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _STOP_HASHES = word_hashes(STOP_WORDS)
 _INSULT_HASHES = word_hashes(INSULTS)
 
 
 def votes(p: Profile) -> tuple[np.ndarray, np.ndarray]:
-    """Vote patterns for quality and for toxicity: a bit for each labeller, set if it says bad and unset if it abstains."""
+    """Vote patterns for quality and for toxicity: two bits for each labeller, the lower says bad, the upper says good.
+
+    A labeller that is not sure, or for which a text is too short, sets neither: it abstains. A text without words has bad
+    votes for its function words, vocabulary and sentences.
+    """
     m = p.measures
-    long, none = m["words"] >= 20, m["words"] == 0
+    some, long, none = m["words"] >= 5, m["words"] >= 20, m["words"] == 0
+    root = np.sqrt(np.maximum(1, m["words"]))
+    types = m["distinct"] * m["words"]
     quality = [
-        (m["upper"] > 0.5) & (m["words"] >= 5),
-        m["marks"] > 0.06,
-        m["pipes"] > 0.1,
-        (m["function"] < 0.01) & long | none,
-        (m["repeated"] > 0.5) & long,
-        (m["distinct"] < 0.1) & long | none,
-        (m["stops"] < 0.004) & long | none,
-        (m["letters"] < 0.9) & long,
-        m["bare"] > 0.15,
-        (m["stutter"] > 0.3) & long,
+        (some & (m["upper"] > 0.5), some & (m["upper"] < 0.2)),
+        (m["marks"] > 0.06, some & (m["marks"] < 0.01)),
+        (m["pipes"] > 0.1, some & (m["pipes"] < 0.02)),
+        ((m["function"] < 0.01) & long | none, long & (m["function"] > 0.05)),
+        ((m["repeated"] > 0.5) & long, long & (m["repeated"] < 0.2)),
+        ((types < root) & long | none, long & (types > 2 * root)),
+        ((m["stops"] < 0.004) & long | none, long & (m["stops"] > 0.01)),
+        ((m["letters"] < 0.9) & long, long & (m["letters"] > 0.94)),
+        (m["bare"] > 0.15, some & (m["bare"] < 0.02)),
+        ((m["stutter"] > 0.3) & long, long & (m["stutter"] < 0.1)),
+        ((m["runs"] > 0.2) & long, long & (m["runs"] < 0.05)),
     ]
-    toxic = [m["insults"] >= 1, m["lexicon"] >= 1, m["insults"] + m["lexicon"] > 0.004 * m["words"]]
-    return tuple(sum(v.astype(np.int64) << i for i, v in enumerate(x)) for x in (quality, toxic))
+    said = m["insults"] + m["lexicon"]
+    toxic = [(m["insults"] >= 1, some & (said == 0)), (m["lexicon"] >= 1, some & (said == 0)), (said > 0.004 * m["words"], long & (said < 0.0005 * m["words"]))]
+    return tuple(sum((bad | good << 1).astype(np.int64) << 2 * i for i, (bad, good) in enumerate((b.astype(np.int64), (g & ~b).astype(np.int64)) for b, g in x)) for x in (quality, toxic))
+
+
+def said_of(pattern: np.ndarray, labellers: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bad, good) votes of patterns, a column for each labeller."""
+    at = 2 * np.arange(labellers)
+    return pattern[:, None] >> at & 1, pattern[:, None] >> at + 1 & 1
 
 
 @dataclass
 class LabelModel:
-    """Share of the bad class, and for each labeller P(says bad | class) with classes bad, good."""
+    """Share of the bad class, and for each labeller P(says bad | it votes, class) with classes bad, good."""
 
     bad: float
     rate: np.ndarray
 
     def posterior(self, pattern: np.ndarray) -> np.ndarray:
         """P(bad | votes) of vote patterns."""
-        said = (pattern[:, None] >> np.arange(len(self.rate)) & 1)[:, :, None]
-        score = np.log(np.where(said == 1, self.rate, 1 - self.rate)).sum(axis=1) + np.log([self.bad, 1 - self.bad])
+        bad, good = said_of(pattern, len(self.rate))
+        score = bad @ np.log(self.rate) + good @ np.log(1 - self.rate) + np.log([self.bad, 1 - self.bad])
         return 1 / (1 + np.exp(np.clip(score[:, 1] - score[:, 0], -700, 700)))
 
 
-def label_model(pattern: np.ndarray, count: np.ndarray, labellers: int, turns: int = 200) -> LabelModel:
+def label_model(pattern: np.ndarray, count: np.ndarray, labellers: int, turns: int = 500) -> LabelModel:
     """EM over distinct vote patterns and their counts, started from the documents with a bad vote.
 
-    The kinds of bad documents hardly overlap, so that the votes alone do not fix what the classes are. The estimates are
-    therefore drawn half-way to PRIOR: a labeller seldom says bad of a good document.
+    Every accuracy is the votes' own, but for PRIOR, which weighs as much as PRIOR_DOCUMENTS documents of each class
+    whatever the number of documents. Abstentions tell nothing. Without documents the model is the prior.
     """
-    said = pattern[:, None] >> np.arange(labellers) & 1
-    p = np.where(said.any(axis=1), 0.9, 0.1)
+    bad, good = said_of(pattern, labellers)
+    p = np.where(bad.any(axis=1), 0.9, 0.02)
+    model = LabelModel(0.1, np.tile(PRIOR, (labellers, 1)))
     for _ in range(turns):
         weight = np.stack([count * p, count * (1 - p)], axis=1)
         total = weight.sum(axis=0)
-        model = LabelModel(float(np.clip(total[0] / max(1, count.sum()), 1e-4, 1 - 1e-4)), (said.T @ weight + PRIOR * (total + 1)) / (2 * total + 1))
+        says, voted = bad.T @ weight, (bad + good).T @ weight
+        rate = np.clip((says + PRIOR * PRIOR_DOCUMENTS) / (voted + PRIOR_DOCUMENTS), 1e-6, 1 - 1e-6)
+        model = LabelModel(float(np.clip(total[0] / max(1, count.sum()), 1e-4, 1 - 1e-4)), rate)
         was, p = p, model.posterior(pattern)
-        if np.abs(was - p).max(initial=0) < 1e-6:
+        if np.abs(was - p).max(initial=0) < 1e-7:
             break
     return model
 
@@ -225,33 +262,40 @@ _SHAPE_EDGES = {
     "pipes": [0.001, 0.03, 0.1, 0.3],
     "function": [0.01, 0.03, 0.05, 0.08, 0.15],
     "repeated": [0.05, 0.15, 0.3, 0.6],
-    "distinct": [0.05, 0.1, 0.2, 0.3, 0.5, 0.8],
+    "richness": [0.5, 1, 2, 4, 8],
     "stops": [0.004, 0.01, 0.02, 0.05],
     "letters": [0.5, 0.8, 0.9, 0.95],
     "bare": [0.02, 0.15, 0.4, 0.8],
     "stutter": [0.05, 0.15, 0.3, 0.6],
+    "runs": [0.01, 0.05, 0.2, 0.5],
     "insults": [1, 2, 3, 6],
     "lexicon": [1, 2, 3, 6],
 }
 
 
-def fit_linear(bucket: np.ndarray, counts: np.ndarray, target: np.ndarray, turns: int = 60, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on binary features and soft targets, by full-batch AdaGrad."""
+def fit_linear(bucket: np.ndarray, counts: np.ndarray, target: np.ndarray, turns: int = 100, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on binary features and soft targets, by full-batch AdaGrad. Without examples all weights are 0.
+
+    A word that stands in fewer than LEAST_EXAMPLES documents of the sample has no weight: it would be learned by heart.
+    """
     row = np.repeat(np.arange(len(counts)), counts)
+    often = np.bincount(bucket, minlength=BUCKETS) >= min(LEAST_EXAMPLES, 1 + len(counts) // 50)
+    often[BUCKETS - SHAPES :] = True
+    used = often[bucket]
+    row, bucket = row[used], bucket[used]
+    # Shape features learn at the full rate, words at less than a tenth of it: they are many, and each tells little.
+    rate = np.where(np.arange(BUCKETS) < BUCKETS - SHAPES, 0.04, 0.5)
     w, bias, n = np.zeros(BUCKETS), 0.0, max(1, len(counts))
-    # Classes weigh alike, so that a rare class is not given up.
-    share = float(np.clip(target.mean() if len(target) else 0.5, 1e-3, 1 - 1e-3))
-    weight = np.where(target > 0.5, 0.5 / share, 0.5 / (1 - share))
     square, square_b = np.full(BUCKETS, 1e-8), 1e-8
     for _ in range(turns):
         z = np.bincount(row, w[bucket], len(counts)) + bias
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target)
+        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
         g = np.bincount(bucket, error[row], BUCKETS) / n + l2 * w
         gb = error.sum() / n
         square += g * g
         square_b += gb * gb
-        w -= 0.3 * g / np.sqrt(square)
-        bias -= 0.3 * gb / np.sqrt(square_b)
+        w -= rate * g / np.sqrt(square)
+        bias -= 0.5 * gb / np.sqrt(square_b)
     return w, bias
 
 
@@ -261,7 +305,7 @@ class Scorer:
 
     weights: np.ndarray
     bias: np.ndarray
-    lexicon: np.ndarray
+    lexicon: Lexicon
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probabilities (low quality, toxic) of each text."""
@@ -272,8 +316,14 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def toxic_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labelled: int = LABELLED) -> list[str]:
-    """Words that stand far more often in documents labelled toxic, from at most about `labelled` labelled documents."""
+def toxic_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labelled: int = LABELLED) -> tuple[list[str], list[str]]:
+    """(words, stems) that stand far more often in documents labelled toxic, from about `labelled` labelled documents.
+
+    labels: doc_id, toxic; rows with a null in either are left out, and of several rows of one document the largest label
+    counts. A stem is a word's first STEM letters. An entry stands in LEXICON_LEAST toxic documents or more, and 20 times
+    as often there as in others; the LEXICON most frequent are taken, ties by spelling. Repeated document rows count each;
+    null and empty texts hold no words. Empty tables, or labels of other documents, give no entries.
+    """
     per_doc = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = per_doc.count()
     drawn = per_doc.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, labelled / max(1, n))))
@@ -281,26 +331,30 @@ def toxic_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            seen: dict[str, list[int]] = {}
+            seen: dict[tuple[str, bool], list[int]] = {}
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for word in set(find((text or "").lower())):
-                    seen.setdefault(word, [0, 0])[int(toxic > 0)] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in (0, 1))], ["word", "clean", "toxic"])
+                own = set(find((text or "").translate(_LOWER)))
+                for entry in [(x, False) for x in own] + [(x, True) for x in {x[:STEM] for x in own if len(x) > STEM}]:
+                    seen.setdefault(entry, [0, 0])[int(toxic > 0)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.bool_()), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in (0, 1))], ["word", "stem", "clean", "toxic"])
 
     # The drawn labels are bounded by `labelled`.
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).join(F.broadcast(drawn), "doc_id").select("toxic", "t")
-    found = map_arrow(held, count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    best = found.where((F.col("toxic") >= LEXICON_LEAST) & (F.col("toxic") > 20 * F.col("clean"))).orderBy(F.desc("toxic"), "word").limit(LEXICON)
-    return [r.word for r in best.collect()]
+    found = map_arrow(held, count, "word string, stem boolean, clean long, toxic long").groupBy("word", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    best = found.where((F.col("toxic") >= LEXICON_LEAST) & (F.col("toxic") > 20 * F.col("clean"))).orderBy(F.desc("toxic"), "word", "stem").limit(LEXICON)
+    rows = best.collect()
+    return [r.word for r in rows if not r.stem], [r.word for r in rows if r.stem]
 
 
 def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Scorer:
     """The scorer for a corpus. labels (doc_id, toxic): used for the toxic lexicon alone; without it there is none.
 
     Votes are counted over all documents; the linear weights come from about `sample` documents, drawn by a hash of their
-    ids, with the label model's posteriors as targets.
+    ids, with the label model's posteriors as targets. A null text counts as an empty one, repeated rows each count, and
+    rows of one id (also a null one) are drawn together, so that equal tables give equal scorers. An empty table gives
+    a scorer without weights. Other columns are not read.
     """
-    lexicon = word_hashes(toxic_lexicon(docs, labels, id_col, text_col)) if labels is not None else np.zeros(0, np.uint64)
+    lexicon = Lexicon.of(*toxic_lexicon(docs, labels, id_col, text_col)) if labels is not None else Lexicon.of([], [])
     held = docs.sparkSession.sparkContext.broadcast(lexicon)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
 
@@ -308,6 +362,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
         for batch in slices(batches, 1):
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in votes(profile(batch.column(1), _INSULT_HASHES, held.value))], ["quality", "toxic"])
 
+    # One row for each pattern of votes: a few hundred, whatever the number of documents.
     counted = map_arrow(texts, vote, "quality long, toxic long").groupBy("quality", "toxic").count().toPandas()
     models = [label_model(counted[c].to_numpy(np.int64), counted["count"].to_numpy(float), n) for c, n in (("quality", len(QUALITY_LABELLERS)), ("toxic", len(TOXIC_LABELLERS)))]
     n = int(counted["count"].sum())
