@@ -1,75 +1,94 @@
-"""Connected components and exact link search inside buckets, as Spark joins."""
+"""Connected components as Spark joins, and tables for results that are read again."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from threading import Lock
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A condition on the columns of two sides, given their prefixes.
-Linked = Callable[[str, str], Column]
-
-
 #: Whether Spark removes a query's shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _folder(spark: SparkSession) -> str:
-    """The folder that the cluster's machines share: spark.checkpoint.dir; where unset, as in tests, one in the warehouse."""
+    """The folder that the cluster's machines share: spark.checkpoint.dir. Where it is unset, a session on one machine, as
+    in tests, has one in its warehouse; a cluster must set it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+    return spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
 
 
-def _files(df: DataFrame, a_core: int) -> DataFrame:
-    """df in fewer partitions, as each becomes a file: no shuffle, and no swarm of tiny files.
-
-    There are so many for each core, or a quarter of the session's shuffle partitions if these are more, so that a task
-    takes four of its partitions at most where the data, and with it that setting, grow.
-    """
-    spark = df.sparkSession
-    return df.coalesce(max(a_core * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
+def _sized(df: DataFrame) -> DataFrame:
+    """df as it is where Spark sizes partitions by their bytes; where that is off, four shuffle partitions to a task, so
+    that a table is no swarm of tiny files."""
+    conf = df.sparkSession.conf
+    if all(conf.get(f"spark.sql.adaptive.{x}", "true") == "true" for x in ("enabled", "coalescePartitions.enabled")):
+        return df
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")) // 4))
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """`df` checkpointed in the shared folder, with its lineage cut; the files go when the frame is no longer used."""
+    """`df` checkpointed in the shared folder, with its lineage cut. Spark's cleaner owns the files: it removes them when
+    the frame is no longer used, if spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_folder(df.sparkSession))
-    return _files(df, 2).checkpoint(eager=True)
+    return _sized(df).checkpoint(eager=True)
+
+
+class _DroppedShuffles:
+    """While any job is inside, the session drops a job's shuffle files when it ends; afterwards its setting is as before."""
+
+    lock, inside, before = Lock(), 0, None
+
+    def __init__(self, spark: SparkSession):
+        self.conf = spark.conf
+
+    def __enter__(self) -> None:
+        kind = _DroppedShuffles
+        with kind.lock:
+            if not kind.inside:
+                kind.before = self.conf.get(_CLEANUP, None)
+                self.conf.set(_CLEANUP, "true")
+            kind.inside += 1
+
+    def __exit__(self, *_) -> None:
+        kind = _DroppedShuffles
+        with kind.lock:
+            kind.inside -= 1
+            if not kind.inside:
+                self.conf.unset(_CLEANUP) if kind.before is None else self.conf.set(_CLEANUP, kind.before)
 
 
 class Scratch:
-    """Compressed tables in the shared folder, for results that are read again; clear() removes them.
+    """Compressed tables in the shared folder for results that are read again inside a step: `with Scratch(spark) as s`.
 
-    The shuffle files of the job that writes a table go when it ends, as the table takes their place.
+    All go when the block ends, also by an error, so that what leaves the block must not read them. The shuffle files of
+    the job that writes a table go when it ends, as the table takes their place.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.path = spark, f"{_folder(spark)}/tables/{uuid4().hex}"
         self.n = 0
 
-    def stored(self, df: DataFrame) -> DataFrame:
-        conf = self.spark.conf
-        path = f"{self.path}/{self.n}"
-        self.n += 1
-        before = conf.get(_CLEANUP, None)
-        conf.set(_CLEANUP, "true")
-        try:
-            _files(df, 4).write.option("compression", "zstd").parquet(path)
-        finally:
-            conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def __enter__(self) -> Scratch:
+        return self
 
-    def clear(self) -> None:
+    def __exit__(self, *_) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-
-def stored(df: DataFrame) -> DataFrame:
-    """`df` written as a table of its own in the shared folder and read again."""
-    return Scratch(df.sparkSession).stored(df)
+    def stored(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{self.n}"
+        self.n += 1
+        with _DroppedShuffles(self.spark):
+            _sized(df).write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -105,38 +124,6 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def bucket_links(members: DataFrame, evidence: DataFrame, linked: Linked, measures: Callable[[str, str], dict[str, Column]], fits: Linked) -> DataFrame:
-    """(node, component) by all true links between members of a bucket, without emitting all pairs of a bucket.
-
-    members, a table that is at hand: bucket, id, rep, probe; one row for every member but the bucket's representative `rep`. Two members can be
-    linked if one of them at least was indexed (probe is false); representatives are indexed. evidence: id and what a link
-    is judged by. linked, measures, fits take the prefixes of two sides: whether their evidence links them; measures of the
-    right side against the representative on the left; and a necessary condition for a link from the measures of both.
-
-    First each member is held against its bucket's representative, which joins copies of one text to it in one row per
-    member. Only members that are still in different components are then held against each other, in the condition of a
-    join that puts out links alone: no link between different components is missed, and no pair is a row.
-    """
-
-    def side(prefix: str, df: DataFrame) -> DataFrame:
-        return df.select([F.col(c).alias(prefix + c) for c in df.columns])
-
-    scratch = Scratch(members.sparkSession)
-    pairs = members.select(F.col("rep").alias("l_id"), F.col("id").alias("r_id")).distinct()
-    pairs = pairs.join(side("r_", evidence), "r_id").join(side("l_", evidence), "l_id")
-    star = scratch.stored(pairs.select("l_id", "r_id", linked("l_", "r_").alias("linked"), *[v.alias(k) for k, v in measures("l_", "r_").items()]))
-    links = star.where("linked").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
-    of = components(links)
-    joined = members.join(of.withColumnsRenamed({"node": "id", "component": "of_id"}), "id", "left").join(
-        of.withColumnsRenamed({"node": "rep", "component": "of_rep"}), "rep", "left"
-    )
-    joined = joined.withColumns({"of_id": F.coalesce("of_id", "id"), "of_rep": F.coalesce("of_rep", "rep")})
-    apart = joined.where("of_id <> of_rep").select("bucket").distinct()
-    inside = joined.drop("of_rep").join(apart, "bucket", "left_semi").join(star.drop("linked").withColumnsRenamed({"l_id": "rep", "r_id": "id"}), ["rep", "id"])
-    inside = inside.join(evidence, "id")
-    on = (F.col("l_bucket") == F.col("r_bucket")) & (F.col("l_of_id") != F.col("r_of_id")) & ~F.col("l_probe")
-    on &= (F.col("r_probe") & (F.col("l_id") != F.col("r_id"))) | (F.col("l_id") < F.col("r_id"))
-    cross = side("l_", inside).join(side("r_", inside), on & fits("l_", "r_") & linked("l_", "r_"))
-    out = components(scratch.stored(links.unionByName(cross.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))))
-    scratch.clear()
-    return out
+def side(prefix: str, df: DataFrame) -> DataFrame:
+    """df with a prefix before each column's name."""
+    return df.select([F.col(c).alias(prefix + c) for c in df.columns])

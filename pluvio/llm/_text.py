@@ -17,9 +17,6 @@ from pyspark.sql.types import StructType
 
 #: Bytes and rows of text handled at once; a longer single text is a slice of its own.
 SLICE_BYTES, SLICE_ROWS = 1 << 18, 256
-#: Rows of an Arrow batch between the JVM and Python.
-BATCH_ROWS = 512
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _BYTE = np.zeros(256, np.uint8)
 _BYTE[48:58] = np.arange(48, 58)
@@ -157,10 +154,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """df.mapInArrow with small batches, as texts can be long: the session's limit is lowered to BATCH_ROWS."""
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
-        conf.set(_BATCH, str(BATCH_ROWS))
+    """df.mapInArrow. Spark bounds its batches by rows and bytes; slices() cuts what a step works on at once."""
     return df.mapInArrow(run, schema)
 
 

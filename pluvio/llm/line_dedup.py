@@ -5,14 +5,17 @@ the line's length, so that two lines within that distance share a segment whole
 (length, segment number, content); a line probes, for its own length and the shorter ones in reach, only the substrings
 that a minimal sequence of edits can have moved there. Pairs that meet are verified with a banded bit-parallel edit
 distance over bigint columns, and the first line of each group of connected lines stays.
+
+Lines of one template share a segment without being near one another. A large bucket is therefore cut anew: its lines get
+new segments, each with a like share of the places in which they differ, and meet again only where one of these is whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._graph import Scratch, bucket_links, shared, stored
+from ._graph import Scratch, components, shared, side
 
 #: Edits (insertions, deletions, substitutions of characters) up to which two lines are copies.
 MAX_EDITS = 2
@@ -21,7 +24,9 @@ MIN_CHARS = 20
 #: Lines of this length on can be joined by their distance.
 LEAST_CHARS = 3 * (MAX_EDITS + 1)
 #: Letters whose counts are compared before the distance: an edit changes them by 2 in all at most.
-COUNTED = "etaonirshdu"
+COUNTED = "etaonirshdu0123456789"
+#: Members of a bucket up to which they are held against each other pair by pair; larger buckets are cut anew.
+CROWD = 64
 #: Bits of a line number in a position.
 _LINE_BITS = 32
 
@@ -37,7 +42,7 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def looked_up(lines: DataFrame, edits: int) -> tuple[DataFrame, list[str], list[str]]:
-    """lines (id, line) with a column for each hash to look up, the names of all of them, and of a line's own segments.
+    """lines (id, chars, ...) with a column for each hash to look up, the names of all of them, and of a line's own segments.
 
     The last segments take what the division of a line's length leaves over. The columns come in short steps, since one
     long expression would make a method that the JVM does not compile; the line is cut at four bytes a character, so that
@@ -56,7 +61,7 @@ def looked_up(lines: DataFrame, edits: int) -> tuple[DataFrame, list[str], list[
     out = out.withColumns(cuts)
     places = probes(edits)
     hashed = [F.xxhash64(f"n{d}", F.lit(i), F.substring(F.col("wide"), F.col(f"s{d}_{i}") + 4 * shift, F.col(f"z{d}_{i}"))).alias(f"b{k}") for k, (d, i, shift) in enumerate(places)]
-    return out.select("id", *hashed), [f"b{k}" for k in range(len(places))], [f"b{k}" for k, (d, _, shift) in enumerate(places) if d == 0 and shift == 0]
+    return out.select("id", "chars", *hashed), [f"b{k}" for k in range(len(places))], [f"b{k}" for k, (d, _, shift) in enumerate(places) if d == 0 and shift == 0]
 
 
 def _let(value: Column, body) -> Column:
@@ -115,22 +120,21 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), m), start, step)["d"]
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, line) of all lines, without the spaces around them; n from 0."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(text, "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
+def _lines(docs: DataFrame) -> DataFrame:
+    """(id, n, line) of all lines of docs (id, text), without the spaces around them; n from 0."""
+    return docs.select("id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n", "line")).withColumn("line", F.trim("line"))
 
 
 def _position() -> Column:
     return F.col("id").cast("decimal(20,0)") * F.lit(1 << _LINE_BITS).cast("decimal(10,0)") + F.col("n").cast("decimal(10,0)")
 
 
-#: What stands for a line in joins.
-_NAMES = ("id", "k2", "k3")
+#: What stands for a line when its occurrences are looked up: 128 bits of hashes, and its length.
+_NAMES = ("_k1", "_k2", "_k3")
 
 
 def _key() -> dict[str, Column]:
-    return dict(zip(_NAMES, (F.xxhash64("line"), F.hash("line"), F.length("line")), strict=True))
+    return dict(zip(_NAMES, (F.xxhash64("line"), F.xxhash64(F.lit(1), "line"), F.length("line")), strict=True))
 
 
 def _least(min_chars: int, exact_chars: int | None) -> int:
@@ -138,70 +142,179 @@ def _least(min_chars: int, exact_chars: int | None) -> int:
     return min_chars if exact_chars is None else max(1, min(min_chars, exact_chars))
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
-    """(id, k2, k3, line, first, times, class_first) of every distinct line of `min_chars` characters or more, and, if
-    exact_chars is given, of the shorter ones of `exact_chars` or more, which are connected to no other line.
+def _alike(left: str, right: str, edits: int) -> Column:
+    """What two lines within `edits` of each other must have in common: nearly their lengths, and their characters' counts."""
+    apart = [F.abs(F.col(f"{left}n_{c}") - F.col(f"{right}n_{c}")) for c in COUNTED]
+    return (F.abs(F.col(f"{left}chars") - F.col(f"{right}chars")) <= edits) & (sum(apart[1:], apart[0]) <= 2 * edits)
 
-    first: position of its first occurrence; times: its occurrences; class_first: position of the first occurrence of any
-    line connected to it by lines within `edits` of one another. A position is the document's id * 2**32 + line number, a
-    decimal. Lines of null ids are left out. id, k2 and k3 are two hashes and the length of the line, which stand for it
-    in joins; the links are between ids.
+
+def _linked(left: str, right: str, edits: int) -> Column:
+    return _alike(left, right, edits) & (bounded_distance(F.col(f"{left}letters"), F.col(f"{right}letters"), edits) <= edits)
+
+
+def _pair_links(members: DataFrame, evidence: DataFrame, edits: int) -> DataFrame:
+    """(a, b): links between members (bucket, n, id, probe, group) of one bucket in different groups, one of which at least
+    is there by a segment of its own. Pairs are judged in the condition of the join, which puts out links alone."""
+    inside = members.join(evidence, "id")
+    on = (F.col("l_bucket") == F.col("r_bucket")) & (F.col("l_n") == F.col("r_n")) & (F.col("l_group") != F.col("r_group")) & ~F.col("l_probe")
+    on &= (F.col("r_probe") & (F.col("l_id") != F.col("r_id"))) | (F.col("l_id") < F.col("r_id"))
+    found = side("l_", inside).join(side("r_", inside), on & _linked("l_", "r_", edits))
+    return found.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+
+
+def _cuts(star: DataFrame, edits: int) -> DataFrame:
+    """(bucket, n, starts) where the bucket's own lines, all of length n, are cut into edits + 1 segments.
+
+    Each segment has about the same share of the differences between the lines and their representative, and a place with
+    differences; a bucket with fewer such places than segments has no row.
     """
-    if min_chars < 3 * (edits + 1):
-        raise ValueError("min_chars must be three times edits + 1 or more")
-    lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= _least(min_chars, exact_chars))
+    places = star.where("not probe").select("bucket", "n", F.explode("differs").alias("place")).groupBy("bucket", "n", "place").agg(F.count("*").alias("c"))
+    upto = Window.partitionBy("bucket", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("bucket", "n")
+    placed = places.withColumns({"upto": F.sum("c").over(upto), "row": F.count("*").over(upto), "total": F.sum("c").over(whole)})
+    ends = [F.min(F.when(F.col("upto") * (edits + 1) >= F.col("total") * i, F.col("row"))).alias(f"e{i}") for i in range(1, edits + 1)]
+    found = placed.groupBy("bucket", "n").agg(*ends, F.count("*").alias("m"), F.array_sort(F.collect_list("place")).alias("places")).where(F.col("m") > edits)
+    for i in range(1, edits + 1):
+        least = F.lit(1) if i == 1 else F.col(f"e{i - 1}") + 1
+        found = found.withColumn(f"e{i}", F.greatest(least, F.least(F.col(f"e{i}"), F.col("m") - edits - 1 + i)))
+    starts = [F.lit(0)] + [F.element_at("places", (F.col(f"e{i}") + 1).cast("int")) for i in range(1, edits + 1)]
+    return found.select("bucket", "n", F.array(*starts).alias("starts"))
+
+
+def _cut_anew(entries: DataFrame, cuts: DataFrame, evidence: DataFrame, edits: int) -> DataFrame:
+    """The entries (bucket, n, id, probe, group) by the new segments of their buckets."""
+    both = entries.join(cuts, ["bucket", "n"]).join(evidence.select("id", "chars", "letters"), "id")
+    keys = []
+    for d, i, shift in probes(edits):
+        start = F.get("starts", F.lit(i))
+        end = F.get("starts", F.lit(i + 1)) if i < edits else F.col("n")
+        key = F.xxhash64("bucket", "n", F.lit(i), F.slice("letters", start + (shift + 1), end - start))
+        entry = F.struct(key.alias("bucket"), (F.col("probe") | F.lit(bool(d or shift))).alias("probe"))
+        keys.append(F.when((F.col("chars") - F.col("n") == d) & (start + shift >= 0), entry))
+    return both.select("n", "id", "group", F.explode(F.array(*keys)).alias("e")).where("e is not null").select(F.col("e.bucket").alias("bucket"), "n", "id", F.col("e.probe").alias("probe"), "group")
+
+
+def _crowd_links(entries: DataFrame, evidence: DataFrame, edits: int, crowd: int, scratch: Scratch) -> DataFrame:
+    """(a, b): links that connect what is near in buckets too large for pairs. entries: bucket, n, id, probe, group.
+
+    Every turn holds the members of a bucket against its representative, which settles buckets that are all linked with
+    it, and cuts the others anew. The lines of a new bucket agree in all places of one more segment, so that they differ in
+    fewer places every turn, down to fewer than there are segments: such lines are near their representative, and what is
+    left in their bucket is compared pair by pair.
+    """
+    links = None
+    while True:
+        heads = entries.where("not probe").groupBy("bucket", "n").agg(F.min("id").alias("rep"))
+        held = entries.join(heads, ["bucket", "n"]).join(side("r_", evidence), F.col("id") == F.col("r_id")).join(side("l_", evidence), F.col("rep") == F.col("l_id"))
+        differs = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda k: ~F.get("r_letters", k).eqNullSafe(F.get("l_letters", k)))
+        told = held.select("bucket", "n", "rep", "id", "probe", "group", ((F.col("id") == F.col("rep")) | _linked("l_", "r_", edits)).alias("linked"), F.when(~F.col("probe") & (F.col("id") != F.col("rep")), differs).alias("differs"))
+        star = scratch.stored(told)
+        found = star.where("linked and id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+        links = found if links is None else links.unionByName(found)
+        unsettled = star.groupBy("bucket", "n").agg(F.min("linked").alias("all"), F.min("group").alias("least"), F.max("group").alias("most")).where("not all and least <> most")
+        left = scratch.stored(star.drop("rep", "linked").join(unsettled.select("bucket", "n"), ["bucket", "n"]))
+        if left.isEmpty():
+            return links
+        cuts = scratch.stored(_cuts(left, edits))
+        rest = left.drop("differs").join(cuts, ["bucket", "n"], "left_anti")
+        again = scratch.stored(_cut_anew(left.drop("differs"), cuts, evidence, edits))
+        sizes = again.groupBy("bucket", "n").agg(F.count("*").alias("size"), F.min("probe").alias("alone")).where("size > 1 and not alone")
+        sized = scratch.stored(again.join(sizes.drop("alone"), ["bucket", "n"]))
+        pairs = sized.where(F.col("size") <= crowd).drop("size").unionByName(rest)
+        links = links.unionByName(scratch.stored(_pair_links(pairs, evidence, edits)))
+        entries = sized.where(F.col("size") > crowd).drop("size")
+        if entries.isEmpty():
+            return links
+
+
+def _classes(docs: DataFrame, edits: int, min_chars: int, exact_chars: int | None, crowd: int, scratch: Scratch) -> DataFrame:
+    """line_classes() of docs (id, text), reading tables of `scratch`."""
+    lines = _lines(docs.where("id is not null")).where(F.length("line") >= _least(min_chars, exact_chars))
     distinct = lines.groupBy("line").agg(F.min(_position()).alias("first"), F.count("*").alias("times"))
-    distinct = stored(distinct.withColumns(_key()))
+    # The numbers are unique, and fixed as the table is written.
+    distinct = scratch.stored(distinct.withColumn("id", F.monotonically_increasing_id()))
     hashed, all_, own = looked_up(distinct.where(F.length("line") >= min_chars).select("id", "line"), edits)
     heads = hashed.select("id", F.explode(F.array(*own)).alias("bucket")).groupBy("bucket").agg(F.min("id").alias("rep"))
-    probed = hashed.select("id", F.posexplode(F.array(*[*own, *[c for c in all_ if c not in own]])).alias("place", "bucket"))
-    probed = probed.select("id", "bucket", (F.col("place") >= len(own)).alias("probe"))
-    scratch = Scratch(docs.sparkSession)
+    order = [*own, *[c for c in all_ if c not in own]]
+    shorter = F.array(*[F.lit(probes(edits)[all_.index(c)][0]) for c in order])
+    probed = hashed.select("id", "chars", F.posexplode(F.array(*[F.col(c) for c in order])).alias("place", "bucket"))
+    probed = probed.select("id", "bucket", (F.col("place") >= len(own)).alias("probe"), (F.col("chars") - F.get(shorter, F.col("place"))).alias("n"))
     members = scratch.stored(probed.join(heads.hint("shuffle_hash"), "bucket").where("id <> rep"))
     wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
-    letters = F.transform(F.split("line", ""), F.ascii)
     length = F.length("line")
     counts = [(length - F.length(F.replace("line", F.lit(c), F.lit("")))).alias(f"n_{c}") for c in COUNTED]
-    near = distinct.select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    evidence = scratch.stored(near.select("id", length.alias("chars"), letters.alias("letters"), *counts))
+    near = distinct.select("id", "line").join(wanted, "id", "left_semi")
+    evidence = scratch.stored(near.select("id", length.alias("chars"), F.transform(F.split("line", ""), F.ascii).alias("letters"), *counts))
+    pairs = members.select("rep", "id").distinct().join(side("r_", evidence), F.col("id") == F.col("r_id")).join(side("l_", evidence), F.col("rep") == F.col("l_id"))
+    links = scratch.stored(pairs.where(_linked("l_", "r_", edits)).select(F.col("rep").alias("a"), F.col("id").alias("b")))
+    of = components(links)
+    placed = members.join(of.withColumnsRenamed({"node": "id", "component": "group"}), "id", "left").join(of.withColumnsRenamed({"node": "rep", "component": "rep_group"}), "rep", "left")
+    placed = placed.withColumns({"group": F.coalesce("group", "id"), "rep_group": F.coalesce("rep_group", "rep")})
+    apart = placed.where("group <> rep_group").select("bucket").distinct()
+    inside = placed.join(apart, "bucket", "left_semi")
+    crowded = inside.groupBy("bucket").agg(F.count("*").alias("size"))
+    inside = scratch.stored(inside.join(crowded, "bucket"))
+    found = links.unionByName(_pair_links(inside.where(F.col("size") <= crowd).select("bucket", "n", "id", "probe", "group"), evidence, edits))
+    large = inside.where(F.col("size") > crowd)
+    if not large.isEmpty():
+        reps = large.groupBy("bucket", "n", "rep").agg(F.first("rep_group").alias("group")).select("bucket", "n", F.col("rep").alias("id"), F.lit(False).alias("probe"), "group")
+        entries = large.select("bucket", "n", "id", "probe", "group").unionByName(reps)
+        found = found.unionByName(_crowd_links(entries, evidence, edits, crowd, scratch))
+    groups = components(scratch.stored(found)).withColumnRenamed("node", "id")
+    joined = scratch.stored(groups.join(distinct.select("id", "first"), "id"))
+    first = joined.groupBy("component").agg(F.min("first").alias("class_first"))
+    named = joined.join(first, "component").select("id", "class_first")
+    return distinct.join(named, "id", "left").select("line", *[v.alias(k) for k, v in _key().items()], "first", "times", F.coalesce("class_first", "first").alias("class_first"))
+
+
+def _checked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int) -> DataFrame:
+    if min_chars < 3 * (edits + 1):
+        raise ValueError("min_chars must be three times edits + 1 or more")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def alike(left: str, right: str) -> Column:
-        apart = [F.abs(F.col(f"{left}n_{c}") - F.col(f"{right}n_{c}")) for c in COUNTED]
-        return (F.abs(F.col(f"{left}chars") - F.col(f"{right}chars")) <= edits) & (sum(apart[1:], apart[0]) <= 2 * edits)
 
-    def linked(left: str, right: str) -> Column:
-        return alike(left, right) & (bounded_distance(F.col(f"{left}letters"), F.col(f"{right}letters"), edits) <= edits)
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None, crowd: int = CROWD) -> DataFrame:
+    """(line, first, times, class_first) of every distinct line of `min_chars` characters or more, and, if exact_chars is
+    given, of the shorter ones of `exact_chars` or more, which are connected to no other line.
 
-    groups = bucket_links(members, evidence, linked, lambda *_: {}, alike).withColumnRenamed("node", "id")
-    scratch.clear()
-    placed = shared(groups.join(distinct.select("id", "first"), "id"))
-    first = placed.groupBy("component").agg(F.min("first").alias("class_first"))
-    named = placed.join(first, "component").groupBy("id").agg(F.min("class_first").alias("class_first"))
-    return distinct.join(named, "id", "left").withColumn("class_first", F.coalesce("class_first", "first"))
+    first: position of its first occurrence; times: its occurrences; class_first: position of the first occurrence of any
+    line connected to it by lines within `edits` of one another. A position is the document's id * 2**32 + line number, a
+    decimal. Lines of null ids are left out. Buckets of more than `crowd` members are cut anew, which finds the same links.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        classes = _classes(_checked(docs, id_col, text_col, edits, min_chars), edits, min_chars, exact_chars, crowd, scratch)
+        return shared(classes.select("line", "first", "times", "class_first"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
-    """All columns and rows of `docs`, with n_lines, dropped (line numbers from 0, ascending), and the text that is left.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None, crowd: int = CROWD) -> DataFrame:
+    """All columns and rows of `docs`, with n_lines, dropped (line numbers from 0, ascending), and kept_text, the text that
+    is left. Columns of `docs` that have one of these three names give way to them.
 
     Of each group of connected lines the first occurrence stays, by id, then line number; every other occurrence in any
     document is dropped. Lines of fewer than `min_chars` characters stay; if exact_chars is given, those of that length on
-    go like the others where they repeat an earlier line exactly. All lines of rows with a null id stay. kept_text joins the lines that stay by
-    line feeds; it is the text itself, null included, where nothing is dropped. Rows that repeat an id hold one document:
-    what is dropped in one is dropped in all of them. A text of any length and number of lines is treated alike.
+    go like the others where they repeat an earlier line exactly. All lines of rows with a null id stay. kept_text joins the
+    lines that stay by line feeds; it is the text itself, null included, where nothing is dropped. Rows that repeat an id
+    hold one document: what is dropped in one is dropped in all of them. A text of any length and number of lines is
+    treated alike; an empty table gives no rows.
     """
-    groups = line_classes(docs, id_col, text_col, edits, min_chars, exact_chars)
-    repeated = groups.where((F.col("times") > 1) | (F.col("first") != F.col("class_first"))).select(*_NAMES, "class_first")
-    lines = _lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col).where(F.length("line") >= _least(min_chars, exact_chars))
-    found = lines.select(_position().alias("position"), F.col("id").alias("doc"), "n", *[v.alias(k) for k, v in _key().items()])
-    found = found.join(repeated, list(_NAMES)).where("position <> class_first").withColumnRenamed("doc", "_dropped_id")
-    dropped = found.groupBy("_dropped_id").agg(F.array_sort(F.collect_set("n")).alias("dropped"))
-    joined = docs.join(dropped, docs[id_col].cast("long") == dropped["_dropped_id"], "left").drop("_dropped_id")
-    text = F.col(text_col).cast("string")
-    pieces = F.split(F.coalesce(text, F.lit("")), "\n")
-    left = F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("dropped", i)), "\n")
+    plain = _checked(docs, id_col, text_col, edits, min_chars)
+    with Scratch(docs.sparkSession) as scratch:
+        groups = _classes(plain, edits, min_chars, exact_chars, crowd, scratch)
+        repeated = shared(groups.where("times > 1 or first <> class_first").select(*_NAMES, "class_first"))
+    lines = _lines(plain.where("id is not null")).where(F.length("line") >= _least(min_chars, exact_chars))
+    found = lines.select(_position().alias("_position"), F.col("id").alias("_id"), "n", *[v.alias(k) for k, v in _key().items()])
+    found = found.join(repeated, list(_NAMES)).where("_position <> class_first")
+    dropped = found.groupBy("_id").agg(F.array_sort(F.collect_set("n")).alias("_dropped"))
+    added = ("n_lines", "dropped", "kept_text")
+    kept = [c for c in docs.columns if c.lower() not in added]
+    held = docs.select(*[F.col(c).alias(f"_own_{i}") for i, c in enumerate(kept)], F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("_text"))
+    joined = held.join(dropped, F.col("_doc") == F.col("_id"), "left")
+    pieces = F.split(F.coalesce("_text", F.lit("")), "\n")
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), "_dropped"), lambda i: F.get("_pieces", i))
+    joined = joined.withColumn("_pieces", pieces)
     return joined.select(
-        *docs.columns,
-        F.size(pieces).cast("long").alias("n_lines"),
-        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
-        F.when(F.col("dropped").isNotNull(), left).otherwise(text).alias("kept_text"),
+        *[F.col(f"_own_{i}").alias(c) for i, c in enumerate(kept)],
+        F.size("_pieces").cast("long").alias("n_lines"),
+        F.coalesce("_dropped", F.array().cast("array<int>")).alias("dropped"),
+        F.when(F.col("_dropped").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("_text")).alias("kept_text"),
     )

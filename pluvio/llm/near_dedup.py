@@ -13,16 +13,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._graph import Scratch, bucket_links
+from ._graph import Scratch, components, shared, side
 from ._text import flat, lists, map_arrow, mix, shingles, slices, text_keys, words
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: 25 bands of 5 coordinates miss a pair of similarity 0.8 about once in 20,000 times.
 BANDS, ROWS = 25, 5
+#: Members of a representative up to which they are held against each other pair by pair.
+FAMILY = 64
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -115,6 +117,60 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Data
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")), run, "id long, words array<long>")
 
 
+def _enough(common: Column, sizes: Column, similarity: float) -> Column:
+    """Whether two sets with so many elements in common, and so many in all, are similar enough."""
+    return common >= similarity * (sizes - common) - 1e-9
+
+
+def _common(left: str, right: str) -> Column:
+    return F.size(F.array_intersect(f"{left}words", f"{right}words"))
+
+
+def _small_links(members: DataFrame, star: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between members (bucket, rep, id, group) of one bucket that are in different groups.
+
+    Two sets share with each other what both, or neither, share with the representative: that bound is held against each
+    pair first, and the sets only if it leaves a chance, all in the condition of a join that puts out links alone.
+    """
+    inside = members.join(star.select("rep", "id", "common", "n"), ["rep", "id"]).join(sets, "id")
+    c, d, n, m = (F.col(x) for x in ("l_common", "r_common", "l_n", "r_n"))
+    bound = _enough(F.least(c, d) + F.least(n - c, m - d), n + m, similarity)
+    on = (F.col("l_bucket") == F.col("r_bucket")) & (F.col("l_group") != F.col("r_group")) & (F.col("l_id") < F.col("r_id"))
+    pairs = side("l_", inside).join(side("r_", inside), on & bound & _enough(_common("l_", "r_"), n + m, similarity))
+    return pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+
+
+def _family_links(members: DataFrame, star: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between members (rep, id, group) of one large family that are in different groups, without its pairs.
+
+    Each set is told by its difference from the representative's set, since two sets differ from each other as these
+    differences do: J(S, T) >= s holds just if |S xor T| <= t (|S| + |T|) with t = (1 - s) / (1 + s). With x and y elements
+    in the differences, they have (x + y - t (n + m)) / 2 elements or more in common, for x - t n >= -t r in any case and
+    x - t n > t r for a set that is not linked with the representative of size r. Of two linked members in different
+    groups one at least is not linked with it, so that each has a least overlap that depends on itself alone. Elements are
+    put in order, rare ones first: two differences with that overlap meet in their prefixes. Pairs whose remaining
+    elements cannot make up the overlap any more are left out, and the others are verified on the sets.
+    """
+    t = (1 - similarity) / (1 + similarity)
+    whole = sets.select("id", "words")
+    apart = members.join(star.select("rep", "id", "linked", "n", "n_rep"), ["rep", "id"]).join(whole, "id").join(whole.select(F.col("id").alias("rep"), F.col("words").alias("rep_words")), "rep")
+    other = F.concat(F.array_except("words", "rep_words"), F.array_except("rep_words", "words"))
+    told = apart.select("rep", "id", "group", "linked", "n", "n_rep", other.alias("other")).withColumn("x", F.size("other"))
+    short = (F.col("x") - t * F.col("n") + F.when(F.col("linked"), t).otherwise(-t) * F.col("n_rep")) / 2
+    told = told.withColumn("prefix", F.col("x") - F.greatest(F.ceil(short - 1e-6), F.lit(1)) + 1).where("prefix > 0")
+    elements = told.select("rep", "id", "group", "linked", "n", "x", "prefix", F.explode("other").alias("element"))
+    often = elements.groupBy("rep", "element").agg(F.count("*").alias("times"))
+    place = F.row_number().over(Window.partitionBy("rep", "id").orderBy("times", "element"))
+    first = elements.join(often, ["rep", "element"]).withColumn("place", place).where("place <= prefix and times > 1").drop("prefix", "times")
+    need = (F.col("l_x") + F.col("r_x") - t * (F.col("l_n") + F.col("r_n"))) / 2 - 1e-6
+    left = 1 + F.least(F.col("l_x") - F.col("l_place"), F.col("r_x") - F.col("r_place"))
+    on = (F.col("l_rep") == F.col("r_rep")) & (F.col("l_element") == F.col("r_element")) & (F.col("l_id") < F.col("r_id"))
+    on &= (F.col("l_group") != F.col("r_group")) & ~(F.col("l_linked") & F.col("r_linked")) & (left >= need)
+    met = side("l_", first).join(side("r_", first), on).select("l_id", "r_id").distinct()
+    held = met.join(side("l_", whole), "l_id").join(side("r_", whole), "r_id")
+    return held.where(_enough(_common("l_", "r_"), F.size("l_words") + F.size("r_words"), similarity)).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -124,6 +180,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     weights: str = "binary",
+    family: int = FAMILY,
 ) -> DataFrame:
     """(id, copy_of, class_id) of every row: the least id with the same words, and the least id of its class.
 
@@ -132,49 +189,47 @@ def near_duplicates(
     occurrences, for corpora in which repetition matters; links are verified on the sets either way.
 
     Copies meet once, by the hash of their words, before anything is joined, so that a group of copies of any size costs
-    one row. A null or empty text, or one without words, is a class of its own. Rows with one id are one document, and a
-    null id is null in all columns. A text of fewer than `size` words is one shingle. Other columns are not read.
+    one row. The members of a bucket are first held against its representative, one row each. Members that are still in
+    different components are then held against each other: pair by pair in small buckets, by prefixes of what sets them
+    apart from the representative where it has more than `family` members; both ways find every link.
+
+    A null or empty text, or one without words, is a class of its own. Rows with one id are one document, and a null id is
+    null in all columns. A text of fewer than `size` words is one shingle. Texts of any length are read whole; an empty
+    table gives no rows. Other columns are not read.
     """
-    scratch, kept = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
-    sketch = kept.stored(sketches(docs, id_col, text_col, size, bands, rows, weights))
-    first = sketch.where("k1 is not null and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("copy_of"))
-    first = kept.stored(first)
-    banded = (
-        sketch.join(first.select(F.col("copy_of").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
-        .dropDuplicates(["id"])
-        .select("id", F.posexplode("bands").alias("band", "value"))
-        .select("id", F.xxhash64("band", "value").alias("bucket"))
-    )
-    full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = scratch.stored(banded.join(full, "bucket"))
-    # The member that stands in the largest buckets is the most like the others: it represents its buckets.
-    weight = crowded.groupBy("id").agg(F.sum("n").alias("weight"))
-    heads = crowded.join(weight, "id").groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("weight"), "id")).alias("rep"))
-    members = crowded.drop("n").join(heads, "bucket").where("id <> rep").withColumn("probe", F.lit(False))
-    members = scratch.stored(members)
-    wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
-    sets = scratch.stored(
-        shingle_sets(docs.join(wanted.withColumnRenamed("id", id_col), id_col, "left_semi"), id_col, text_col, size).dropDuplicates(["id"])
-    )
-
-    def enough(common: Column, sizes: Column) -> Column:
-        return common >= similarity * (sizes - common) - 1e-9
-
-    def common(left: str, right: str) -> Column:
-        return F.size(F.array_intersect(f"{left}words", f"{right}words"))
-
-    def linked(left: str, right: str) -> Column:
-        return enough(common(left, right), F.size(f"{left}words") + F.size(f"{right}words"))
-
-    def measures(left: str, right: str) -> dict[str, Column]:
-        return {"common": common(left, right), "n": F.size(f"{right}words")}
-
-    def fits(left: str, right: str) -> Column:
-        """What two sets share is shared with the representative by both, or by neither."""
-        c, d, n, m = (F.col(x) for x in (f"{left}common", f"{right}common", f"{left}n", f"{right}n"))
-        return enough(F.least(c, d) + F.least(n - c, m - d), n + m)
-
-    classes = bucket_links(members, sets, linked, measures, fits).select(F.col("node").alias("copy_of"), F.col("component").alias("class_id"))
-    scratch.clear()
-    known = first.join(classes, "copy_of", "left").select("k1", "k2", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))
-    return sketch.select("id", "k1", "k2").join(known, ["k1", "k2"], "left").select("id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    with Scratch(docs.sparkSession) as scratch:
+        sketch = scratch.stored(sketches(docs, "id", "text", size, bands, rows, weights))
+        first = scratch.stored(sketch.where("k1 is not null and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("copy_of")))
+        banded = (
+            sketch.join(first.select(F.col("copy_of").alias("id"), "k1", "k2"), ["id", "k1", "k2"], "left_semi")
+            .dropDuplicates(["id"])
+            .select("id", F.posexplode("bands").alias("band", "value"))
+            .select("id", F.xxhash64("band", "value").alias("bucket"))
+        )
+        full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        crowded = scratch.stored(banded.join(full, "bucket"))
+        # The member that stands in the largest buckets is the most like the others: it represents its buckets.
+        weight = crowded.groupBy("id").agg(F.sum("n").alias("weight"))
+        heads = crowded.join(weight, "id").groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("weight"), "id")).alias("rep"))
+        members = scratch.stored(crowded.drop("n").join(heads, "bucket").where("id <> rep"))
+        wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
+        sets = scratch.stored(shingle_sets(docs.join(wanted, "id", "left_semi"), "id", "text", size).dropDuplicates(["id"]))
+        pairs = members.select("rep", "id").distinct().join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("words").alias("rep_words")), "rep")
+        told = pairs.select("rep", "id", F.size(F.array_intersect("words", "rep_words")).alias("common"), F.size("words").alias("n"), F.size("rep_words").alias("n_rep"))
+        star = scratch.stored(told.withColumn("linked", _enough(F.col("common"), F.col("n") + F.col("n_rep"), similarity)))
+        links = star.where("linked").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+        of = components(links)
+        placed = members.join(of.withColumnsRenamed({"node": "id", "component": "group"}), "id", "left").join(of.withColumnsRenamed({"node": "rep", "component": "rep_group"}), "rep", "left")
+        placed = placed.withColumns({"group": F.coalesce("group", "id"), "rep_group": F.coalesce("rep_group", "rep")})
+        apart = placed.where("group <> rep_group").groupBy("bucket").agg(F.count("*").alias("apart"))
+        inside = scratch.stored(placed.drop("rep_group").join(apart, "bucket"))
+        families = inside.groupBy("rep").agg(F.countDistinct("id").alias("members")).where(F.col("members") > family)
+        small = _small_links(inside.join(families, "rep", "left_anti").drop("apart"), star, sets, similarity)
+        large = inside.join(families, "rep", "left_semi").select("rep", "id", "group").distinct()
+        found = links.unionByName(small)
+        if not large.isEmpty():
+            found = found.unionByName(_family_links(large, star, sets, similarity))
+        classes = components(scratch.stored(found)).select(F.col("node").alias("copy_of"), F.col("component").alias("class_id"))
+        copies = shared(sketch.select("id", "k1", "k2").join(first, ["k1", "k2"], "left").select("id", F.coalesce("copy_of", "id").alias("copy_of")))
+    return copies.join(classes, "copy_of", "left").select("id", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))

@@ -24,7 +24,7 @@ ODD = [(1, None), (2, ""), (3, "  \n\n"), (4, "!!! ???"), (5, "one"), (6, "wörd
 
 def odd(spark):
     df = spark.createDataFrame(ODD, DOC)
-    return df.withColumns({c: F.lit("x") for c in ("id", "t", "bucket", "rep", "n", "line", "dropped_lines", "k1", "keep", "spans")})
+    return df.withColumns({c: F.lit("x") for c in ("id", "t", "bucket", "rep", "n", "line", "dropped_lines", "k1", "keep", "spans", "dropped", "kept_text", "N_lines", "_id", "_text", "group", "place")})
 
 
 def words(text):
@@ -94,14 +94,7 @@ def _family(rng, base, n, edits):
     return out
 
 
-def test_near_duplicates_against_all_pairs(spark):
-    rng = random.Random(5)
-    texts = []
-    for f in range(4):
-        base = " ".join(f"w{rng.randrange(5000)}" for _ in range(120))
-        texts += _family(rng, base, 30, 6)
-    texts += [" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(30)]
-    rng.shuffle(texts)
+def _classes_by_all_pairs(texts):
     sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(words, texts)]
     parent = list(range(len(texts)))
 
@@ -115,8 +108,38 @@ def test_near_duplicates_against_all_pairs(spark):
             c = len(sets[i] & sets[j])
             if 5 * c >= 4 * (len(sets[i]) + len(sets[j]) - c):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("family", [2, 64])
+def test_near_duplicates_against_all_pairs(spark, family):
+    rng = random.Random(5)
+    texts = []
+    for f in range(4):
+        base = " ".join(f"w{rng.randrange(5000)}" for _ in range(120))
+        texts += _family(rng, base, 30, 6)
+    texts += [" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(30)]
+    rng.shuffle(texts)
+    got = {r.id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), DOC), family=family).collect()}
+    assert got == _classes_by_all_pairs(texts)
+
+
+def test_a_large_family_that_hardly_links(spark):
+    """Each text has its own changes to one passage; some are changed copies of others."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    texts = []
+    for i in range(250):
+        w = list(base)
+        for k in rng.sample(range(200), 5):
+            w[k] = f"x{i}y{k}"
+        texts.append(" ".join(w))
+        if i % 10 == 0:
+            w[rng.randrange(200)] = "again"
+            texts.append(" ".join(w[: rng.randrange(190, 200)]))
+    expected = _classes_by_all_pairs(texts)
     got = {r.id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), DOC)).collect()}
-    assert got == {i: root(i) for i in range(len(texts))}
+    assert got == expected and 25 <= sum(k != v for k, v in expected.items()) < 200
 
 
 @pytest.mark.parametrize("weights", ["binary", "count"])
@@ -387,7 +410,23 @@ def test_bounded_distance(spark, edits):
         assert r.x == r.d if r.d <= edits else r.x > edits
 
 
-def test_segments_find_every_close_pair(spark):
+def _line_roots(lines):
+    parent = list(range(len(lines)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(lines)):
+        for j in range(i):
+            if abs(len(lines[i]) - len(lines[j])) <= 2 and root(i) != root(j) and _distance(lines[i], lines[j]) <= 2:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i in range(len(lines))}
+
+
+@pytest.mark.parametrize("crowd", [2, 64])
+def test_segments_find_every_close_pair(spark, crowd):
     rng = random.Random(9)
     base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(25, 60))).strip().ljust(25, "z") for _ in range(25)]
     lines = set()
@@ -399,20 +438,35 @@ def test_segments_find_every_close_pair(spark):
                 b[k : k + rng.randint(0, 1)] = [rng.choice("abcdefgh")] * rng.randint(0, 1)
             lines.add("".join(b))
     lines = sorted(x for x in lines if len(x.strip()) == len(x) >= 20)
-    parent = list(range(len(lines)))
+    docs = spark.createDataFrame(list(enumerate(lines)), DOC)
+    got = {int(r.first) >> 32: int(r.class_first) >> 32 for r in line_dedup.line_classes(docs, crowd=crowd).collect()}
+    assert got == _line_roots(lines)
 
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
 
-    for i in range(len(lines)):
-        for j in range(i):
-            if abs(len(lines[i]) - len(lines[j])) <= 2 and _distance(lines[i], lines[j]) <= 2:
-                parent[max(root(i), root(j))] = min(root(i), root(j))
-    docs = spark.createDataFrame(list(enumerate(lines)), DOC)
-    got = {int(r.first) >> 32: int(r.class_first) >> 32 for r in line_dedup.line_classes(docs).collect()}
-    assert got == {i: root(i) for i in range(len(lines))}
+def test_templated_lines_are_cut_anew(spark):
+    """Lines of three templates, most of them far apart, some within two edits (also by shifts) of others."""
+    rng = random.Random(10)
+    lines = set()
+    for _ in range(170):
+        number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+        for line in (f"2024-05-{number(2)} INFO user {number(6)} logged in from 10.0.0.{number(1)}", f"{number(7)} items were sold at the market on {number(2)}.", f"the price of {number(1)} units is {number(8)}"):
+            lines.add(line)
+            if rng.random() < 0.3:
+                k = rng.randrange(len(line))
+                lines.add(rng.choice([line[:k] + "7" + line[k:], line[:k] + line[k + 1 :], line[:k] + "x" + line[k + 1 :]]).strip())
+    lines = sorted(lines)
+    docs = spark.createDataFrame([(0, "\n".join(lines))], DOC)
+    expected = _line_roots(lines)
+    for crowd in (4, 16):
+        got = {int(r.first): int(r.class_first) for r in line_dedup.line_classes(docs, crowd=crowd).collect()}
+        assert got == expected
+    assert len(set(expected.values())) > 150
+
+
+def test_a_text_of_very_many_lines(spark):
+    text = "\n".join(f"{'again and again the same' if i % 2 else f'a line of its own, number {i * i * 7919}'}" for i in range(60_000))
+    row = line_dedup.dedup_lines(spark.createDataFrame([(1, text)], DOC), min_chars=100, exact_chars=1).first()
+    assert row.n_lines == 60_000 and len(row.dropped) == 29_999 and row.kept_text.count("\n") == 30_000
 
 
 def test_lines_keep_their_first_occurrence(spark):
