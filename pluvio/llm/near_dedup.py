@@ -140,35 +140,50 @@ def _small_links(members: DataFrame, star: DataFrame, sets: DataFrame, similarit
     return pairs.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
 
 
-def _family_links(members: DataFrame, star: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between members (rep, id, group) of one large family that are in different groups, without its pairs.
-
-    Each set is told by its difference from the representative's set, since two sets differ from each other as these
-    differences do: J(S, T) >= s holds just if |S xor T| <= t (|S| + |T|) with t = (1 - s) / (1 + s). With x and y elements
-    in the differences, they have (x + y - t (n + m)) / 2 elements or more in common, for x - t n >= -t r in any case and
-    x - t n > t r for a set that is not linked with the representative of size r. Of two linked members in different
-    groups one at least is not linked with it, so that each has a least overlap that depends on itself alone. Elements are
+def _hubs(members: DataFrame, turns: int = 2) -> DataFrame:
+    """(hub, id, group): members (bucket, rep, size, id, group) by one reference for as many buckets as share members.
+
+    A bucket takes over the largest representative among those of its members' buckets, so that a family has one or few.
+    """
+    now = members.select("bucket", "id", "group", F.struct("size", "rep").alias("top"))
+    for _ in range(turns):
+        for key in ("id", "bucket"):
+            now = now.drop("top").join(now.groupBy(key).agg(F.max("top").alias("top")), key)
+    return now.select(F.col("top.rep").alias("hub"), "id", "group").distinct()
+
+
+def _family_links(members: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """(a, b): links that connect the members (hub, id, group) of one large family in different groups, without its pairs.
+
+    Each set is told by its difference from the hub's set, since two sets differ from each other as these differences do:
+    J(S, T) >= s holds just if |S xor T| <= t (|S| + |T|) with t = (1 - s) / (1 + s). With x and y elements in the
+    differences, they have (x + y - t (n + m)) / 2 elements or more in common, for x - t n >= -t r in any case and
+    x - t n > t r for a set that is not linked with the hub of size r. Links with the hub are put out; of two other linked
+    members one at least is not linked with it, so that each has a least overlap that depends on itself alone. Elements are
     put in order, rare ones first: two differences with that overlap meet in their prefixes. Pairs whose remaining
     elements cannot make up the overlap any more are left out, and the others are verified on the sets.
     """
     t = (1 - similarity) / (1 + similarity)
-    whole = sets.select("id", "words")
-    apart = members.join(star.select("rep", "id", "linked", "n", "n_rep"), ["rep", "id"]).join(whole, "id").join(whole.select(F.col("id").alias("rep"), F.col("words").alias("rep_words")), "rep")
-    other = F.concat(F.array_except("words", "rep_words"), F.array_except("rep_words", "words"))
-    told = apart.select("rep", "id", "group", "linked", "n", "n_rep", other.alias("other")).withColumn("x", F.size("other"))
-    short = (F.col("x") - t * F.col("n") + F.when(F.col("linked"), t).otherwise(-t) * F.col("n_rep")) / 2
-    told = told.withColumn("prefix", F.col("x") - F.greatest(F.ceil(short - 1e-6), F.lit(1)) + 1).where("prefix > 0")
-    elements = told.select("rep", "id", "group", "linked", "n", "x", "prefix", F.explode("other").alias("element"))
-    often = elements.groupBy("rep", "element").agg(F.count("*").alias("times"))
-    place = F.row_number().over(Window.partitionBy("rep", "id").orderBy("times", "element"))
-    first = elements.join(often, ["rep", "element"]).withColumn("place", place).where("place <= prefix and times > 1").drop("prefix", "times")
+    apart = members.join(sets, "id").join(sets.select(F.col("id").alias("hub"), F.col("words").alias("hub_words")), "hub")
+    other = F.concat(F.array_except("words", "hub_words"), F.array_except("hub_words", "words"))
+    told = apart.select("hub", "id", "group", F.size("words").alias("n"), F.size("hub_words").alias("m"), other.alias("other")).withColumn("x", F.size("other"))
+    told = scratch.stored(told.withColumn("linked", _enough((F.col("n") + F.col("m") - F.col("x")) / 2, F.col("n") + F.col("m"), similarity)))
+    short = (F.col("x") - t * F.col("n") + F.when(F.col("linked"), t).otherwise(-t) * F.col("m")) / 2
+    prefixed = told.withColumn("prefix", F.col("x") - F.greatest(F.ceil(short - 1e-6), F.lit(1)) + 1).where("prefix > 0")
+    elements = prefixed.select("hub", "id", "group", "linked", "n", "x", "prefix", F.explode("other").alias("element"))
+    often = elements.groupBy("hub", "element").agg(F.count("*").alias("times"))
+    place = F.row_number().over(Window.partitionBy("hub", "id").orderBy("times", "element"))
+    first = elements.join(often, ["hub", "element"]).withColumn("place", place).where("place <= prefix and times > 1").drop("prefix", "times")
+    first = scratch.stored(first)
     need = (F.col("l_x") + F.col("r_x") - t * (F.col("l_n") + F.col("r_n"))) / 2 - 1e-6
     left = 1 + F.least(F.col("l_x") - F.col("l_place"), F.col("r_x") - F.col("r_place"))
-    on = (F.col("l_rep") == F.col("r_rep")) & (F.col("l_element") == F.col("r_element")) & (F.col("l_id") < F.col("r_id"))
+    on = (F.col("l_hub") == F.col("r_hub")) & (F.col("l_element") == F.col("r_element")) & (F.col("l_id") < F.col("r_id"))
     on &= (F.col("l_group") != F.col("r_group")) & ~(F.col("l_linked") & F.col("r_linked")) & (left >= need)
     met = side("l_", first).join(side("r_", first), on).select("l_id", "r_id").distinct()
-    held = met.join(side("l_", whole), "l_id").join(side("r_", whole), "r_id")
-    return held.where(_enough(_common("l_", "r_"), F.size("l_words") + F.size("r_words"), similarity)).select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
+    held = met.join(side("l_", sets), "l_id").join(side("r_", sets), "r_id")
+    held = held.where(_enough(_common("l_", "r_"), F.size("l_words") + F.size("r_words"), similarity))
+    hub = told.where("linked and id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    return hub.unionByName(held.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
 
 
 def near_duplicates(
@@ -224,12 +239,12 @@ def near_duplicates(
         placed = placed.withColumns({"group": F.coalesce("group", "id"), "rep_group": F.coalesce("rep_group", "rep")})
         apart = placed.where("group <> rep_group").groupBy("bucket").agg(F.count("*").alias("apart"))
         inside = scratch.stored(placed.drop("rep_group").join(apart, "bucket"))
-        families = inside.groupBy("rep").agg(F.countDistinct("id").alias("members")).where(F.col("members") > family)
+        families = inside.select("rep", "id").distinct().groupBy("rep").agg(F.count("*").alias("size")).where(F.col("size") > family)
         small = _small_links(inside.join(families, "rep", "left_anti").drop("apart"), star, sets, similarity)
-        large = inside.join(families, "rep", "left_semi").select("rep", "id", "group").distinct()
+        large = inside.join(families, "rep")
         found = links.unionByName(small)
         if not large.isEmpty():
-            found = found.unionByName(_family_links(large, star, sets, similarity))
+            found = found.unionByName(_family_links(scratch.stored(_hubs(large)), sets, similarity, scratch))
         classes = components(scratch.stored(found)).select(F.col("node").alias("copy_of"), F.col("component").alias("class_id"))
         copies = shared(sketch.select("id", "k1", "k2").join(first, ["k1", "k2"], "left").select("id", F.coalesce("copy_of", "id").alias("copy_of")))
     return copies.join(classes, "copy_of", "left").select("id", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"))
