@@ -1,27 +1,35 @@
 """Exact top-k inner-product search as a Voronoi-partitioned kNN join.
 
-Data and queries are grouped by their nearest pivot. From summaries of the groups (counts, radii, norms) each query group
-gets a score that k of its candidates reach for sure; a data vector is replicated to a query group only if its score with
-some query of the group may reach that. Each (query group, data piece) is then solved locally, and the local winners of
-each query are merged.
+Data and queries are grouped by their nearest pivot, and each group is summed up by its size, its radius and its largest
+norm. A query is first solved among the vectors of some near groups, which gives it a true k-th score. From a group's
+summary follows the highest score that any of its vectors can have with the query; the query is sent on only to the
+groups in which that reaches its k-th score, and there meets only the vectors that are far enough from the pivot to do
+so. Queries are few against the data, so that they are replicated and the data stay. Each (group, piece) is solved
+locally, and the local winners of each query are merged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, inf
+from math import ceil, inf, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._graph import shared
-
-#: Pivots, drawn from the vectors with the least hashes of their ids.
-PIVOTS = 32
-#: Queries of one group and data vectors of one piece that are solved together.
-GROUP_QUERIES, PIECE_VECTORS = 2048, 8192
+from ._graph import Scratch, shared
+
+#: Pivots: as many as the square root of the number of vectors, within these bounds; they are broadcast.
+LEAST_PIVOTS, MOST_PIVOTS = 8, 1024
+#: Numbers in all pivots at most: fewer pivots are drawn where vectors are very long.
+MOST_NUMBERS = 1 << 22
+#: Vectors of one group that are solved together; a larger group is dealt to several pieces.
+PIECE_VECTORS = 8192
+#: Queries that come to a piece together; more are dealt to blocks, and a piece is sent to each of them.
+GROUP_QUERIES = 8192
+#: Queries of one piece whose scores are held at once.
+BLOCK_QUERIES = 256
 #: Largest sum that a double holds exactly; beyond it Python integers are used.
 _EXACT = 2**53
 
@@ -45,7 +53,7 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
 
 
 def _assign(data: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """data with its nearest pivot, the distance to it, and its own norm."""
+    """data with its nearest pivot, the distance to it, and its own norm. A dimension without pivots has the pivot 0."""
     held = data.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,37 +61,20 @@ def _assign(data: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                x, p = _matrix(part.column(2)), held.value[int(dim)]
+                x = _matrix(part.column(2))
+                p = held.value.get(int(dim), np.zeros((1, dim)))
                 cell, distance = np.empty(len(x), np.int64), np.empty(len(x))
+                own = (p**2).sum(axis=1)
                 for at in range(0, len(x), 1024):
-                    d = np.sqrt(np.maximum(0, ((x[at : at + 1024, None, :] - p[None]) ** 2).sum(axis=2)))
-                    cell[at : at + 1024] = d.argmin(axis=1)
-                    distance[at : at + 1024] = d.min(axis=1)
+                    y = x[at : at + 1024]
+                    near = (own - 2 * y @ p.T).argmin(axis=1)
+                    cell[at : at + 1024] = near
+                    distance[at : at + 1024] = np.sqrt(((y - p[near]) ** 2).sum(axis=1))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell, pa.int32()), pa.array(distance), pa.array(np.sqrt((x**2).sum(axis=1)))], ["id", "dim", "v", "cell", "distance", "norm"])
 
     return data.mapInArrow(run, "id long, dim int, v array<double>, cell int, distance double, norm double")
 
 
-def _bounds(pivots: dict[int, np.ndarray], data: list, asked: list, k: int) -> dict[tuple[int, int], float]:
-    """For each query group (dim, cell) a score that k candidates other than the query itself reach for sure, or -inf."""
-    out = {}
-    for q in asked:
-        p, own = pivots[q.dim], pivots[q.dim][q.cell]
-        sure = []
-        for d in data:
-            if d.dim == q.dim:
-                other = p[d.cell]
-                least = own @ other - q.radius * np.linalg.norm(other) - q.norm * d.radius
-                sure.append((least, d.n))
-        out[q.dim, q.cell], left = -inf, k + 1
-        for least, n in sorted(sure, reverse=True):
-            left -= n
-            if left <= 0:
-                out[q.dim, q.cell] = least - 1e-6 * (1 + abs(least))
-                break
-    return out
-
-
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     most = (np.abs(q).max(initial=0)) * (np.abs(x).max(initial=0)) * max(1, q.shape[1])
     if most < _EXACT:
@@ -104,6 +95,32 @@ def _best(queries: np.ndarray, scores: np.ndarray, data: np.ndarray, k: int) ->
         yield np.full(len(order), queries[i]), mine[order], near[order]
 
 
+def _solve(k: int):
+    """Winners of queries (id, v, least: a score that k candidates reach) among vectors (id, v, distance) of one piece."""
+
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
+        if left.num_rows and right.num_rows:
+            q, x = _matrix(left["v"]), _matrix(right["v"])
+            qi, xi = left["id"].to_numpy(), right["id"].to_numpy()
+            reach, distance = left["reach"].to_numpy(), right["distance"].to_numpy()
+            # Vectors far from the pivot first, and queries that need but few of them first.
+            near, need = np.argsort(-distance, kind="stable"), np.argsort(-reach, kind="stable")
+            x, xi, distance = x[near], xi[near], distance[near]
+            q, qi, reach = q[need], qi[need], reach[need]
+            for at in range(0, len(q), BLOCK_QUERIES):
+                to = int(np.searchsorted(-distance, -reach[at : at + BLOCK_QUERIES].min(), "right"))
+                found += _best(qi[at : at + BLOCK_QUERIES], _scores(q[at : at + BLOCK_QUERIES], x[:to]), xi[:to], k)
+        query, other, score = (np.concatenate(c) for c in zip(*found, strict=True))
+        return pa.table({"query_id": pa.array(query, pa.int64()), "id": pa.array(other, pa.int64()), "score": pa.array([max(-(2**63), min(2**63 - 1, int(s))) for s in score], pa.int64())})
+
+    return solve
+
+
+def _dealt(pieces: Column) -> Column:
+    return F.pmod(F.xxhash64("id"), pieces).cast("int")
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -111,86 +128,85 @@ def top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     scale: int = 256,
-    pivots: int = PIVOTS,
-    group_queries: int = GROUP_QUERIES,
+    pivots: int | None = None,
     piece_vectors: int = PIECE_VECTORS,
+    group_queries: int = GROUP_QUERIES,
 ) -> DataFrame:
     """(query_id, rank, id, score) of the k vectors with the highest integer inner product with each query.
 
     Components are first multiplied by `scale` and rounded down. Ties go to the smaller id; a query whose id is a vector's
     id does not find that vector. If there are fewer candidates than k, all are returned; without any, the query has no
     rows. Vectors that are null or empty, have a null id, or hold null or non-finite components take no part; vectors of
-    another dimension than the query's are no candidates. Rows that repeat an id are one candidate each. Scores beyond the
-    range of a long are its ends. Queries that repeat an id are one query. Other columns are not read.
+    another dimension than the query's are no candidates, and any number of dimensions may meet in one table. Rows that
+    repeat an id are one candidate each. Scores beyond the range of a long are its ends. Queries that repeat an id are one
+    query. Other columns are not read.
 
-    The driver holds the pivots and one summary row for each of their cells, whatever the number of vectors.
+    pivots: how many are drawn, by the least hashes of their ids; by default the square root of the number of vectors, from
+    LEAST_PIVOTS to MOST_PIVOTS in all dimensions together. They alone come to the driver and are broadcast.
     """
-    spark = vectors.sparkSession
+    with Scratch(vectors.sparkSession) as scratch:
+        local, _ = _winners(vectors, queries, k, id_col, vector_col, scale, pivots, piece_vectors, group_queries, scratch)
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        return shared(local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score"))
+
+
+def visited(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, pivots: int | None = None) -> float:
+    """The share of all (query, vector) pairs that lie in groups to which the query is sent."""
+    with Scratch(vectors.sparkSession) as scratch:
+        _, sent = _winners(vectors, queries, k, id_col, vector_col, scale, pivots, PIECE_VECTORS, GROUP_QUERIES, scratch)
+        return float(sent.agg(F.sum(F.when(F.col("goes"), F.col("n")).otherwise(0)) / F.sum("n")).first()[0] or 0)
+
+
+def _winners(vectors, queries, k, id_col, vector_col, scale, pivots, piece_vectors, group_queries, scratch) -> tuple[DataFrame, DataFrame]:
+    """(query_id, id, score): the k best of each query among them; and (n, goes) of each query and group."""
     data = quantised(vectors, id_col, vector_col, scale)
-    dims = [r[0] for r in data.select("dim").distinct().limit(1025).collect()]
-    if len(dims) > 1024:
-        raise ValueError("more than 1024 different dimensions")
-    drawn = {}
-    for dim in dims:
-        rows = data.where(F.col("dim") == dim).select(F.xxhash64("id").alias("h"), "id", "v").orderBy("h", "id").limit(pivots).collect()
-        drawn[dim] = np.unique(np.array([r.v for r in rows]), axis=0)
-    result = "query_id long, rank int, id long, score long"
-    if not drawn:
-        return spark.createDataFrame([], result)
-    data = shared(_assign(data, drawn))
-    asked = shared(_assign(quantised(queries, id_col, vector_col, scale).where(F.col("dim").isin(dims)).dropDuplicates(["id"]), drawn))
-    summary = [F.count("*").alias("n"), F.max("distance").alias("radius"), F.max("norm").alias("norm")]
-    cells, groups = (x.groupBy("dim", "cell").agg(*summary).collect() for x in (data, asked))
-    if not groups:
-        return spark.createDataFrame([], result)
-    sure = _bounds(drawn, cells, groups, k)
-    total = {d: sum(c.n for c in cells if c.dim == d) for d in dims}
-    targets = {}
-    for g in groups:
-        targets.setdefault(g.dim, []).append((g.cell, drawn[g.dim][g.cell], g.radius, sure[g.dim, g.cell], ceil(g.n / group_queries), ceil(total[g.dim] / piece_vectors)))
-    held = spark.sparkContext.broadcast(targets)
-
-    def dealt(ids: np.ndarray, n: int) -> np.ndarray:
-        return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
-
-    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each data vector once for each query group in which it may be wanted."""
+    size = data.agg(F.count("*").alias("n"), F.max("dim").alias("dim")).first()
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, ceil(sqrt(size.n))))
+    pivots = min(pivots, max(1, MOST_NUMBERS // (size.dim or 1)))
+    drawn = data.select("id", "dim", "v").orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
+    held = {dim: np.unique(np.array([r.v for r in drawn if r.dim == dim]), axis=0) for dim in {r.dim for r in drawn}}
+    data = scratch.stored(_assign(data, held))
+    asked = _assign(quantised(queries, id_col, vector_col, scale).dropDuplicates(["id"]), held)
+    asked = scratch.stored(asked.withColumnRenamed("cell", "own").select("id", "dim", "v", "own", "norm"))
+    cells = data.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius"), F.max("norm").alias("most"))
+    # A row for each group: as many as pivots, and one for each dimension without.
+    cells = scratch.stored(cells.withColumn("pieces", F.ceil(F.col("n") / piece_vectors).cast("int")))
+    spread = scratch.spark.sparkContext.broadcast(held)
+
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The highest score that a query can have in a group, and its product with the pivot."""
         for batch in batches:
-            dims, ids = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            product = np.empty(batch.num_rows)
+            dims, cell = batch.column("dim").to_numpy(), batch.column("cell").to_numpy()
             for dim in np.unique(dims):
-                part = batch.filter(pa.array(dims == dim))
-                x, norm, own = _matrix(part.column(2)), part.column(5).to_numpy(), ids[dims == dim]
-                for cell, pivot, radius, least, blocks, pieces in held.value.get(int(dim), []):
-                    most = x @ pivot + radius * norm
-                    keep = most + 1e-6 * (1 + np.abs(most)) >= least
-                    sent = part.filter(pa.array(keep)).select([0, 1, 2])
-                    piece = dealt(own[keep], pieces)
-                    for block in range(blocks):
-                        yield pa.RecordBatch.from_arrays([*sent.columns, *(pa.array(np.broadcast_to(v, sent.num_rows), pa.int32()) for v in (cell, block, piece))], ["id", "dim", "v", "cell", "block", "piece"])
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each query once for each piece of the data."""
-        for batch in batches:
-            dims, cells = batch.column(1).to_numpy(), batch.column(3).to_numpy()
-            for dim, own in held.value.items():
-                for cell, _, _, _, blocks, pieces in own:
-                    part = batch.filter(pa.array((dims == dim) & (cells == cell)))
-                    block = dealt(part.column(0).to_numpy(), blocks)
-                    for piece in range(pieces if part.num_rows else 0):
-                        yield pa.RecordBatch.from_arrays([*part.columns[:3], *(pa.array(np.broadcast_to(v, part.num_rows), pa.int32()) for v in (cell, block, piece))], ["id", "dim", "v", "cell", "block", "piece"])
-
-    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
-        if left.num_rows and right.num_rows:
-            q, x = _matrix(left["v"]), _matrix(right["v"])
-            qi, xi = left["id"].to_numpy(), right["id"].to_numpy()
-            for at in range(0, len(q), 256):
-                found += _best(qi[at : at + 256], _scores(q[at : at + 256], x), xi, k)
-        query, near, score = (np.concatenate(c) for c in zip(*found, strict=True))
-        return pa.table({"query_id": pa.array(query, pa.int64()), "id": pa.array(near, pa.int64()), "score": pa.array([max(-(2**63), min(2**63 - 1, int(s))) for s in score], pa.int64())})
-
-    shape = "id long, dim int, v array<double>, cell int, block int, piece int"
-    key = ["dim", "cell", "block", "piece"]
-    local = asked.mapInArrow(spread, shape).groupBy(*key).cogroup(data.mapInArrow(replicate, shape).groupBy(*key)).applyInArrow(solve, "query_id long, id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+                at = np.flatnonzero(dims == dim)
+                p = spread.value.get(int(dim), np.zeros((1, dim)))
+                product[at] = (_matrix(batch.column("v").take(pa.array(at))) * p[cell[at]]).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "dim", "cell", "own", "norm", "n", "pieces", "radius", "most")), pa.array(product)], ["id", "dim", "cell", "own", "norm", "n", "pieces", "radius", "most", "product"])
+
+    met = asked.join(F.broadcast(cells), "dim").mapInArrow(bounds, "id long, dim int, cell int, own int, norm double, n long, pieces int, radius double, most double, product double")
+    slack = lambda x: 1e-6 * (1 + F.abs(x))
+    top = F.least(F.col("product") + F.col("norm") * F.col("radius"), F.col("norm") * F.col("most"))
+    met = scratch.stored(met.withColumn("top", top + slack(top)))
+    ranked = Window.partitionBy("id").orderBy(F.desc(F.col("cell") == F.col("own")), F.desc("top"), "cell")
+    before = F.coalesce(F.sum("n").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # The first groups that hold more than k vectors; rows that repeat the query's id do not count, whatever their number.
+    near = met.withColumn("first", before <= k)
+    shape, blocks = "query_id long, id long, score long", max(1, ceil(asked.count() / group_queries))
+
+    def solved(to: DataFrame) -> DataFrame:
+        sent = asked.select("id", "v").join(to, "id").select("id", "v", "dim", "cell", "reach", _dealt(F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+        kept = data.join(F.broadcast(cells.select("dim", "cell", "pieces")), ["dim", "cell"]).select("id", "v", "distance", "dim", "cell", _dealt(F.col("pieces")).alias("piece"))
+        kept = kept.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        key = ["dim", "cell", "piece", "block"]
+        return sent.groupBy(*key).cogroup(kept.groupBy(*key)).applyInArrow(_solve(k), shape)
+
+    first = scratch.stored(solved(near.where("first").withColumn("reach", F.lit(-1.0))))
+    kth = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    least = first.withColumn("r", F.row_number().over(kth)).where(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+    far = near.join(least, "id", "left").withColumn("goes", F.col("first") | F.col("least").isNull() | (F.col("top") >= F.col("least")))
+    far = scratch.stored(far)
+    reach = F.when(F.col("least").isNull() | (F.col("norm") == 0), -1.0).otherwise((F.col("least") - F.col("product")) / F.col("norm"))
+    second = solved(far.where("goes and not first").withColumn("reach", reach - slack(reach)))
+    return first.unionByName(second), far.select("n", "goes")
