@@ -94,7 +94,12 @@ t AS (SELECT address AS source, url, unnest([
   regexp_extract(regexp_extract(html, '(?i)<link\\b[^>]*?\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), '(?i)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
   regexp_extract(regexp_extract(html, '(?i)<meta\\b[^>]*?\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?i)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)]) AS t
   FROM d WHERE address IS NOT NULL),
-e AS (SELECT DISTINCT source, {address("regexp_replace(replace(t, '&amp;', '&'), '#.*$', '')")} AS target FROM t WHERE contains(t, '://')),
+whole AS (SELECT source, regexp_extract(url, '^[^:/?#]*://[^/?#]*') AS origin, regexp_extract(url, '^[^:/?#]*:') AS scheme, {path("url")} AS page,
+  regexp_replace(replace(t, '&amp;', '&'), '#.*$', '') AS t FROM t WHERE t <> ''),
+absolute AS (SELECT source, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN scheme || t WHEN starts_with(t, '/') THEN origin || t
+  WHEN starts_with(t, '?') THEN origin || page || t
+  WHEN t <> '' THEN origin || CASE WHEN contains(page, '/') THEN regexp_extract(page, '^.*/') ELSE '/' END || t END AS url FROM whole),
+e AS (SELECT DISTINCT source, {address("url")} AS target FROM absolute),
 both_ways AS (SELECT source AS a, target AS b FROM e WHERE source <> target UNION SELECT target, source FROM e WHERE source <> target),
 r AS (SELECT a, a AS b FROM both_ways UNION SELECT r.a, both_ways.b FROM r JOIN both_ways ON r.b = both_ways.a),
 named AS (SELECT DISTINCT b AS address, {host("'x://' || b")} AS host, {path("'x://' || b")} AS path FROM r),

@@ -7,13 +7,11 @@ components over these edges carry a block decision to all aliases, but an explic
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._graph import components, shared
+from ._graph import Scratch, components, shared
 
-#: Rules come as a literal of the plan; their number is checked against this.
-MOST_RULES = 10_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)<link\b[^>]*?\brel\s*=\s*["']?canonical\b[^>]*>"""
 _REFRESH = r"""(?i)<meta\b[^>]*?\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
@@ -36,25 +34,31 @@ def _after(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.substr(url, F.instr(url, "://") + 3, F.length(url))).otherwise(F.lit(""))
 
 
-def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """(rule, verdict) of the longest rule that fits, null without one. rules: (host, path, "allow" or "block").
+def _rule_table(spark: SparkSession, rules: list[tuple[str, str, str]] | DataFrame) -> DataFrame:
+    """(rule_host, rule_path, allow), each host and path once; an allow takes a block of the same spelling away."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame(rules, "host string, path string, verdict string")
+    allow = F.col("verdict") == "allow"
+    return rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), allow.alias("allow")).groupBy("rule_host", "rule_path").agg(F.max("allow").alias("allow"))
 
-    Of two rules that spell the same, the allow is taken.
+
+def longest_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, rule, own) of the distinct (host, path) of `places` that a rule fits, with the longest such rule.
+
+    Every host meets the rules at its own name and those of its parents, so that the number of rules does not matter; a
+    host and path then meets the rules of these names at the beginnings of its path, by their lengths.
     """
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} are taken")
-    by_host: dict[str, list[Column]] = {}
-    for rule_host, rule_path, verdict in sorted(rules):
-        by_host.setdefault(rule_host, []).append(F.struct(F.lit(rule_path).alias("path"), F.lit(rule_host + rule_path).alias("rule"), F.lit(verdict).alias("verdict")))
-    if not by_host:
-        return F.lit(None).cast("struct<rule:string,verdict:string>")
-    known = F.create_map(*[x for h, own in by_host.items() for x in (F.lit(h), F.array(*own))])
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    fitting = F.filter(F.flatten(F.filter(F.transform(suffixes, lambda s: F.try_element_at(known, s)), lambda r: r.isNotNull())), lambda r: path.startswith(r["path"]))
-    ranked = F.transform(fitting, lambda r: F.struct(F.length(r["rule"]).alias("size"), (r["verdict"] == "allow").alias("allow"), r["rule"].alias("rule"), r["verdict"].alias("verdict")))
-    best = F.array_max(ranked)
-    return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
+    distinct = places.select("host", "path").distinct()
+    labels = F.split("host", r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    lengths = rules.groupBy("rule_host").agg(F.collect_set(F.length("rule_path")).alias("lengths"))
+    named = distinct.select("host", "path", F.explode(names).alias("rule_host")).join(lengths, "rule_host")
+    begun = named.select("host", "path", "rule_host", F.explode("lengths").alias("k")).where(F.length("path") >= F.col("k"))
+    begun = begun.withColumn("rule_path", F.substring("path", F.lit(1), F.col("k")))
+    fits = begun.join(rules, ["rule_host", "rule_path"]).withColumn("rule", F.concat("rule_host", "rule_path"))
+    best = F.max_by(F.struct("rule", "allow"), F.struct(F.length("rule"), "allow", "rule"))
+    found = fits.groupBy("host", "path").agg(best.alias("best"))
+    return found.select("host", "path", F.col("best.rule").alias("rule"), F.when(F.col("best.allow"), "allow").otherwise("block").alias("own"))
 
 
 def _resolved(url: Column, target: Column) -> Column:
@@ -87,7 +91,7 @@ def address(url: Column) -> Column:
 
 def judge_urls(
     pages: DataFrame,
-    rules: list[tuple[str, str, str]],
+    rules: list[tuple[str, str, str]] | DataFrame,
     redirects: DataFrame | None = None,
     id_col: str = "page_id",
     url_col: str = "url",
@@ -95,32 +99,39 @@ def judge_urls(
 ) -> DataFrame:
     """(id, host, path, rule, verdict) of every row.
 
-    rule: the longest rule that fits, null without one; its verdict counts. A url without a rule takes the decision of its
-    aliases: allow if an alias has an allow rule, else block if one has a block rule. Others are allowed. Aliases are
+    rules: (host, path, "allow" or "block"), as a list or a table of any size. rule: the longest that fits, null without
+    one; its verdict counts, and an allow before a block of the same spelling. A url without a rule takes the decision of
+    its aliases: allow if an alias has an allow rule, else block if one has a block rule. Others are allowed. Aliases are
     connected by canonical links and refresh redirects in html_col (None: not read) and by `redirects` (columns source,
     target: urls). Addresses that are only targets decide too. Urls that are null or have no :// have empty host and path,
     no aliases, and no rule. Rows with one address are aliases of one another only through edges: they have the same rule
-    anyhow. Repeated rows each have their row.
+    anyhow. Repeated rows each have their row; an empty table gives none.
     """
+    spark = pages.sparkSession
+    table = _rule_table(spark, rules)
     url = F.col(url_col).cast("string")
-    judged = pages.select(F.col(id_col).alias("id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
-    judged = judged.withColumn("hit", longest_rule(F.col("host"), F.col("path"), rules))
+    judged = pages.select(F.col(id_col).alias("id"), url.alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    found = longest_rules(judged, table)
+    judged = judged.join(found, ["host", "path"], "left")
+    verdict = F.col("own")
     edges = page_edges(pages, url_col, html_col) if html_col else None
     if redirects is not None:
         more = redirects.select(address(F.col("source").cast("string")).alias("source"), address(F.col("target").cast("string")).alias("target")).where("source <> target")
         edges = more if edges is None else edges.unionByName(more)
-    verdict = F.col("hit.verdict")
     if edges is not None:
-        edges = shared(edges.distinct())
-        names = edges.select(F.explode(F.array("source", "target")).alias("address")).distinct()
-        names = names.withColumn("node", F.xxhash64("address"))
-        group = components(edges.select(F.xxhash64("source").alias("a"), F.xxhash64("target").alias("b")))
-        target = F.concat(F.lit("x://"), F.col("address"))
-        own = names.withColumns({"host": host_of(target), "path": path_of(target)})
-        own = shared(own.select("address", "node", longest_rule(F.col("host"), F.col("path"), rules)["verdict"].alias("own"))).join(group, "node")
-        # "allow" sorts before "block".
-        decided = own.groupBy("component").agg(F.min("own").alias("alias_verdict")).where("alias_verdict is not null")
-        alias = own.join(decided, "component").select("address", "alias_verdict")
-        judged = judged.join(alias, address(F.col("url")) == F.col("address"), "left")
-        verdict = F.coalesce(verdict, "alias_verdict")
-    return judged.select("id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"))
+        with Scratch(spark) as scratch:
+            edges = scratch.stored(edges.distinct())
+            names = edges.select(F.explode(F.array("source", "target")).alias("address")).distinct()
+            # The numbers are unique, and fixed as the table is written.
+            names = scratch.stored(names.withColumn("node", F.monotonically_increasing_id()))
+            ends = edges.join(names.withColumnsRenamed({"address": "source", "node": "a"}), "source").join(names.withColumnsRenamed({"address": "target", "node": "b"}), "target")
+            group = components(ends.select("a", "b"))
+            target = F.concat(F.lit("x://"), F.col("address"))
+            own = names.withColumn("target", target).withColumns({"host": host_of(F.col("target")), "path": path_of(F.col("target"))})
+            own = scratch.stored(own.join(longest_rules(own, table), ["host", "path"], "left").select("address", "node", F.col("own").alias("said")).join(group, "node"))
+            # "allow" sorts before "block".
+            decided = own.groupBy("component").agg(F.min("said").alias("alias_verdict")).where("alias_verdict is not null")
+            alias = shared(own.join(decided, "component").select("address", "alias_verdict"))
+        judged = judged.withColumn("own_address", address(F.col("url"))).join(alias, F.col("own_address") == F.col("address"), "left")
+        verdict = F.coalesce("own", "alias_verdict")
+    return judged.select("id", "host", "path", "rule", F.coalesce(verdict, F.lit("allow")).alias("verdict"))

@@ -276,23 +276,65 @@ def test_block_decisions_reach_aliases(spark):
     assert got[5] == "block"
 
 
+def test_rules_by_brute_force_and_in_any_number(spark):
+    rng = random.Random(3)
+    hosts = ["".join(rng.choice("ab.") for _ in range(rng.randrange(1, 7))) for _ in range(40)]
+    paths = ["/" + "".join(rng.choice("xy/") for _ in range(rng.randrange(0, 5))) for _ in range(40)] + [""]
+    rules = [(rng.choice(hosts), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(60)] + [(f"h{i}.org", "/", "block") for i in range(12_000)]
+    pages = [(i, f"http://{rng.choice(hosts + ['c.h77.org'])}{rng.choice(paths)}?q", None) for i in range(400)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.id: (r.rule, r.verdict) for r in urls.judge_urls(df, rules).collect()}
+    for i, url, _ in pages:
+        host, slash, path = url.removeprefix("http://").removesuffix("?q").partition("/")
+        path = slash + path
+        fits = [(len(h + p), v == "allow", h + p) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert got[i] == ((max(fits)[2], "allow" if max(fits)[1] else "block") if fits else (None, "allow")), url
+
+
+def _top_k_by_scan(rows, queries, k):
+    q = {}
+    for i, v in rows:
+        q.setdefault(i, []).append(np.floor(256 * np.asarray(v, float)).astype(np.int64))
+    out = []
+    for i in queries:
+        found = sorted((-int(q[i][0] @ v), j) for j, own in q.items() if j != i for v in own if len(v) == len(q[i][0]))[:k]
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found)]
+    return sorted(out)
+
+
 def test_top_k_with_hot_vectors_and_ties(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 8)).astype(np.float32)
     x[:100] = x[0]
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    q = np.floor(256 * x.astype(float)).astype(np.int64)
-    expected = []
-    for i in range(0, 300, 10):
-        order = sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:7]
-        expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(order)]
-    got = knn.top_k(vectors, vectors.where("vec_id % 10 = 0"), 7, pivots=6, group_queries=4, piece_vectors=50)
-    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    for pivots in (1, 6, 40):
+        got = knn.top_k(vectors, vectors.where("vec_id % 10 = 0"), 7, pivots=pivots, piece_vectors=50, group_queries=7)
+        assert sorted(map(tuple, got.collect())) == _top_k_by_scan(rows, range(0, 300, 10), 7)
     big = spark.createDataFrame([(1, [3e9, 1.0]), (2, [2e2, 5.0]), (3, [1e3, 7.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in knn.top_k(big, big.where("vec_id = 1"), 1).collect()] == [(1, 1, 3, 768_000_000_000 * 256_000 + 256 * 1792)]
 
 
+def test_top_k_with_repeated_ids_and_many_dimensions(spark):
+    rng = np.random.default_rng(1)
+    far = [(5, (np.eye(4)[0] * 9).tolist())] * 40 + [(5, (np.eye(4)[0] * 9 + 0.01).tolist())] * 3
+    rows = far + [(10 + i, rng.normal(size=4).tolist()) for i in range(60)] + [(1000 + i, rng.normal(size=1 + i % 50).tolist()) for i in range(150)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = [5, 12, 1000, 1049]
+    got = knn.top_k(vectors, vectors.where(F.col("vec_id").isin(asked)), 5, pivots=9)
+    assert sorted(map(tuple, got.collect())) == _top_k_by_scan(rows, asked, 5)
+
+
+def test_clustered_vectors_are_pruned(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(20, 16)) * 5
+    rows = [(i, (centres[i % 20] + 0.1 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert knn.visited(vectors, vectors.where("vec_id % 50 = 0"), pivots=60) < 0.2
+    got = knn.top_k(vectors, vectors.where("vec_id % 50 = 0"), pivots=60)
+    assert sorted(map(tuple, got.collect())) == _top_k_by_scan(rows, range(0, 2000, 50), 5)
+
+
 def test_tokens_are_the_library_s(spark, sf_dir):
     from tokenizers import Tokenizer
 
