@@ -1,6 +1,10 @@
 """A training-corpus pipeline over `documents`: five stages, each the work of one corpus operator.
 
-Every stage but the last returns the columns of documents, with n_chars set to the text that is left.
+Every stage but the last returns the columns of documents, with n_chars set to the text that is left. Null and empty texts
+go in the first stage; a later one keeps them, as they repeat nothing. Texts of any length are read whole. Rows of one
+doc_id are one document, and share its fate; a row without doc_id is a document of its own, after all others. Of equal
+documents or lines the first by id stays. Other columns of the input, whatever their names, stay as they are. An empty
+table gives no rows in any stage.
 """
 
 from __future__ import annotations
@@ -9,43 +13,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.llm import bpe, decontaminate, line_dedup, near_dedup, quality
-from pluvio.llm._graph import stored
+from pluvio.llm._graph import Scratch, shared
 from pluvio.llm.registry import vocabulary
 
-#: SQL cannot express the classifier and the tokeniser; tests hold run() against brute force.
+#: SQL cannot express the classifier and the tokeniser; tests hold the stages against brute force.
 ORACLE_SQL = None
+#: The id that a stage's operator knows a row by.
+_KEY = "_pipeline_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with _KEY: the doc_id, or for a null one a number of the row's own beyond all ids."""
+    return docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.monotonically_increasing_id()))
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the rows of these doc_ids; rows of a null doc_id stay."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Keyed docs without the rows of these ids, and without the key."""
+    return docs.join(dropped.select(F.col("id").alias(_KEY)).distinct(), _KEY, "left_anti").drop(_KEY)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label scorer rejects as low quality or toxic go; others stay as they are."""
+    docs = _keyed(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdict = quality.judge(docs, quality.fit(docs, labels)).where("not keep").withColumnRenamed("id", "doc_id")
-    return _without(docs, verdict)
+    scorer = quality.fit(docs, labels)
+    return _without(docs, quality.judge(docs, scorer, _KEY).where("not keep"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines go that repeat an earlier line up to two edits, or exactly if they are short; documents go that have lost all
     their words by that."""
-    left = line_dedup.dedup_lines(docs, min_chars=line_dedup.LEAST_CHARS, exact_chars=1)
+    left = line_dedup.dedup_lines(_keyed(docs), _KEY, min_chars=line_dedup.LEAST_CHARS, exact_chars=1)
     left = left.where((F.size("dropped") == 0) | F.col("kept_text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     return left.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(docs.columns)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the least id stays."""
-    classes = near_dedup.near_duplicates(docs)
-    return _without(docs, classes.where("id <> class_id").select(F.col("id").alias("doc_id")))
+    docs = _keyed(docs)
+    return _without(docs, near_dedup.near_duplicates(docs, _KEY).where("id <> class_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go of whose words a twentieth or more stand in benchmark passages; others keep their text."""
-    hits = decontaminate.benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, hits.where(decontaminate.contaminated()).select(F.col("id").alias("doc_id")))
+    docs = _keyed(docs)
+    hits = decontaminate.benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), _KEY)
+    return _without(docs, hits.where(decontaminate.contaminated()))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,10 +78,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are written and read again for the next."""
+    """All stages over documents; each stage's rows are written and read again for the next, and go when all are done."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs)
-    return docs
+    with Scratch(spark) as scratch:
+        for i, (_name, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if i + 1 < len(STAGES):
+                docs = scratch.stored(docs)
+        return shared(docs)
