@@ -147,8 +147,9 @@ def _hubs(members: DataFrame, turns: int = 2) -> DataFrame:
     """
     now = members.select("bucket", "id", "group", F.struct("size", "rep").alias("top"))
     for _ in range(turns):
-        for key in ("id", "bucket"):
-            now = now.drop("top").join(now.groupBy(key).agg(F.max("top").alias("top")), key)
+        # A member stands in as many buckets as there are bands at most.
+        now = now.withColumn("top", F.max("top").over(Window.partitionBy("id")))
+        now = now.drop("top").join(now.groupBy("bucket").agg(F.max("top").alias("top")), "bucket")
     return now.select(F.col("top.rep").alias("hub"), "id", "group").distinct()
 
 
@@ -225,8 +226,8 @@ def near_duplicates(
         full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         crowded = scratch.stored(banded.join(full, "bucket"))
         # The member that stands in the largest buckets is the most like the others: it represents its buckets.
-        weight = crowded.groupBy("id").agg(F.sum("n").alias("weight"))
-        heads = crowded.join(weight, "id").groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("weight"), "id")).alias("rep"))
+        weighed = crowded.withColumn("weight", F.sum("n").over(Window.partitionBy("id")))
+        heads = weighed.groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("weight"), "id")).alias("rep"))
         members = scratch.stored(crowded.drop("n").join(heads, "bucket").where("id <> rep"))
         wanted = members.select("id").unionByName(members.select(F.col("rep").alias("id"))).distinct()
         sets = scratch.stored(shingle_sets(docs.join(wanted, "id", "left_semi"), "id", "text", size).dropDuplicates(["id"]))
