@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 # Names of licences as statements spell them, normalised.
 NAMES = {
     "Apache-2.0": ["apache license version 2.0", "apache license 2.0", "apache 2.0 license", "apache-2.0"],
-    "MIT": ["mit license", "mit licence", "expat license"],
-    "GPL-2.0": ["gnu general public license version 2", "gnu general public license v2", "gpl version 2 license", "gplv2 license"],
-    "GPL-3.0": ["gnu general public license version 3", "gnu general public license v3", "gpl version 3 license", "gplv3 license"],
-    "AGPL-3.0": ["gnu affero general public license version 3", "agplv3 license"],
-    "LGPL-2.1": ["gnu lesser general public license version 2.1", "lgpl 2.1 license"],
-    "LGPL-3.0": ["gnu lesser general public license version 3", "lgplv3 license"],
+    "MIT": ["mit license", "mit licence", "expat license", "mit/x11 license"],
+    "GPL-2.0": ["gnu general public license version 2", "gnu general public license v2", "gnu general public license version 2.0", "gpl version 2 license", "gplv2 license", "gplv2", "gpl v2", "gpl-2.0", "gnu gpl v2", "gnu gpl version 2", "gnu gplv2"],
+    "GPL-3.0": ["gnu general public license version 3", "gnu general public license v3", "gnu general public license version 3.0", "gpl version 3 license", "gplv3 license", "gplv3", "gpl v3", "gpl-3.0", "gnu gpl v3", "gnu gpl version 3", "gnu gplv3"],
+    "AGPL-3.0": ["gnu affero general public license version 3", "gnu affero general public license v3", "agplv3 license", "agplv3", "agpl v3", "gnu agpl v3"],
+    "LGPL-2.1": ["gnu lesser general public license version 2.1", "gnu lesser general public license v2.1", "lgpl 2.1 license", "lgplv2.1", "gnu lgpl v2.1"],
+    "LGPL-3.0": ["gnu lesser general public license version 3", "gnu lesser general public license v3", "lgplv3 license", "lgplv3", "gnu lgpl v3"],
     "MPL-2.0": ["mozilla public license version 2.0", "mozilla public license 2.0", "mpl 2.0 license"],
     "BSD-2-Clause": ["bsd 2-clause license", "simplified bsd license"],
     "BSD-3-Clause": ["bsd 3-clause license", "new bsd license", "bsd license"],
@@ -39,6 +39,18 @@ STATEMENTS = [
     "licensed under {}",
     "released under {}",
     "distributed under {}",
+    "available under {}",
+    "distributed under the terms of {}",
+    "released under the terms of {}",
+    "available under the terms of {}",
+    "this project is licensed under the terms of {}",
+    "this software is licensed under the terms of {}",
+    "this program is licensed under the terms of {}",
+    "this software is distributed under the terms of {}",
+    "this software is distributed under {}",
+    "this project is released under {}",
+    "this library is licensed under {}",
+    "this package is licensed under {}",
     "licensed under the terms of {}",
     "this work is licensed under {}",
     "this software is licensed under {}",
@@ -49,6 +61,8 @@ STATEMENTS = [
     "this software is released under {}",
     "this document is licensed under {}",
 ]
+# Endings of identifiers in tags, for licences that have them.
+TAG_ENDINGS = {"GPL-2.0": ["", "-only", "-or-later", "+"], "GPL-3.0": ["", "-only", "-or-later", "+"], "AGPL-3.0": ["", "-only", "-or-later"], "LGPL-2.1": ["", "-only", "-or-later"], "LGPL-3.0": ["", "-only", "-or-later"]}
 # Sentences of licence headers and short licences, normalised.
 SENTENCES = {
     "APACHE-COMPLY": "you may not use this file except in compliance with the license",
@@ -96,7 +110,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def known_sentences() -> dict[str, str]:
     """Normalised sentence to identifier: headers, and every statement form with every name.
 
-    A name may have an article before it, and (the "License") behind it.
+    A name may have an article before it, and (the "License") behind it. It is a statement by itself, as a heading, and in
+    a tag; all statements of a licence have one identifier.
     """
     out = {text.replace("v. 2.0", "v 2.0"): name for name, text in SENTENCES.items()}
     for licence, names in NAMES.items():
@@ -104,6 +119,12 @@ def known_sentences() -> dict[str, str]:
             for name in names:
                 for article in ("", "the ", "a "):
                     out[form.format(article + name)] = out[form.format(article + name) + " the license"] = f"IS-{licence}"
+        # A name by itself is a heading, where it says that it is a licence.
+        for name in names:
+            if name.endswith(("license", "licence")) or " license " in name:
+                out[name] = out["the " + name] = f"IS-{licence}"
+        for ending in TAG_ENDINGS.get(licence, [""]):
+            out[f"spdx-license-identifier {(licence + ending).lower().rstrip('+')}"] = f"IS-{licence}"
     return {s: i for s, i in out.items() if any(k in s for k in KEYWORDS)}
 
 

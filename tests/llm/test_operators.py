@@ -186,6 +186,12 @@ def test_licence_texts(spark):
     assert all(any(k in s for k in licenses.KEYWORDS) for s in licenses.known_sentences())
 
 
+def test_usual_ways_to_state_a_licence(spark):
+    rows = [(1, "# SPDX-License-Identifier: MIT\nimport os"), (2, "Distributed under the terms of the MIT license."), (3, "MIT License\n\nCopyright (c) 2020 A B"), (4, "/* SPDX-License-Identifier: GPL-2.0-or-later */"), (5, "Available under the Apache License 2.0."), (6, "Our licence: we drove under a bridge. The MIT is in Cambridge."), (7, "Licensed under GPLv3."), (8, "Licensed under the GNU GPL v3.")]
+    got = {r.id: r.licences for r in licenses.license_scan(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {1: "MIT", 2: "MIT", 3: "MIT", 4: "GPL-2.0", 5: "Apache-2.0", 6: "", 7: "GPL-3.0", 8: "GPL-3.0"}
+
+
 def test_licence_texts_in_their_usual_wrapping(spark):
     mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
