@@ -74,14 +74,25 @@ def inside(lon: Column, lat: Column, ring: Column) -> Column:
     return F.size(F.filter(edges, crossed)) % 2 == 1
 
 
-def mask(cells: DataFrame, polygons: DataFrame) -> DataFrame:
+def mask(cells: DataFrame, polygons: DataFrame, tile: float = 5.0) -> DataFrame:
     """(region, iy, ix) of the cells whose centre is in a region's polygon; several polygons of a region are a union.
 
-    A range join on the polygons' boxes comes first; the crossings are counted for the cells in a box only.
+    Cells and the polygons' boxes meet by equality on square tiles of `tile` degrees; the crossings are counted for the
+    cells in a box only.
     """
+    on_tile = lambda v: F.floor(v / tile)
+    spread = lambda low, high: F.explode(F.sequence(on_tile(F.col(low)), on_tile(F.col(high))))
     boxed = polygons.withColumn("box", bounds(F.col("ring")))
+    tiled = boxed.withColumn("_tx", spread("box.lon_min", "box.lon_max")).withColumn("_ty", spread("box.lat_min", "box.lat_max"))
+    placed = cells.withColumns({"_tx": on_tile(F.col("lon")), "_ty": on_tile(F.col("lat"))})
     near = F.col("lon").between(F.col("box.lon_min"), F.col("box.lon_max")) & F.col("lat").between(F.col("box.lat_min"), F.col("box.lat_max"))
-    return cells.join(boxed, near & inside(F.col("lon"), F.col("lat"), F.col("ring"))).select("region", "iy", "ix").distinct()
+    met = placed.join(tiled, ["_tx", "_ty"]).where(near & inside(F.col("lon"), F.col("lat"), F.col("ring")))
+    return met.select("region", "iy", "ix").distinct()
+
+
+def overlay(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(region, other, iy, ix): the cells that a region of each of two masks (region, iy, ix) has in common."""
+    return first.join(second.withColumnRenamed("region", "other"), ["iy", "ix"]).select("region", "other", "iy", "ix").distinct()
 
 
 def zonal_mean(facts: DataFrame, masks: DataFrame, by: list[str], value: str = "precip") -> DataFrame:

@@ -80,6 +80,13 @@ def geo3_geo8_masked_cube(spark, sf_dir):
     return t.obs_monthly(spark, sf_dir).join(union, ["iy", "ix"], "left").select("iy", "ix", "time", sel.masked(F.col("precip"), F.col("inside").isNotNull()).alias("precip"))
 
 
+@query(f"WITH {t.SQL_CELLS}, {_MASK}, d(name, a, b, c, e) AS (VALUES {', '.join(f'''('{k}', {', '.join(f'{x}::DOUBLE' for x in v)})''' for k, v in sel.DOMAINS.items())}) SELECT region, name AS other, iy, ix FROM mask JOIN cells USING (iy, ix) JOIN d ON lon BETWEEN a AND b AND lat BETWEEN c AND e")
+def jn14_overlay(spark, sf_dir):
+    """Overlay of the polygons and the named domains, on the grid's cells."""
+    domains = geo16_region_extraction(spark, sf_dir).withColumnRenamed("name", "region")
+    return g.overlay(g.mask(t.cells(spark, sf_dir), t.polygons(spark)), domains)
+
+
 _HAVERSINE = "2 * 6372.8 * asin(sqrt(pow(sin((radians({b}) - radians({a})) / 2), 2) + cos(radians({a})) * cos(radians({b})) * pow(sin(radians({d} - {c}) / 2), 2)))"
 _NEAR = f"""{t.SQL_STATIONS}, ny AS (SELECT station_name, arg_min((grid_lat, iy), (abs(grid_lat - lat), grid_lat)) AS y FROM stations, (SELECT DISTINCT lat AS grid_lat, iy FROM cells) GROUP BY ALL),
 nx AS (SELECT station_name, arg_min((grid_lon, ix), (abs(grid_lon - lon), grid_lon)) AS x FROM stations, (SELECT DISTINCT lon AS grid_lon, ix FROM cells) GROUP BY ALL),
