@@ -26,7 +26,7 @@ LEAST_CHARS = 3 * (MAX_EDITS + 1)
 #: Letters whose counts are compared before the distance: an edit changes them by 2 in all at most.
 COUNTED = "etaonirshdu0123456789"
 #: Members of a bucket up to which they are held against each other pair by pair; larger buckets are cut anew.
-CROWD = 64
+CROWD = 256
 #: Bits of a line number in a position.
 _LINE_BITS = 32
 
