@@ -4,8 +4,9 @@ Data and queries are grouped by their nearest pivot, and each group is summed up
 norm. A query is first solved among the vectors of some near groups, which gives it a true k-th score. From a group's
 summary follows the highest score that any of its vectors can have with the query; the query is sent on only to the
 groups in which that reaches its k-th score, and there meets only the vectors that are far enough from the pivot to do
-so. Queries are few against the data, so that they are replicated and the data stay. Each (group, piece) is solved
-locally, and the local winners of each query are merged.
+so. Queries are few against the data, so that they are replicated; beyond a block of queries a group's vectors go once to
+each block that has a query for that group, and to no other. Each (group, piece, block) is solved locally, and the local
+winners of each query are merged.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ._graph import Scratch, shared
 
@@ -26,7 +28,7 @@ LEAST_PIVOTS, MOST_PIVOTS = 8, 1024
 MOST_NUMBERS = 1 << 22
 #: Vectors of one group that are solved together; a larger group is dealt to several pieces.
 PIECE_VECTORS = 8192
-#: Queries that come to a piece together; more are dealt to blocks, and a piece is sent to each of them.
+#: Queries that come to a piece together; more are dealt to blocks, and a piece is sent to those of them that need its group.
 GROUP_QUERIES = 8192
 #: Queries of one piece whose scores are held at once.
 BLOCK_QUERIES = 256
@@ -34,34 +36,46 @@ BLOCK_QUERIES = 256
 _EXACT = 2**53
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, dim, v): components times `scale`, rounded down; without vectors that are null, empty, or not finite throughout."""
+def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int, *more: Column) -> DataFrame:
+    """(id, dim, v): components times `scale`, rounded down; without vectors that are null, empty, or not finite throughout.
+    More columns follow."""
     v = F.transform(vector_col, lambda x: x.cast("double"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(inf)))
     whole = F.transform(v, lambda x: F.floor(x * scale).cast("double"))
     return (
         vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull())
         .where(finite & (F.size(vector_col) > 0))
-        .select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), whole.alias("v"))
+        .select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), whole.alias("v"), *more)
     )
 
 
-def _assign(data: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+def draw_pivots(data: DataFrame, pivots: int | None) -> dict[int, np.ndarray]:
+    """Different vectors of each dimension, drawn by the least hashes of their ids: by default as many as the square root of
+    the number of vectors."""
+    size = data.agg(F.count("*").alias("n"), F.max("dim").alias("dim")).first()
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, ceil(sqrt(size.n))))
+    pivots = min(pivots, max(1, MOST_NUMBERS // (size.dim or 1)))
+    drawn = data.select("id", "dim", "v").orderBy(F.xxhash64("id"), "id", "v").limit(pivots).collect()
+    return {dim: np.unique(np.array([r.v for r in drawn if r.dim == dim]), axis=0) for dim in {r.dim for r in drawn}}
+
+
+def assigned(data: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """data with its nearest pivot, the distance to it, and its own norm. A dimension without pivots has the pivot 0."""
     held = data.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(1).to_numpy()
+            dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                x = _matrix(part.column(2))
+                x = matrix(part.column("v"))
                 p = held.value.get(int(dim), np.zeros((1, dim)))
                 cell, distance = np.empty(len(x), np.int64), np.empty(len(x))
                 own = (p**2).sum(axis=1)
@@ -70,12 +84,14 @@ def _assign(data: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                     near = (own - 2 * y @ p.T).argmin(axis=1)
                     cell[at : at + 1024] = near
                     distance[at : at + 1024] = np.sqrt(((y - p[near]) ** 2).sum(axis=1))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell, pa.int32()), pa.array(distance), pa.array(np.sqrt((x**2).sum(axis=1)))], ["id", "dim", "v", "cell", "distance", "norm"])
+                more = [pa.array(cell, pa.int32()), pa.array(distance), pa.array(np.sqrt((x**2).sum(axis=1)))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, "cell", "distance", "norm"])
 
-    return data.mapInArrow(run, "id long, dim int, v array<double>, cell int, distance double, norm double")
+    shape = StructType(list(data.schema.fields)).add("cell", "integer").add("distance", "double").add("norm", "double")
+    return data.mapInArrow(run, shape)
 
 
-def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     most = (np.abs(q).max(initial=0)) * (np.abs(x).max(initial=0)) * max(1, q.shape[1])
     if most < _EXACT:
         return np.rint(q @ x.T)
@@ -101,7 +117,7 @@ def _solve(k: int):
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
         if left.num_rows and right.num_rows:
-            q, x = _matrix(left["v"]), _matrix(right["v"])
+            q, x = matrix(left["v"]), matrix(right["v"])
             qi, xi = left["id"].to_numpy(), right["id"].to_numpy()
             reach, distance = left["reach"].to_numpy(), right["distance"].to_numpy()
             # Vectors far from the pivot first, and queries that need but few of them first.
@@ -110,7 +126,7 @@ def _solve(k: int):
             q, qi, reach = q[need], qi[need], reach[need]
             for at in range(0, len(q), BLOCK_QUERIES):
                 to = int(np.searchsorted(-distance, -reach[at : at + BLOCK_QUERIES].min(), "right"))
-                found += _best(qi[at : at + BLOCK_QUERIES], _scores(q[at : at + BLOCK_QUERIES], x[:to]), xi[:to], k)
+                found += _best(qi[at : at + BLOCK_QUERIES], scores(q[at : at + BLOCK_QUERIES], x[:to]), xi[:to], k)
         query, other, score = (np.concatenate(c) for c in zip(*found, strict=True))
         return pa.table({"query_id": pa.array(query, pa.int64()), "id": pa.array(other, pa.int64()), "score": pa.array([max(-(2**63), min(2**63 - 1, int(s))) for s in score], pa.int64())})
 
@@ -138,8 +154,9 @@ def top_k(
     id does not find that vector. If there are fewer candidates than k, all are returned; without any, the query has no
     rows. Vectors that are null or empty, have a null id, or hold null or non-finite components take no part; vectors of
     another dimension than the query's are no candidates, and any number of dimensions may meet in one table. Rows that
-    repeat an id are one candidate each. Scores beyond the range of a long are its ends. Queries that repeat an id are one
-    query. Other columns are not read.
+    repeat an id are one candidate each. Scores beyond the range of a long are its ends. Of
+    queries that repeat an id, the one with the fewest dimensions and then the least vector is taken; it finds no row of its
+    id. Other columns are not read.
 
     pivots: how many are drawn, by the least hashes of their ids; by default the square root of the number of vectors, from
     LEAST_PIVOTS to MOST_PIVOTS in all dimensions together. They alone come to the driver and are broadcast.
@@ -160,14 +177,9 @@ def visited(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
 def _winners(vectors, queries, k, id_col, vector_col, scale, pivots, piece_vectors, group_queries, scratch) -> tuple[DataFrame, DataFrame]:
     """(query_id, id, score): the k best of each query among them; and (n, goes) of each query and group."""
     data = quantised(vectors, id_col, vector_col, scale)
-    size = data.agg(F.count("*").alias("n"), F.max("dim").alias("dim")).first()
-    if pivots is None:
-        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, ceil(sqrt(size.n))))
-    pivots = min(pivots, max(1, MOST_NUMBERS // (size.dim or 1)))
-    drawn = data.select("id", "dim", "v").orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    held = {dim: np.unique(np.array([r.v for r in drawn if r.dim == dim]), axis=0) for dim in {r.dim for r in drawn}}
-    data = scratch.stored(_assign(data, held))
-    asked = _assign(quantised(queries, id_col, vector_col, scale).dropDuplicates(["id"]), held)
+    held = draw_pivots(data, pivots)
+    data = scratch.stored(assigned(data, held))
+    asked = assigned(quantised(queries, id_col, vector_col, scale).groupBy("id").agg(F.min_by("dim", F.struct("dim", "v")).alias("dim"), F.min_by("v", F.struct("dim", "v")).alias("v")), held)
     asked = scratch.stored(asked.withColumnRenamed("cell", "own").select("id", "dim", "v", "own", "norm"))
     cells = data.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius"), F.max("norm").alias("most"))
     # A row for each group: as many as pivots, and one for each dimension without.
@@ -182,7 +194,7 @@ def _winners(vectors, queries, k, id_col, vector_col, scale, pivots, piece_vecto
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 p = spread.value.get(int(dim), np.zeros((1, dim)))
-                product[at] = (_matrix(batch.column("v").take(pa.array(at))) * p[cell[at]]).sum(axis=1)
+                product[at] = (matrix(batch.column("v").take(pa.array(at))) * p[cell[at]]).sum(axis=1)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "dim", "cell", "own", "norm", "n", "pieces", "radius", "most")), pa.array(product)], ["id", "dim", "cell", "own", "norm", "n", "pieces", "radius", "most", "product"])
 
     met = asked.join(F.broadcast(cells), "dim").mapInArrow(bounds, "id long, dim int, cell int, own int, norm double, n long, pieces int, radius double, most double, product double")
@@ -197,8 +209,9 @@ def _winners(vectors, queries, k, id_col, vector_col, scale, pivots, piece_vecto
 
     def solved(to: DataFrame) -> DataFrame:
         sent = asked.select("id", "v").join(to, "id").select("id", "v", "dim", "cell", "reach", _dealt(F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+        needed = sent.select("dim", "cell", F.col("block").alias("to")).distinct()
         kept = data.join(F.broadcast(cells.select("dim", "cell", "pieces")), ["dim", "cell"]).select("id", "v", "distance", "dim", "cell", _dealt(F.col("pieces")).alias("piece"))
-        kept = kept.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        kept = kept.join(needed, ["dim", "cell"]).withColumnRenamed("to", "block")
         key = ["dim", "cell", "piece", "block"]
         return sent.groupBy(*key).cogroup(kept.groupBy(*key)).applyInArrow(_solve(k), shape)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, knn, labelled_pages, licenses, line_dedup, near_dedup, quality, secrets, sql, urls
+from . import bpe, decontaminate, hard_negatives, html_text, itq, knn, labelled_pages, licenses, line_dedup, near_dedup, quality, secrets, spelling, sql, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +36,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(_table(spark, sf_dir, "documents"))
     kinds = F.array(*map(F.lit, secrets.KINDS))
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kinds, x["rank"]), x["start"], x["end"])), ",")
-    counts = [F.size(F.filter("base", lambda x, k=k: x["rank"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS[:3])]
+    of_kind = lambda k: (lambda x: x["rank"] == k)
+    counts = [F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(secrets.KINDS[:3])]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
@@ -88,15 +89,59 @@ def op10_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_line_dedup(spark, sf_dir, min_chars=line_dedup.LEAST_CHARS, exact_chars=1)
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
+QUERIES = (
+    op1_near_dedup,
+    op2_decontaminate,
+    op3_licenses,
+    op4_secrets,
+    op5_html_text,
+    op6_url_filter,
+    op7_top_k,
+    op8_bpe,
+    op9_quality,
+    op10_line_dedup,
+    op10_line_dedup_all,
+    op11_vector_dedup,
+    op12_spelling,
+    op13_hard_negatives,
+    pipeline,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_licenses, op4_secrets, op5_html_text, op6_url_filter, op7_top_k, op8_bpe, op9_quality, op10_line_dedup, op10_line_dedup_all, pipeline)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": sql.NEAR_DEDUP, "op2_decontaminate": sql.DECONTAMINATE, "op6_url_filter": sql.url_filter(URL_RULES), "op10_line_dedup": sql.LINE_DEDUP, "op10_line_dedup_all": sql.LINE_DEDUP_ALL, "op7_top_k": sql.TOP_K, "op3_licenses": sql.licenses()}
+    return {
+        "op1_near_dedup": sql.NEAR_DEDUP,
+        "op2_decontaminate": sql.DECONTAMINATE,
+        "op3_licenses": sql.licenses(),
+        "op6_url_filter": sql.url_filter(URL_RULES),
+        "op7_top_k": sql.TOP_K,
+        "op10_line_dedup": sql.LINE_DEDUP,
+        "op10_line_dedup_all": sql.LINE_DEDUP_ALL,
+        "op11_vector_dedup": sql.VECTOR_DEDUP,
+        "op13_hard_negatives": sql.HARD_NEGATIVES,
+    }

@@ -78,6 +78,35 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+VECTOR_DEDUP = """
+WITH RECURSIVE x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+v AS (
+  SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS length FROM x
+  WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_inner_product(a.x, b.x) / (a.length * b.length) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM x UNION SELECT r.a, links.b FROM r JOIN links ON r.b = links.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INTEGER) AS rank,
+  s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
 def url_filter(rules: list[tuple[str, str, str]]) -> str:
     """Rules and aliases; the pages' canonical links and refresh redirects connect addresses."""
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rules)
