@@ -97,16 +97,19 @@ def src16_src17_src18_monthly_archive(spark, sf_dir):
     return m.select("iy", "ix", "time", F.round(total, 6).alias("month_total"), F.round(clim.anomaly("precip", ["iy", "ix"]), 6).alias("anomaly"))
 
 
-_SMOOTH_DOY = mon._DOY.replace("time", "o.time")
-
-
-@query(f"""WITH {t.SQL_OBS}, {mon._DOY_ROWS}, c AS (SELECT doy, iy, avg(precip) AS average FROM d GROUP BY ALL)
-SELECT o.iy, o.ix, o.time, o.precip, round(c.average, 11) AS average FROM obs o JOIN c ON c.iy = o.iy AND c.doy = {_SMOOTH_DOY} WHERE year(o.time) = 2000""", whole=[(" WHERE year(o.time) = 2000", "")])
-def jn9_src23_doy_join(spark, sf_dir, whole=False):
-    """Observations with the climatology of their day of year: an equality join on the calendar day."""
-    c = clim.days_of_year(t.obs_daily(spark, sf_dir), 7, leap_mode="correct").groupBy("doy", "iy").agg(F.avg("precip").alias("average"))
-    o = t.obs_daily(spark, sf_dir).where(F.lit(whole) | (F.year("time") == 2000)).withColumn("doy", cal.doy(F.col("time"), "correct"))
-    return o.join(c, ["doy", "iy"]).select("iy", "ix", "time", "precip", F.round("average", 11).alias("average"))
+@query(f"""WITH {t.SQL_OBS}, o AS (SELECT *, {mon._DOY} AS day FROM obs), e AS (SELECT iy, day, CAST(sum(CAST(round(precip * 10) AS BIGINT)) AS BIGINT) AS total, count(precip) AS n FROM o GROUP BY iy, day),
+c AS (SELECT iy, (day + b - 1 + 365) % 365 + 1 AS day, CAST(sum(total) AS DOUBLE) / CAST(sum(n) AS DOUBLE) / 10 AS average FROM e, (SELECT unnest(range(-7, 8)) AS b) GROUP BY ALL)
+SELECT iy, ix, time, precip, round(average, 9) AS average FROM o JOIN c USING (iy, day)""")
+def jn9_src23_doy_join(spark, sf_dir):
+    """Observations with the climatology of their day of year: an equality join on the calendar day.
+
+    Sums of the days are made first, so that fifteen days share a row for each day of the year and not each row. Whole
+    tenths add up alike in any order."""
+    obs = t.obs_daily(spark, sf_dir).withColumn("doy", cal.doy(F.col("time"), "correct"))
+    days = obs.groupBy("iy", "doy").agg(F.sum(F.round(F.col("precip") * 10).cast("long")).alias("total"), F.count("precip").alias("n"))
+    near = F.transform(F.sequence(F.lit(-7), F.lit(7)), lambda i: F.pmod(F.col("doy") + i - 1, F.lit(365)) + 1)
+    c = days.withColumn("doy", F.explode(near)).groupBy("iy", "doy").agg((F.sum("total") / F.sum("n") / 10).alias("average"))
+    return obs.join(c, ["iy", "doy"]).select("iy", "ix", "time", "precip", F.round("average", 9).alias("average"))
 
 
 @query(f"""WITH {t.SQL_OBS} SELECT iy, ix, round(min(precip), 6) AS least, round(max(precip), 6) AS most, count(precip) AS n, count(*) AS days, round(stddev_pop(precip), 6) AS sd_pop, round(stddev_samp(precip), 6) AS sd_samp FROM obs GROUP BY iy, ix""")

@@ -13,12 +13,12 @@ from pluvio.streaming import daily
 from ._registry import query
 
 
-@query(f"WITH {t.SQL_RAIN}, d AS (SELECT CAST(unnest(generate_series(DATE '1994-12-20', DATE '2001-11-20', INTERVAL 1 DAY)) AS DATE) AS time) SELECT time FROM d ANTI JOIN (SELECT DISTINCT time FROM rain WHERE k = 3) r USING (time)", whole=[("SELECT time FROM d ANTI JOIN (SELECT DISTINCT time FROM rain WHERE k = 3) r USING (time)", "SELECT k, time FROM (SELECT n_nationkey AS k FROM nation) CROSS JOIN d ANTI JOIN rain USING (k, time)")])
-def src4_src5_missing_days(spark, sf_dir, whole=False):
-    if whole:
-        days = t.cells(spark, sf_dir).select("k").crossJoin(files.expected_days(spark, "1994-12-20", "2001-11-20"))
-        return days.join(t.rain(spark, sf_dir), ["k", "time"], "left_anti").select("k", "time")
-    return files.missing_days(t.rain(spark, sf_dir).where("k = 3"), "1994-12-20", "2001-11-20")
+@query(f"""WITH {t.SQL_RAIN}, d AS (SELECT CAST(unnest(generate_series(DATE '1994-12-20', DATE '2001-11-20', INTERVAL 1 DAY)) AS DATE) AS time)
+SELECT k, time FROM (SELECT n_nationkey AS k FROM nation) CROSS JOIN d ANTI JOIN rain USING (k, time)""")
+def src4_src5_missing_days(spark, sf_dir):
+    """Expected days of every cell that have no report."""
+    days = t.cells(spark, sf_dir).select("k").crossJoin(files.expected_days(spark, "1994-12-20", "2001-11-20"))
+    return days.join(t.rain(spark, sf_dir), ["k", "time"], "left_anti").select("k", "time")
 
 
 @query(f"WITH {t.SQL_RAIN}, l AS (SELECT max(time) AS last FROM rain) SELECT CAST(unnest(generate_series(last + 1, DATE '2001-11-20' - 2, INTERVAL 1 DAY)) AS DATE) AS time FROM l")

@@ -101,11 +101,13 @@ def win4_centred_mean(spark, sf_dir):
     return t.obs_daily(spark, sf_dir).select(*CELL, "time", F.round(win.full_window(F.avg, "precip", 5, CELL, "time", centred=True), 6).alias("smooth"))
 
 
-@query(f"""WITH {t.SQL_OBS}, p AS (SELECT iy, ix, time, unnest(range(0, 5)) AS buffer FROM obs WHERE year(time) = 2000)
-SELECT p.iy, p.ix, p.time, CAST(p.buffer AS INTEGER) AS buffer, o.precip FROM p LEFT JOIN (SELECT * FROM obs WHERE year(time) = 2000) o ON o.iy = p.iy AND o.ix = p.ix AND o.time = p.time + CAST(p.buffer - 2 AS INTEGER)""", whole=[("range(0, 5)", "range(0, 15)"), ("p.buffer - 2", "p.buffer - 7"), (" WHERE year(time) = 2000", "")])
-def win5_construct(spark, sf_dir, whole=False):
-    obs = t.obs_daily(spark, sf_dir)
-    return win.construct(obs, 7) if whole else win.construct(obs.where(F.year("time") == 2000), 2)
+_PLACES = ", ".join(f"lag(precip, {7 - i}) OVER w" if i < 7 else f"lead(precip, {i - 7}) OVER w" for i in range(15))
+
+
+@query(f"""WITH {t.SQL_OBS}, p AS (SELECT iy, ix, time, [{_PLACES}] AS places FROM obs WINDOW w AS (PARTITION BY iy, ix ORDER BY time))
+SELECT iy, ix, time, CAST(unnest(range(15)) AS INTEGER) AS buffer, unnest(places) AS precip FROM p""")
+def win5_construct(spark, sf_dir):
+    return win.construct(t.obs_daily(spark, sf_dir), 7)
 
 
 @query(f"""WITH {t.SQL_OBS} SELECT iy, ix, time, CAST(sum(CASE WHEN precip >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY iy, ix ORDER BY time) AS BIGINT) AS wet_so_far FROM obs WHERE {_LAST90}""")
@@ -209,12 +211,12 @@ def jn15_dt7_window_climatology(spark, sf_dir):
 
 
 @query(f"""WITH {t.SQL_OBS}, c AS (SELECT iy, ix, avg(precip) AS average, max(precip) AS most FROM obs WHERE year(time) < 2001 GROUP BY iy, ix),
-now AS (SELECT iy, ix, sum(precip) AS total FROM obs WHERE {_LAST90} AND iy < 4 GROUP BY iy, ix)
-SELECT iy, ix, round(total, 6) AS total, round(average, 6) AS average, round(total - 90 * average, 6) AS anomaly FROM now FULL JOIN c USING (iy, ix)""", whole=[(" AND iy < 4", "")])
-def jn1_jn4_merge(spark, sf_dir, whole=False):
+now AS (SELECT iy, ix, sum(precip) AS total FROM obs WHERE {_LAST90} GROUP BY iy, ix)
+SELECT iy, ix, round(total, 6) AS total, round(average, 6) AS average, round(total - 90 * average, 6) AS anomaly FROM now FULL JOIN c USING (iy, ix)""")
+def jn1_jn4_merge(spark, sf_dir):
     obs = t.obs_daily(spark, sf_dir)
     c = obs.where(F.year("time") < 2001).groupBy(*CELL).agg(F.avg("precip").alias("average"))
-    now = obs.where(F.col("time").between(F.date_sub(F.lit(DAY).cast("date"), 89), F.lit(DAY).cast("date")) & (F.lit(whole) | (F.col("iy") < 4))).groupBy(*CELL).agg(F.sum("precip").alias("total"))
+    now = obs.where(F.col("time").between(F.date_sub(F.lit(DAY).cast("date"), 89), F.lit(DAY).cast("date"))).groupBy(*CELL).agg(F.sum("precip").alias("total"))
     out = now.join(c, CELL, "full_outer").withColumn("anomaly", F.col("total") - 90 * F.col("average"))
     return out.select(*CELL, *[F.round(x, 6).alias(x) for x in ("total", "average", "anomaly")])
 

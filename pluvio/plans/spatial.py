@@ -140,8 +140,6 @@ def _regrid_sql(factor_points: list, name: str) -> str:
     return f"{name}(j, c, lo, hi, w) AS (VALUES {rows})"
 
 
-#: For the queries over all days.
-_ALL_DAYS = [(" WHERE time BETWEEN DATE '2000-03-01' AND DATE '2000-03-10'", "")]
 _LAT, _LON = [-20.0 + 5 * i for i in range(5)], [160.0 + 5 * i for i in range(5)]
 
 
@@ -149,37 +147,32 @@ def _bilinear_sql(y: list, x: list) -> str:
     corner = lambda dy, dx, wy, wx: f"(CASE WHEN {wy} * {wx} = 0 THEN 0 ELSE {wy} * {wx} * {dy}{dx}.precip END)"
     total = " + ".join(corner(a, b, "(1 - y.w)" if a == "l" else "y.w", "(1 - x.w)" if b == "l" else "x.w") for a in "lh" for b in "lh")
     joins = " ".join(f"LEFT JOIN s {a}{b} ON {a}{b}.time = t.time AND {a}{b}.iy = y.{'lo' if a == 'l' else 'hi'} AND {a}{b}.ix = x.{'lo' if b == 'l' else 'hi'}" for a in "lh" for b in "lh")
-    return f"""WITH {t.SQL_OBS}, s AS (SELECT * FROM obs WHERE time BETWEEN DATE '2000-03-01' AND DATE '2000-03-10'), {_regrid_sql(y, 'y')}, {_regrid_sql(x, 'x')},
+    return f"""WITH {t.SQL_OBS}, s AS (SELECT * FROM obs), {_regrid_sql(y, 'y')}, {_regrid_sql(x, 'x')},
 t AS (SELECT DISTINCT time FROM s), r AS (SELECT t.time, y.j AS jy, x.j AS jx, y.c AS lat, x.c AS lon, {total} AS precip FROM t CROSS JOIN y CROSS JOIN x {joins})
 SELECT time, CAST(jy AS INTEGER) AS jy, CAST(jx AS INTEGER) AS jx, round(lat, 6) AS lat, round(lon, 6) AS lon, round(precip, 6) AS precip FROM r WHERE precip IS NOT NULL"""
 
 
-def _slices(spark, sf_dir, whole):
-    obs = t.obs_daily(spark, sf_dir)
-    return obs if whole else obs.where(F.col("time").between(F.lit("2000-03-01").cast("date"), F.lit("2000-03-10").cast("date")))
-
-
-def _bilinear(spark, sf_dir, whole, y, x):
-    out = g.regrid(_slices(spark, sf_dir, whole), y, x, ["time"]).where("precip is not null")
+def _bilinear(spark, sf_dir, y, x):
+    out = g.regrid(t.obs_daily(spark, sf_dir), y, x, ["time"]).where("precip is not null")
     return out.select("time", "jy", "jx", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "precip")])
 
 
-@query(_bilinear_sql(g.target_axis(_LAT, 3), g.target_axis(_LON, 3)), whole=_ALL_DAYS)
-def reg1_refine(spark, sf_dir, whole=False):
-    return _bilinear(spark, sf_dir, whole, g.target_axis(_LAT, 3), g.target_axis(_LON, 3))
+@query(_bilinear_sql(g.target_axis(_LAT, 3), g.target_axis(_LON, 3)))
+def reg1_refine(spark, sf_dir):
+    return _bilinear(spark, sf_dir, g.target_axis(_LAT, 3), g.target_axis(_LON, 3))
 
 
-@query(_bilinear_sql(g.unit_axis(_LAT), g.unit_axis(_LON)), whole=_ALL_DAYS)
-def reg2_one_degree(spark, sf_dir, whole=False):
-    return _bilinear(spark, sf_dir, whole, g.unit_axis(_LAT), g.unit_axis(_LON))
+@query(_bilinear_sql(g.unit_axis(_LAT), g.unit_axis(_LON)))
+def reg2_one_degree(spark, sf_dir):
+    return _bilinear(spark, sf_dir, g.unit_axis(_LAT), g.unit_axis(_LON))
 
 
 _OTHER = ([-18.0, -9.5, -3.0, 1.0], [158.0, 163.0, 171.25, 179.0])
 
 
-@query(_bilinear_sql(g.brackets(_LAT, _OTHER[0]), g.brackets(_LON, _OTHER[1])), whole=_ALL_DAYS)
-def reg3_onto_other_grid(spark, sf_dir, whole=False):
-    return _bilinear(spark, sf_dir, whole, g.brackets(_LAT, _OTHER[0]), g.brackets(_LON, _OTHER[1]))
+@query(_bilinear_sql(g.brackets(_LAT, _OTHER[0]), g.brackets(_LON, _OTHER[1])))
+def reg3_onto_other_grid(spark, sf_dir):
+    return _bilinear(spark, sf_dir, g.brackets(_LAT, _OTHER[0]), g.brackets(_LON, _OTHER[1]))
 
 
 @query("SELECT CAST(i AS INTEGER) AS ilat, -59.875::DOUBLE + i * 0.25 AS lat FROM (SELECT unnest(range(480)) AS i)")
@@ -187,11 +180,11 @@ def reg4_quarter_degree_axis(spark, sf_dir):
     return g.grid_axis(spark, -59.875, 0.25, 480, "lat")
 
 
-@query(f"""WITH {t.SQL_OBS}, s AS (SELECT * FROM obs WHERE time BETWEEN DATE '2000-03-01' AND DATE '2000-03-10'),
+@query(f"""WITH {t.SQL_OBS}, s AS (SELECT * FROM obs),
 f AS (SELECT a.iy, a.ix, a.time, arg_min(b.precip, ((a.iy - b.iy) * (a.iy - b.iy) + (a.ix - b.ix) * (a.ix - b.ix), b.iy, b.ix)) AS v FROM s a JOIN s b ON a.time = b.time AND a.precip IS NULL AND b.precip IS NOT NULL GROUP BY ALL)
-SELECT iy, ix, time, round(coalesce(precip, v), 6) AS precip FROM s LEFT JOIN f USING (iy, ix, time)""", whole=_ALL_DAYS)
-def reg5_fill_nearest(spark, sf_dir, whole=False):
-    return g.fill_nearest(_slices(spark, sf_dir, whole), ["time"], reach=1).select("iy", "ix", "time", F.round("precip", 6).alias("precip"))
+SELECT iy, ix, time, round(coalesce(precip, v), 6) AS precip FROM s LEFT JOIN f USING (iy, ix, time)""")
+def reg5_fill_nearest(spark, sf_dir):
+    return g.fill_nearest(t.obs_daily(spark, sf_dir), ["time"], reach=1).select("iy", "ix", "time", F.round("precip", 6).alias("precip"))
 
 
 @query(f"WITH {t.SQL_CELLS} SELECT iy, ix, lon - 2.5 AS west, lon + 2.5 AS east, lat - 2.5 AS south, lat + 2.5 AS north FROM cells")

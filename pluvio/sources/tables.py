@@ -41,12 +41,10 @@ def rain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def obs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(iy, ix, time, precip) on a dense spine of days for every cell; days without a report are null."""
     reported = rain(spark, sf_dir)
-    span = table(spark, sf_dir, "lineitem").agg(F.to_date(F.min("l_shipdate")).alias("a"), F.to_date(F.max("l_shipdate")).alias("b")).first()
-    if span is None or span.a is None:
-        days = F.array().cast("array<date>")
-    else:
-        days = F.sequence(F.lit(span.a), F.lit(span.b), F.expr("interval 1 day"))
-    spine = cells(spark, sf_dir).select("k", "iy", "ix", F.explode(days).alias("time"))
+    # One row, without a job of its own; an empty table has no days.
+    span = table(spark, sf_dir, "lineitem").agg(F.to_date(F.min("l_shipdate")).alias("a"), F.to_date(F.max("l_shipdate")).alias("b"))
+    days = F.explode(F.sequence("a", "b", F.expr("interval 1 day")))
+    spine = cells(spark, sf_dir).crossJoin(F.broadcast(span)).select("k", "iy", "ix", days.alias("time"))
     return spine.join(reported, ["k", "time"], "left").select("iy", "ix", "time", "precip")
 
 

@@ -1,20 +1,18 @@
-"""The queries <name>_all cover all rows; test_oracle.py holds them against their SQL."""
+"""Queries cover all rows of their tables; test_oracle.py holds them against their SQL."""
 
 import re
 
 import pytest
 
 from pluvio import catalog
-from pluvio.plans.verification import _BANDS, bands
+from pluvio.plans.verification import bands
 
-NAMES = ["reg1_refine", "reg2_one_degree", "reg3_onto_other_grid", "reg5_fill_nearest", "win5_construct", "jn9_src23_doy_join", "src4_src5_missing_days", "jn1_jn4_merge"]
-NAMES += sorted(name for name, sql in catalog.oracle_sql().items() if _BANDS in sql)
+NAMES = sorted(catalog.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_part_is_taken(name):
-    assert name in catalog.queries() and f"{name}_all" in catalog.queries()
-    assert not re.search("l_linenumber <= 2|2000-03-01|k = 3|iy < 4|= 2000", catalog.oracle_sql()[f"{name}_all"])
+    assert not re.search("l_linenumber <= 2|2000-03-01|k = 3|iy < 4", catalog.oracle_sql()[name])
 
 
 def test_all_rows(spark, sf_dir):
@@ -24,13 +22,13 @@ def test_all_rows(spark, sf_dir):
     groups = {}
     for k, day, cents in lines:
         groups.setdefault((k // 5, day.replace(day=1)), []).append(cents)
-    got = {(r.iy, r.time): r.precip for r in bands(spark, sf_dir, whole=True).collect()}
+    got = {(r.iy, r.time): r.precip for r in bands(spark, sf_dir).collect()}
     assert got == pytest.approx({key: sum(v) / len(v) / 100000 for key, v in groups.items()})
     days = (max(x[1] for x in lines) - min(x[1] for x in lines)).days + 1
     cells = table("nation").count()
     queries = catalog.queries()
-    assert queries["win5_construct_all"](spark, sf_dir).count() == cells * days * 15
-    assert queries["reg5_fill_nearest_all"](spark, sf_dir).count() == queries["jn9_src23_doy_join_all"](spark, sf_dir).count() == cells * days
+    assert queries["win5_construct"](spark, sf_dir).count() == cells * days * 15
+    assert queries["reg5_fill_nearest"](spark, sf_dir).count() == queries["jn9_src23_doy_join"](spark, sf_dir).count() == cells * days
     reported = {(k, day) for k, day, _ in lines}
-    missing = {(r.k, r.time) for r in queries["src4_src5_missing_days_all"](spark, sf_dir).collect()}
+    missing = {(r.k, r.time) for r in queries["src4_src5_missing_days"](spark, sf_dir).collect()}
     assert not missing & reported and len(missing) + len(reported) == cells * 2528
