@@ -9,6 +9,7 @@ from pluvio.operators import classify as cls
 from pluvio.operators import climatology as clim
 from pluvio.operators import forecast as fc
 from pluvio.operators import indices as ind
+from pluvio.operators import skill as sk
 from pluvio.operators import verify as ver
 from pluvio.operators import windows as win
 from pluvio.sources import tables as t
@@ -102,6 +103,42 @@ def ver8_deterministic(spark, sf_dir):
     return out.select("gcm", "step", *[F.round(c, 6).alias(c) for c in ("corr", "rmse", "bias")], "n")
 
 
+_ANOMALIES = f"""{_MEANS}, bc AS (SELECT iy, time, precip - avg(precip) OVER (PARTITION BY month(time), iy) AS oa FROM bands),
+ev AS (SELECT gcm, init, step, iy, f FROM fm UNION ALL SELECT 'MME', init, step, iy, avg(f) FROM fm GROUP BY init, step, iy),
+an AS (SELECT gcm, init, step, ev.iy, CAST(init + to_months(step) AS DATE) AS time, f - avg(f) OVER (PARTITION BY gcm, month(init), step, ev.iy) AS f, oa AS o
+  FROM ev JOIN bc ON bc.iy = ev.iy AND bc.time = CAST(init + to_months(step) AS DATE)),
+leads AS (SELECT gcm, count(DISTINCT step) AS leads FROM an GROUP BY gcm),
+al AS (SELECT 'maximize' AS alignment, * FROM an
+  UNION ALL SELECT 'same_inits', * FROM an SEMI JOIN (SELECT gcm, init FROM an JOIN leads USING (gcm) GROUP BY gcm, init HAVING count(DISTINCT step) = any_value(leads)) k USING (gcm, init)
+  UNION ALL SELECT 'same_verif', * FROM an SEMI JOIN (SELECT gcm, time FROM an JOIN leads USING (gcm) GROUP BY gcm, time HAVING count(DISTINCT step) = any_value(leads)) k USING (gcm, time))"""
+
+
+def anomaly_pairs(spark, sf_dir):
+    """(gcm, init, step, iy, f, o): anomalies of each model, and of the multi-model mean, with those observed in their valid month.
+
+    A forecast's climatology is of its model, initial month and lead, an observation's of its month.
+    """
+    observed = bands(spark, sf_dir).select("iy", "time", clim.anomaly("precip", ["iy"]).alias("o"))
+    mean = means(spark, sf_dir).select("gcm", "init", "step", "iy", "f", "o")
+    every = sk.with_multi_model(mean, ["init", "step", "iy"]).drop("o")
+    own = every.withColumn("f", clim.anomaly("f", ["gcm", "step", "iy"], "init"))
+    return ver.lead_join(own, observed, ["iy"]).select("gcm", "init", "step", "iy", "f", "o")
+
+
+@query(f"""WITH {_ANOMALIES}, s AS (SELECT alignment, gcm, step, iy, init,
+  CASE WHEN grouping(iy) = 0 THEN 'init' WHEN grouping(init) = 0 THEN 'cell' ELSE 'init,cell' END AS dims, count(*) AS n,
+  var_pop(f) AS ff, var_pop(o) AS oo, covar_pop(f, o) AS fo, avg((f - o) * (f - o)) AS se, avg(f) - avg(o) AS bias
+  FROM al GROUP BY GROUPING SETS ((alignment, gcm, step, iy), (alignment, gcm, step, init), (alignment, gcm, step)))
+SELECT alignment, gcm, step, dims, iy, init, n, round(CASE WHEN ff > 1e-18 AND oo > 1e-18 THEN fo / sqrt(ff * oo) END, 6) AS acc, round(sqrt(se), 6) AS rmse, round(bias, 6) AS bias FROM s""")
+def ver8_anomaly_correlation(spark, sf_dir):
+    """Skill by lead over initial months, over cells and over both, for each way to align the leads."""
+    pairs = anomaly_pairs(spark, sf_dir)
+    kinds = [sk.aligned(pairs, how, ["gcm"]).withColumn("alignment", F.lit(how)) for how in sk.ALIGNMENTS]
+    every = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    out = sk.skill(every, ["alignment", "gcm", "step"], ["iy"])
+    return out.drop("slope", "msss").withColumns({c: F.round(c, 6) for c in ("acc", "rmse", "bias")})
+
+
 @query(f"WITH {_MEANS} SELECT CAST(month(init) AS INTEGER) AS month, round(corr(f, o), 6) AS corr, round(sqrt(avg((f - o) * (f - o))), 6) AS rmse, count(*) AS n FROM fm GROUP BY ALL")
 def ver9_by_month(spark, sf_dir):
     out = ver.deterministic(means(spark, sf_dir).withColumn("month", F.month("init")), ["month"])
