@@ -87,6 +87,50 @@ def gamma_quantile(p: np.ndarray, alpha: np.ndarray, beta: np.ndarray) -> np.nda
     return np.where(ok, (low + high) / 2 * b, np.nan)
 
 
+def digamma(x: np.ndarray) -> np.ndarray:
+    """Derivative of the logarithm of the gamma function, for x > 0."""
+    x = np.asarray(x, float)
+    y, below = x + 8, sum(1 / (x + i) for i in range(8))
+    z = 1 / (y * y)
+    return np.log(y) - 1 / (2 * y) - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z / 240))) - below
+
+
+def trigamma(x: np.ndarray) -> np.ndarray:
+    """Derivative of digamma, for x > 0."""
+    x = np.asarray(x, float)
+    y, below = x + 8, sum(1 / (x + i) ** 2 for i in range(8))
+    z = 1 / (y * y)
+    return 1 / y + z / 2 + z / y * (1 / 6 - z * (1 / 30 - z * (1 / 42 - z / 30))) + below
+
+
+def gamma_shape(s: np.ndarray) -> np.ndarray:
+    """The shape a of the likeliest gamma distribution, with ln a - digamma(a) = s: s is the logarithm of the mean less the
+    mean of logarithms. By Newton's method on 1 / a; NaN unless s > 0."""
+    s = np.asarray(s, float)
+    with np.errstate(all="ignore"):
+        ok = s > 0
+        t = np.where(ok, s, 1.0)
+        a = (3 - t + np.sqrt((t - 3) ** 2 + 24 * t)) / (12 * t)
+        for _ in range(60):
+            step = 1 / a + (np.log(a) - digamma(a) - t) / (a * a * (1 / a - trigamma(a)))
+            new = np.where(step > 0, 1 / step, 2 * a)
+            near = np.abs(new - a) <= 1e-15 * a
+            a = new
+            if near.all():
+                break
+        return np.where(ok & np.isfinite(a), a, np.nan)
+
+
+def _gamma_shape(s: pd.Series) -> pd.Series:
+    out = gamma_shape(s.to_numpy(float))
+    return pd.Series(out).where(~np.isnan(out))
+
+
+def likeliest_shape(s) -> Column:
+    """gamma_shape of a column; null where undefined."""
+    return F.pandas_udf(_gamma_shape, "double")(s)
+
+
 def _spi(x: pd.Series, alpha: pd.Series, beta: pd.Series) -> pd.Series:
     out = normal_quantile(gamma_cdf(x.to_numpy(float), alpha.to_numpy(float), beta.to_numpy(float)))
     return pd.Series(out).where(x.notna() & alpha.notna() & beta.notna() & ~np.isnan(out))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.functions import special
 from pluvio.functions.calendar import doy
 
 #: Quantile levels of the day-of-year climatology.
@@ -64,9 +67,66 @@ def gamma_parameters(value: str) -> tuple[Column, Column]:
     return alpha, F.try_divide(mean, alpha)
 
 
-def gamma_fit(df: DataFrame, by: list[str], value: str = "precip") -> DataFrame:
-    alpha, beta = gamma_parameters(value)
-    return df.groupBy(*by).agg(alpha.alias("alpha"), beta.alias("beta"))
+# Coefficients of Hosking's approximation of a gamma distribution's shape by its L-moments' ratio.
+_LOW = (-0.3080, -0.05812, 0.01765)
+_HIGH = (0.7213, -0.5947, -2.1817, 1.2113)
+GAMMA_METHODS = ("thom", "pwm", "ml")
+
+
+def shape_by_l_ratio(t: Column) -> Column:
+    """The shape of a gamma distribution whose second L-moment is t times its mean; null unless 0 < t < 1."""
+    z, y = math.pi * t * t, 1 - t
+    low = (1 + _LOW[0] * z) / (z * (1 + z * (_LOW[1] + z * _LOW[2])))
+    high = y * (_HIGH[0] + y * _HIGH[1]) / (1 + y * (_HIGH[2] + y * _HIGH[3]))
+    return F.when((t > 0) & (t < 1), F.when(t < 0.5, low).otherwise(high))
+
+
+def l_moments(df: DataFrame, by: list[str], value: str = "precip") -> DataFrame:
+    """l1 and l2, the first two L-moments of each group, from probability-weighted moments; missing values are left out.
+
+    Ranks come from one sort of each group, and the moments from an aggregation over the same partitions. l2 is null for a
+    single value.
+    """
+    w = Window.partitionBy(*by)
+    x = F.col(value).cast("double")
+    ranked = df.where(x.isNotNull()).select(*by, x.alias("_x"), (F.row_number().over(w.orderBy(x)) - 1).alias("_below"))
+    n, b0 = F.count("*"), F.avg("_x")
+    b1 = F.try_divide(F.sum(F.col("_below") * F.col("_x")), n * (n - 1))
+    return ranked.groupBy(*by).agg(n.alias("n"), b0.alias("l1"), (2 * b1 - b0).alias("l2"))
+
+
+def gamma_fit(df: DataFrame, by: list[str], value: str = "precip", method: str = "thom") -> DataFrame:
+    """alpha and beta (shape and scale) of each group's gamma distribution; null where a method has no answer.
+
+    thom: Thom's estimates; zeros are in the mean but not in the mean of logarithms. pwm: by L-moments of all values, zeros
+    included. ml: the likeliest parameters of the values above zero, with dry, the share of the others among all that are
+    there.
+    """
+    if method not in GAMMA_METHODS:
+        raise ValueError(f"method {method!r}; known are {', '.join(GAMMA_METHODS)}")
+    if method == "thom":
+        alpha, beta = gamma_parameters(value)
+        return df.groupBy(*by).agg(alpha.alias("alpha"), beta.alias("beta"))
+    if method == "pwm":
+        fit = l_moments(df, by, value).withColumn("alpha", shape_by_l_ratio(F.try_divide(F.col("l2"), F.col("l1"))))
+        return fit.select(*by, "alpha", (F.col("l1") / F.col("alpha")).alias("beta"))
+    wet = F.when(F.col(value) > 0, F.col(value))
+    mean = df.groupBy(*by).agg(F.avg(wet).alias("_mean"), (F.ln(F.avg(wet)) - F.avg(F.ln(wet))).alias("_s"), F.avg(F.when(F.col(value).isNotNull(), F.when(F.col(value) > 0, 0.0).otherwise(1.0))).alias("dry"))
+    # Below this the values are alike but for rounding.
+    fit = mean.withColumn("alpha", special.likeliest_shape(F.when(F.col("_s") > 1e-13, F.col("_s"))))
+    return fit.select(*by, "alpha", (F.col("_mean") / F.col("alpha")).alias("beta"), "dry")
+
+
+def gamma_quantiles(df: DataFrame, by: list[str], levels, value: str = "precip", method: str = "pwm") -> DataFrame:
+    """(quantile, edge) of each group by its fitted gamma distribution; null without a fit. With "ml" the distribution is of
+    the values above zero, and quantiles up to the share of the others are 0."""
+    fit = gamma_fit(df, by, value, method)
+    rows = fit.withColumn("quantile", F.explode(F.array(*[F.lit(float(x)) for x in levels])))
+    if method != "ml":
+        return rows.select(*by, "quantile", special.gamma_ppf("quantile", "alpha", "beta").alias("edge"))
+    p = F.try_divide(F.col("quantile") - F.col("dry"), 1 - F.col("dry"))
+    edge = special.gamma_ppf(F.greatest(p, F.lit(0.0)), "alpha", "beta")
+    return rows.select(*by, "quantile", F.when(F.col("quantile") <= F.col("dry"), 0.0).otherwise(edge).alias("edge"))
 
 
 def anomaly(value: str, by: list[str], time: str = "time", base: tuple[int, int] | None = None) -> Column:

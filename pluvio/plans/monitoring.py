@@ -163,6 +163,44 @@ def agg9_gamma_quantiles(spark, sf_dir):
     return levels.select("iy", "quantile", F.round(special.gamma_ppf("quantile", "alpha", "beta"), 6).alias("edge"))
 
 
+_LOW_SHAPE = "(1 - 0.3080 * pi() * t * t) / (pi() * t * t * (1 + pi() * t * t * (-0.05812 + pi() * t * t * 0.01765)))"
+_HIGH_SHAPE = "(1 - t) * (0.7213 - (1 - t) * 0.5947) / (1 + (1 - t) * (-2.1817 + (1 - t) * 1.2113))"
+
+
+@query(f"""WITH {t.SQL_MONTHLY}, r AS (SELECT month(time) AS month, iy, precip AS x, row_number() OVER (PARTITION BY month(time), iy ORDER BY precip) - 1 AS below FROM monthly WHERE precip IS NOT NULL),
+l AS (SELECT month, iy, avg(x) AS l1, 2 * sum(below * x) / nullif(count(*) * (count(*) - 1), 0) - avg(x) AS l2 FROM r GROUP BY month, iy), s AS (SELECT *, l2 / nullif(l1, 0) AS t FROM l),
+a AS (SELECT *, CASE WHEN t > 0 AND t < 0.5 THEN {_LOW_SHAPE} WHEN t >= 0.5 AND t < 1 THEN {_HIGH_SHAPE} END AS alpha FROM s)
+SELECT CAST(month AS INTEGER) AS month, iy, round(alpha, 6) AS alpha, round(l1 / alpha, 6) AS beta FROM a""")
+def agg9_gamma_l_moments(spark, sf_dir):
+    monthly = t.obs_monthly(spark, sf_dir).withColumn("month", F.month("time"))
+    fit = clim.gamma_fit(monthly, ["month", "iy"], method="pwm")
+    return fit.select("month", "iy", F.round("alpha", 6).alias("alpha"), F.round("beta", 6).alias("beta"))
+
+
+_DIGAMMA = "ln(a + 8) - 1 / (2 * (a + 8)) - 1 / (12 * pow(a + 8, 2)) + 1 / (120 * pow(a + 8, 4)) - 1 / (252 * pow(a + 8, 6)) - " + " - ".join(f"1 / (a + {i})" for i in range(8))
+
+
+@query(f"""WITH RECURSIVE {t.SQL_OBS}, m AS (SELECT iy, ix, avg(precip) FILTER (precip > 0) AS mean, ln(avg(precip) FILTER (precip > 0)) - avg(CASE WHEN precip > 0 THEN ln(precip) END) AS s,
+  avg(CASE WHEN precip > 0 THEN 0.0::DOUBLE ELSE 1 END) FILTER (precip IS NOT NULL) AS dry FROM obs GROUP BY iy, ix),
+b AS (SELECT iy, ix, s, -10.0::DOUBLE AS low, 20.0::DOUBLE AS high, 0 AS i FROM m WHERE s > 1e-13
+  UNION ALL SELECT iy, ix, s, CASE WHEN over THEN mid ELSE low END, CASE WHEN over THEN high ELSE mid END, i + 1
+  FROM (SELECT *, ln(a) - ({_DIGAMMA}) > s AS over FROM (SELECT *, (low + high) / 2 AS mid, exp((low + high) / 2) AS a FROM b WHERE i < 60)))
+SELECT m.iy, m.ix, round(exp(b.low), 6) AS alpha, round(mean / exp(b.low), 6) AS beta, round(dry, 9) AS dry FROM m LEFT JOIN b ON b.iy = m.iy AND b.ix = m.ix AND b.i = 60""")
+def agg9_gamma_likelihood(spark, sf_dir):
+    """The SQL finds the same shapes by bisection."""
+    fit = clim.gamma_fit(t.obs_daily(spark, sf_dir), CELL, method="ml")
+    return fit.select(*CELL, F.round("alpha", 6).alias("alpha"), F.round("beta", 6).alias("beta"), F.round("dry", 9).alias("dry"))
+
+
+@query()
+def agg9_quantiles_by_method(spark, sf_dir):
+    """Terciles of each month and band by every method of fitting."""
+    monthly = t.obs_monthly(spark, sf_dir).withColumn("month", F.month("time"))
+    of = lambda m: clim.gamma_quantiles(monthly, ["month", "iy"], clim.SCHEMES["tercile"], method=m).withColumn("method", F.lit(m))
+    thom, pwm, ml = map(of, clim.GAMMA_METHODS)
+    return thom.unionByName(pwm).unionByName(ml).withColumn("edge", F.round("edge", 6))
+
+
 @query(f"""WITH {t.SQL_OBS} SELECT time, round(quantile_cont(precip, 0.99), 6) AS q99, round(max(precip), 6) AS most, count(precip) AS n FROM obs GROUP BY time""")
 def agg20_daily_extremes(spark, sf_dir):
     q = F.percentile("precip", F.lit(0.99))
