@@ -8,9 +8,10 @@ from pluvio.functions import calendar as cal
 from pluvio.functions import strings as st
 from pluvio.sources import files
 from pluvio.sources import tables as t
-from pluvio.streaming import daily
+from pluvio.streaming import daily, trailing
 
-from ._registry import query
+from . import monitoring
+from ._registry import SQL, query
 
 
 @query(f"""WITH {t.SQL_RAIN}, d AS (SELECT CAST(unnest(generate_series(DATE '1994-12-20', DATE '2001-11-20', INTERVAL 1 DAY)) AS DATE) AS time)
@@ -113,3 +114,18 @@ def jn7_jn13_set1_attributes(spark, sf_dir):
 def stm2_daily_increment(spark, sf_dir):
     """The streaming aggregation on a table: the same rows as the stream writes once all days are final."""
     return daily.daily_sums(t.table(spark, sf_dir, "events")).withColumn("value", F.round("value", 6))
+
+
+@query(SQL[monitoring.win1_running_sums.__name__])
+def stm2_trailing_sums(spark, sf_dir):
+    """A replay of the archive: its days arrive as files in any order, and the stream keeps the sums of each cell.
+
+    The rows are those of the running sums over the finished series."""
+    periods = (3, 7, 30)
+    with files.workspace(spark) as folder:
+        t.obs_daily(spark, sf_dir).repartitionByRange(6, "time").write.parquet(f"{folder}/days")
+        # No day of the archive is too late.
+        sums = trailing.trailing_sums(trailing.read_days(spark, f"{folder}/days", 2), periods, late=36_500)
+        trailing.write_sums(sums, f"{folder}/sums", f"{folder}/checkpoint").awaitTermination()
+        newest = trailing.latest(spark.read.parquet(f"{folder}/sums"))
+        return newest.withColumns({f"sum_{n}d": F.round(f"sum_{n}d", 6) for n in periods}).checkpoint()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,3 +149,22 @@ def write_new(df: DataFrame, path: str, partition: list[str]) -> None:
 
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+@contextmanager
+def workspace(spark: SparkSession):
+    """A folder for the files of one job, in spark.checkpoint.dir, which the cluster's machines share; it goes when the job
+    is done. A session on one machine that has none, as in tests, works in its warehouse; a cluster must set it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+        shared = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared)
+    folder = f"{shared}/work/{uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
