@@ -146,18 +146,24 @@ def brackets(axis: list[float], points: list[float]) -> list[tuple[float, int, i
     return out
 
 
+def corner_tables(spark: SparkSession, y_axis: list[tuple], x_axis: list[tuple]) -> list[DataFrame]:
+    """(jy, cy, iy, wy) and (jx, cx, ix, wx): a row for each corner and target coordinate that has a weight; small ones are
+    broadcast."""
+    sides = []
+    for axis, name in ((y_axis, "y"), (x_axis, "x")):
+        rows = [(j, float(c), k, w) for j, (c, i, m, up) in enumerate(axis) for k, w in ([(i, 1.0 - up), (m, up)] if m != i else [(i, 1.0)]) if i >= 0 and w > 0]
+        side = spark.createDataFrame(rows, f"j{name} int, c{name} double, i{name} int, w{name} double")
+        sides.append(F.broadcast(side) if len(rows) <= MOST_BROADCAST else side)
+    return sides
+
+
 def regrid(df: DataFrame, y_axis: list[tuple], x_axis: list[tuple], by: list[str], value: str = "precip") -> DataFrame:
     """Bilinear values (jy, jx, lat, lon) of every slice. No extrapolation; a missing corner that has a weight gives null.
 
     Every source value is sent to the target points that it is a corner of, and the corners meet in one aggregation; the
     axis tables hold a row for each corner and target coordinate, and their size is checked before they are broadcast.
     """
-    spark = df.sparkSession
-    sides = []
-    for axis, name in ((y_axis, "y"), (x_axis, "x")):
-        rows = [(j, float(c), k, w) for j, (c, i, m, up) in enumerate(axis) for k, w in ([(i, 1.0 - up), (m, up)] if m != i else [(i, 1.0)]) if i >= 0 and w > 0]
-        side = spark.createDataFrame(rows, f"j{name} int, c{name} double, i{name} int, w{name} double")
-        sides.append(F.broadcast(side) if len(rows) <= MOST_BROADCAST else side)
+    sides = corner_tables(df.sparkSession, y_axis, x_axis)
     parts = df.join(sides[0], "iy").join(sides[1], "ix")
     weight = F.col("wy") * F.col("wx")
     total = F.sum(F.col(value) * weight)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pluvio.operators import coast
 from pluvio.operators import grid as g
 from pluvio.operators import selection as sel
 from pluvio.sources import tables as t
@@ -192,3 +193,64 @@ def geo4_geo13_pixel_squares(spark, sf_dir):
     ring = g.corners(F.col("lon"), F.col("lat"), 5.0)
     b = g.bounds(ring)
     return t.cells(spark, sf_dir).select("iy", "ix", b["lon_min"].alias("west"), b["lon_max"].alias("east"), b["lat_min"].alias("south"), b["lat_max"].alias("north"))
+
+
+#: The grid five times as fine, and how far a coast reaches.
+_FINE = g.target_axis(_LAT, 5), g.target_axis(_LON, 5)
+_COAST_KM = 200.0
+_FINE_MASK = f"""{_regrid_sql(_FINE[0], 'y')}, {_regrid_sql(_FINE[1], 'x')}, fine AS (SELECT y.j AS iy, x.j AS ix, y.c AS lat, x.c AS lon FROM y CROSS JOIN x),
+{t.SQL_EDGES}, {_RING}, own AS (SELECT region, iy, ix, count(*) FILTER ((y1 > lat) <> (y2 > lat) AND lon < x1 + (lat - y1) * (x2 - x1) / nullif(y2 - y1, 0)) % 2 = 1 AS inside FROM fine CROSS JOIN ring GROUP BY region, iy, ix),
+plane AS (SELECT region, {", ".join(f"radians(x{i}) * 6378137 AS a{i}, 6378137 * ln(tan(pi() / 4 + radians(y{i}) / 2)) AS b{i}" for i in (1, 2))} FROM ring),
+spot AS (SELECT region, iy, ix, a1, b1, a2 - a1 AS da, b2 - b1 AS db, radians(lon) * 6378137 AS a, 6378137 * ln(tan(pi() / 4 + radians(lat) / 2)) AS b FROM fine CROSS JOIN plane),
+part AS (SELECT *, least(greatest(((a - a1) * da + (b - b1) * db) / (da * da + db * db), 0), 1) AS f FROM spot),
+away AS (SELECT region, iy, ix, min(sqrt(pow(a - a1 - f * da, 2) + pow(b - b1 - f * db, 2))) / 1000 AS km FROM part GROUP BY region, iy, ix),
+fm AS (SELECT region, iy, ix, inside, km FROM own JOIN away USING (region, iy, ix) WHERE inside OR km <= {_COAST_KM})"""
+
+
+def _fine_mask(spark, sf_dir):
+    return coast.buffered_mask(coast.refined_cells(spark, *_FINE), t.polygons(spark), _COAST_KM)
+
+
+@query(f"""WITH {t.SQL_CELLS}, {_FINE_MASK}, box AS (SELECT region, min(lon) - 1 AS a, max(lon) + 1 AS b, min(lat) - 1 AS c, max(lat) + 1 AS d FROM edges GROUP BY region),
+dom AS (SELECT box.region, iy, ix FROM fine JOIN box ON lon BETWEEN a AND b AND lat BETWEEN c AND d), n AS (SELECT n_nationkey AS k FROM nation)
+SELECT region, CAST(iy AS INTEGER) AS iy, CAST(ix AS INTEGER) AS ix, coalesce(inside, false) AS inside, inside IS NOT NULL AS masked, CASE WHEN km <= {_COAST_KM} THEN round(km, 6) END AS distance_km,
+  count(inside) OVER (PARTITION BY region) AS cells FROM dom LEFT JOIN fm USING (region, iy, ix) WHERE (iy // 5) * 5 + ix // 5 IN (SELECT k FROM n)""")
+def geo3_coast_buffer(spark, sf_dir):
+    """The domain of each region on the refined grid of the nations' cells: inside, near its outline, or neither."""
+    from pyspark.sql import Window
+
+    nations = t.cells(spark, sf_dir).select(F.col("iy").alias("_y"), F.col("ix").alias("_x"))
+    fine = coast.refined_cells(spark, *_FINE)
+    fine = fine.join(nations, (F.floor(fine["iy"] / 5) == F.col("_y")) & (F.floor(fine["ix"] / 5) == F.col("_x"))).drop("_y", "_x")
+    masked = coast.buffered_mask(fine, t.polygons(spark), _COAST_KM)
+    away = coast.near_outline(fine, t.polygons(spark), _COAST_KM)
+    out = coast.around(fine, t.polygons(spark), 1.0).join(masked, ["region", "iy", "ix"], "left").join(away, ["region", "iy", "ix"], "left")
+    cells = F.count("inside").over(Window.partitionBy("region"))
+    return out.select("region", "iy", "ix", F.coalesce("inside", F.lit(False)).alias("inside"), F.col("inside").isNotNull().alias("masked"), F.round("distance_km", 6).alias("distance_km"), cells.alias("cells"))
+
+
+_FINE_CUBE = _bilinear_sql(*_FINE).replace(t.SQL_OBS, t.SQL_MONTHLY).replace("FROM obs)", "FROM monthly)").removeprefix("WITH ")
+_FINE_CUBE = _FINE_CUBE[: _FINE_CUBE.rindex("\nSELECT")] if "\nSELECT" in _FINE_CUBE else _FINE_CUBE[: _FINE_CUBE.rindex("SELECT time")]
+
+
+@query(f"""WITH {_FINE_CUBE}, {_FINE_MASK.replace(_regrid_sql(_FINE[0], 'y') + ', ' + _regrid_sql(_FINE[1], 'x') + ', ', '')}
+SELECT region, time, round(avg(precip), 6) AS precip, count(precip) AS valid, (SELECT count(*) FROM fm m WHERE m.region = fm.region) AS cells
+FROM fm JOIN r ON r.jy = fm.iy AND r.jx = fm.ix WHERE precip IS NOT NULL GROUP BY region, time""")
+def geo3_masked_refined(spark, sf_dir):
+    """Monthly means over the refined cells of each region and its coast, with how many have a value."""
+    fine = _fine_mask(spark, sf_dir).select("region", F.col("iy").alias("jy"), F.col("ix").alias("jx"))
+    cells = fine.groupBy("region").agg(F.count("*").alias("cells"))
+    cube = g.regrid(t.obs_monthly(spark, sf_dir), *_FINE, ["time"]).where("precip is not null")
+    out = cube.join(fine, ["jy", "jx"]).groupBy("region", "time").agg(F.round(F.avg("precip"), 6).alias("precip"), F.count("precip").alias("valid"))
+    return out.join(cells, "region").select("region", "time", "precip", "valid", "cells")
+
+
+@query(f"""WITH {t.SQL_MONTHLY}, {_FINE_MASK}, corner AS (SELECT region, fm.iy AS jy, fm.ix AS jx, unnest([[y.lo, x.lo], [y.lo, x.hi], [y.hi, x.lo], [y.hi, x.hi]]) AS c,
+  unnest([(1 - y.w) * (1 - x.w), (1 - y.w) * x.w, y.w * (1 - x.w), y.w * x.w]) AS w FROM fm JOIN y ON y.j = fm.iy JOIN x ON x.j = fm.ix),
+share AS (SELECT region, c[1] AS iy, c[2] AS ix, sum(w) AS w FROM corner WHERE w > 0 GROUP BY ALL), total AS (SELECT region, sum(w) AS total FROM share GROUP BY region)
+SELECT region, time, round(sum(precip * w) / sum(w), 6) AS precip, round(sum(w) / any_value(total), 6) AS covered FROM monthly JOIN share USING (iy, ix) JOIN total USING (region) GROUP BY region, time""")
+def geo17_share_mean(spark, sf_dir):
+    """Zonal means by the shares that cells have in a region and its coast; no value is refined."""
+    shares = coast.cell_shares(_fine_mask(spark, sf_dir), *_FINE)
+    out = coast.weighted_zonal_mean(t.obs_monthly(spark, sf_dir), shares, ["time"])
+    return out.withColumns({c: F.round(c, 6) for c in ("precip", "covered")})
