@@ -198,6 +198,8 @@ def geo4_geo13_pixel_squares(spark, sf_dir):
 #: The grid five times as fine, and how far a coast reaches.
 _FINE = g.target_axis(_LAT, 5), g.target_axis(_LON, 5)
 _COAST_KM = 200.0
+#: Weighted means of tenths lie halfway between two roundings now and then; this moves them off.
+_OFF_TIES = 1e-9
 _FINE_MASK = f"""{_regrid_sql(_FINE[0], 'y')}, {_regrid_sql(_FINE[1], 'x')}, fine AS (SELECT y.j AS iy, x.j AS ix, y.c AS lat, x.c AS lon FROM y CROSS JOIN x),
 {t.SQL_EDGES}, {_RING}, own AS (SELECT region, iy, ix, count(*) FILTER ((y1 > lat) <> (y2 > lat) AND lon < x1 + (lat - y1) * (x2 - x1) / nullif(y2 - y1, 0)) % 2 = 1 AS inside FROM fine CROSS JOIN ring GROUP BY region, iy, ix),
 plane AS (SELECT region, {", ".join(f"radians(x{i}) * 6378137 AS a{i}, 6378137 * ln(tan(pi() / 4 + radians(y{i}) / 2)) AS b{i}" for i in (1, 2))} FROM ring),
@@ -234,23 +236,23 @@ _FINE_CUBE = _FINE_CUBE[: _FINE_CUBE.rindex("\nSELECT")] if "\nSELECT" in _FINE_
 
 
 @query(f"""WITH {_FINE_CUBE}, {_FINE_MASK.replace(_regrid_sql(_FINE[0], 'y') + ', ' + _regrid_sql(_FINE[1], 'x') + ', ', '')}
-SELECT region, time, round(avg(precip), 6) AS precip, count(precip) AS valid, (SELECT count(*) FROM fm m WHERE m.region = fm.region) AS cells
+SELECT region, time, round(avg(precip) + {_OFF_TIES}, 6) AS precip, count(precip) AS valid, (SELECT count(*) FROM fm m WHERE m.region = fm.region) AS cells
 FROM fm JOIN r ON r.jy = fm.iy AND r.jx = fm.ix WHERE precip IS NOT NULL GROUP BY region, time""")
 def geo3_masked_refined(spark, sf_dir):
     """Monthly means over the refined cells of each region and its coast, with how many have a value."""
     fine = _fine_mask(spark, sf_dir).select("region", F.col("iy").alias("jy"), F.col("ix").alias("jx"))
     cells = fine.groupBy("region").agg(F.count("*").alias("cells"))
     cube = g.regrid(t.obs_monthly(spark, sf_dir), *_FINE, ["time"]).where("precip is not null")
-    out = cube.join(fine, ["jy", "jx"]).groupBy("region", "time").agg(F.round(F.avg("precip"), 6).alias("precip"), F.count("precip").alias("valid"))
+    out = cube.join(fine, ["jy", "jx"]).groupBy("region", "time").agg(F.round(F.avg("precip") + _OFF_TIES, 6).alias("precip"), F.count("precip").alias("valid"))
     return out.join(cells, "region").select("region", "time", "precip", "valid", "cells")
 
 
 @query(f"""WITH {t.SQL_MONTHLY}, {_FINE_MASK}, corner AS (SELECT region, fm.iy AS jy, fm.ix AS jx, unnest([[y.lo, x.lo], [y.lo, x.hi], [y.hi, x.lo], [y.hi, x.hi]]) AS c,
   unnest([(1 - y.w) * (1 - x.w), (1 - y.w) * x.w, y.w * (1 - x.w), y.w * x.w]) AS w FROM fm JOIN y ON y.j = fm.iy JOIN x ON x.j = fm.ix),
 share AS (SELECT region, c[1] AS iy, c[2] AS ix, sum(w) AS w FROM corner WHERE w > 0 GROUP BY ALL), total AS (SELECT region, sum(w) AS total FROM share GROUP BY region)
-SELECT region, time, round(sum(precip * w) / sum(w), 6) AS precip, round(sum(w) / any_value(total), 6) AS covered FROM monthly JOIN share USING (iy, ix) JOIN total USING (region) GROUP BY region, time""")
+SELECT region, time, round(sum(precip * w) / sum(w) + {_OFF_TIES}, 6) AS precip, round(sum(w) / any_value(total), 6) AS covered FROM monthly JOIN share USING (iy, ix) JOIN total USING (region) GROUP BY region, time""")
 def geo17_share_mean(spark, sf_dir):
     """Zonal means by the shares that cells have in a region and its coast; no value is refined."""
     shares = coast.cell_shares(_fine_mask(spark, sf_dir), *_FINE)
     out = coast.weighted_zonal_mean(t.obs_monthly(spark, sf_dir), shares, ["time"])
-    return out.withColumns({c: F.round(c, 6) for c in ("precip", "covered")})
+    return out.withColumns({"precip": F.round(F.col("precip") + _OFF_TIES, 6), "covered": F.round("covered", 6)})
