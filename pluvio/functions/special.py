@@ -131,6 +131,60 @@ def likeliest_shape(s) -> Column:
     return F.pandas_udf(_gamma_shape, "double")(s)
 
 
+def beta_cdf(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta function, by its continued fraction on the side where that is short; NaN where undefined."""
+    with np.errstate(all="ignore"):
+        x, a, b = np.broadcast_arrays(*(np.asarray(v, float) for v in (x, a, b)))
+        ok = (a > 0) & (b > 0) & (x >= 0) & (x <= 1)
+        turned = x > (a + 1) / (a + b + 2)
+        z, p, q = np.where(turned, 1 - x, x), np.where(ok, np.where(turned, b, a), 1.0), np.where(ok, np.where(turned, a, b), 1.0)
+        z = np.where(ok, z, 0.5)
+        front = np.exp(log_gamma(p + q) - log_gamma(p) - log_gamma(q) + p * np.log(z) + q * np.log1p(-z)) / p
+        tiny = 1e-300
+        c, d = np.ones_like(z), 1 - (p + q) * z / (p + 1)
+        d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+        h = d
+        for m in range(1, 500):
+            even = m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m))
+            odd = -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1))
+            before = h
+            for term in (even, odd):
+                d, c = 1 + term * d, 1 + term / c
+                d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+                c = np.where(np.abs(c) < tiny, tiny, c)
+                h = h * c * d
+            if not (np.abs(h - before) > 1e-15 * np.abs(h)).any():
+                break
+        part = np.where(z == 0, 0.0, front * h)
+        return np.where(ok, np.where(turned, 1 - part, part), np.nan)
+
+
+def correlation_p(r: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Two-sided p-value of a correlation r of n pairs that are not correlated, by Student's t with n - 2 degrees of
+    freedom; NaN for fewer than three pairs."""
+    r, n = np.broadcast_arrays(np.asarray(r, float), np.asarray(n, float))
+    free = np.where(n > 2, n - 2, np.nan)
+    return beta_cdf(np.clip(1 - r * r, 0, 1), free / 2, 0.5)
+
+
+def _correlation_p(r: pd.Series, n: pd.Series) -> pd.Series:
+    out = correlation_p(r.to_numpy(float), n.to_numpy(float))
+    return pd.Series(out).where(r.notna() & ~np.isnan(out))
+
+
+def p_of_correlation(r, n) -> Column:
+    """correlation_p of columns; null where undefined."""
+    return F.pandas_udf(_correlation_p, "double")(r, n)
+
+
+def fisher_interval(r: Column, n: Column, level: float = 0.95) -> tuple[Column, Column]:
+    """The ends of a correlation's confidence interval by Fisher's transformation; null for fewer than four pairs and for
+    correlations of one."""
+    half = float(normal_quantile(np.array([0.5 + level / 2]))[0]) / F.sqrt(n - 3)
+    z = F.when((n > 3) & (F.abs(r) < 1), F.atanh(r))
+    return F.tanh(z - half), F.tanh(z + half)
+
+
 def _spi(x: pd.Series, alpha: pd.Series, beta: pd.Series) -> pd.Series:
     out = normal_quantile(gamma_cdf(x.to_numpy(float), alpha.to_numpy(float), beta.to_numpy(float)))
     return pd.Series(out).where(x.notna() & alpha.notna() & beta.notna() & ~np.isnan(out))

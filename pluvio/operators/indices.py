@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .climatology import anomaly
 from .selection import in_box
 from .windows import full_window
 
 # Boxes as lon_min, lon_max, lat_min, lat_max.
+SPSD = {"nw": (170, 190, -50, -35), "se": (220, 240, -57.5, -45)}
 NINO = {"1+2": (270, 280, -10, 0), "3": (210, 270, -5, 5), "4": (160, 210, -5, 5), "3.4": (190, 240, -5, 5), "oni": (190, 240, -5, 5)}
 
 
@@ -67,6 +69,21 @@ def dipole(west: Column, east: Column) -> Column:
     return scaled(west) - scaled(east)
 
 
+def subtropical_dipole(df: DataFrame, base: tuple[int, int], n: int = 3, value: str = "sst", time: str = "time") -> DataFrame:
+    """(time, spsd, spsd_<n>): the South Pacific subtropical dipole by month and its mean of n months, stamped at month ends.
+
+    Anomalies of every cell are taken against the months of the base years, averaged over both poles, standardised on the
+    base years (as a sample), subtracted north-west less south-east, and standardised on them again. Null where a pole has
+    no cell or the base years no spread. After the box means the series has a row a month.
+    """
+    anomalies = df.withColumn("_a", anomaly(value, ["lon", "lat"], time, base))
+    poles = box_means(anomalies, {"nw": SPSD["nw"], "se": SPSD["se"]}, "_a", time)
+    inside = F.year(time).between(*base)
+    dipole_ = poles.withColumns({c: scaled(F.col(c), inside, sample=True) for c in ("nw", "se")}).withColumn("_d", F.col("nw") - F.col("se"))
+    out = dipole_.withColumn("spsd", scaled(F.col("_d"), inside, sample=True))
+    return out.select(F.last_day(time).alias(time), "spsd", smoothed(out, "spsd", n, time).alias(f"spsd_{n}"))
+
+
 def composite(df: DataFrame, phases: DataFrame, name: str, by: list[str], value: str, time: str = "time") -> DataFrame:
     """Mean at the times of a phase."""
     return df.join(phases.where(F.col("phase") == name).select(time), time, "left_semi").groupBy(*by).agg(F.avg(value).alias(value))

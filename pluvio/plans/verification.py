@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pluvio.functions import calendar as cal
+from pluvio.functions import special
 from pluvio.operators import classify as cls
 from pluvio.operators import climatology as clim
 from pluvio.operators import forecast as fc
@@ -255,3 +256,45 @@ def ver14_jn16_series_correlation(spark, sf_dir):
 SELECT name, time, round(CASE WHEN b IS NULL THEN a - value WHEN a IS NULL THEN value - b ELSE (a - b) / 2 END, 6) AS slope FROM g""")
 def win11_gradient(spark, sf_dir):
     return t.series(spark, sf_dir).select("name", "time", F.round(win.gradient("value", ["name"], "time"), 6).alias("slope"))
+
+
+_BASE = (1995, 1998)
+_IN_BASE = "year(time) BETWEEN 1995 AND 1998"
+
+
+def _z(c: str) -> str:
+    kept = f"CASE WHEN {_IN_BASE} THEN {c} END"
+    return f"({c} - avg({kept}) OVER ()) / nullif(stddev_samp({kept}) OVER (), 0)"
+
+
+@query(f"""WITH {t.SQL_MONTHLY}, sst AS (SELECT time, 160.0 + 30 * ix AS lon, -60.0 + 5 * iy AS lat, precip AS sst FROM monthly),
+an AS (SELECT time, lon, lat, sst - avg(CASE WHEN {_IN_BASE} THEN sst END) OVER (PARTITION BY month(time), lon, lat) AS a FROM sst),
+b AS (SELECT time, avg(a) FILTER (lon BETWEEN 170 AND 190 AND lat BETWEEN -50 AND -35) AS nw, avg(a) FILTER (lon BETWEEN 220 AND 240 AND lat BETWEEN -57.5 AND -45) AS se FROM an GROUP BY time),
+d AS (SELECT time, {_z("nw")} - {_z("se")} AS d FROM b), s AS (SELECT time, {_z("d")} AS spsd FROM d)
+SELECT CAST(last_day(time) AS DATE) AS time, round(spsd, 6) AS spsd, round(CASE WHEN count(spsd) OVER w = 3 THEN avg(spsd) OVER w END, 6) AS spsd_3 FROM s WINDOW w AS (ORDER BY time ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
+def idx4_subtropical_dipole(spark, sf_dir):
+    """The grid moved to the South Pacific, so that both poles hold cells."""
+    m = t.obs_monthly(spark, sf_dir)
+    sst = m.select("time", (F.lit(160.0) + 30 * F.col("ix")).alias("lon"), (F.lit(-60.0) + 5 * F.col("iy")).alias("lat"), F.col("precip").alias("sst"))
+    return ind.subtropical_dipole(sst, _BASE).withColumns({c: F.round(c, 6) for c in ("spsd", "spsd_3")})
+
+
+def _correlations(spark, sf_dir):
+    s = t.series(spark, sf_dir)
+    a, b = s.select(F.col("name").alias("a"), "time", F.col("value").alias("x")), s.select(F.col("name").alias("b"), "time", F.col("value").alias("y"))
+    return a.join(b, "time").where("a < b").groupBy("a", "b").agg(F.corr("x", "y").alias("corr"), F.count("*").alias("n"))
+
+
+@query(f"""WITH {t.SQL_SERIES}, c AS (SELECT a.name AS a, b.name AS b, corr(a.value, b.value) AS r, count(*) AS n FROM series a JOIN series b ON a.time = b.time AND a.name < b.name GROUP BY ALL),
+z AS (SELECT *, CASE WHEN n > 3 AND abs(r) < 1 THEN atanh(r) END AS z, 1.959963984540054 / sqrt(n - 3) AS half FROM c)
+SELECT a, b, round(r, 6) AS corr, n, round(tanh(z - half), 6) AS low, round(tanh(z + half), 6) AS high FROM z""")
+def ver14_interval(spark, sf_dir):
+    c = _correlations(spark, sf_dir)
+    low, high = special.fisher_interval(F.col("corr"), F.col("n"))
+    return c.select("a", "b", F.round("corr", 6).alias("corr"), "n", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
+@query()
+def ver14_significance(spark, sf_dir):
+    c = _correlations(spark, sf_dir)
+    return c.select("a", "b", F.round("corr", 6).alias("corr"), "n", F.round(special.p_of_correlation("corr", "n"), 9).alias("p"))
