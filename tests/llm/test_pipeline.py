@@ -53,3 +53,22 @@ def test_short_lines_go_too(spark, tmp_path):
     left = {r.doc_id: r.text for r in cp.dedup_lines(spark, docs, str(tmp_path)).collect()}
     assert left[0].startswith("Share\n") and left[0].endswith("\nRead more")
     assert all("Share" not in left.get(i, "") and "Read more" not in left.get(i, "") for i in (1, 2, 3))
+
+
+def test_columns_with_the_operators_names_stay(spark, sf_dir):
+    """Values of other columns, also of rows without doc_id, are those of the input after every stage."""
+    names = ["n_lines", "dropped", "kept_text", "_pipeline_key", "_pipeline_row", "id", "class_id", "copy_of", "keep", "n_words", "n_hit", "items", "word", "a.b", "v", "rank"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60 or doc_id % 10 = 0")
+    own = F.concat_ws("-", F.lit("own"), F.coalesce(F.col("doc_id").cast("string"), F.md5("text")))
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 9 != 0, F.col("doc_id")))
+    docs = docs.select("*", *[F.concat(own, F.lit(n)).alias(n) for n in names], F.lit("x").alias("n_items"))
+    quoted = [f"`{n}`" for n in names]
+    want = {tuple(r) for r in docs.select("doc_id", *quoted).collect()}
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.schema["dropped"].dataType.typeName() == "string", name
+        rows = out.select("doc_id", *quoted, "text", "n_chars").collect()
+        assert rows and {tuple(r)[:-2] for r in rows} <= want, name
+        assert any(r.doc_id is None for r in rows) and all(r.n_chars == len(r.text or "") for r in rows), name
+    tokens = cp.tokenise(spark, docs, sf_dir)
+    assert tokens.count() == docs.count() and tokens.where("not round_trip").isEmpty()
