@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pluvio.plans import composites, forecasting, housekeeping, monitoring, spatial, verification
+from pluvio.plans import composites, forecasting, housekeeping, monitoring, outlines, spatial, verification
 from pluvio.plans._registry import QUERIES, SQL
 
-__all__ = ["composites", "flagship", "forecasting", "housekeeping", "monitoring", "oracle_sql", "queries", "spatial", "verification"]
+__all__ = ["composites", "flagship", "forecasting", "housekeeping", "monitoring", "oracle_sql", "outlines", "queries", "spatial", "verification"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

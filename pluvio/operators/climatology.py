@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from pluvio.functions import special
 from pluvio.functions.calendar import doy
@@ -149,6 +152,62 @@ def detrended(value: str, x: str, by: list[str], add_average: bool = False) -> C
     return y - line + (F.avg(y).over(w) if add_average else F.lit(0.0))
 
 
+#: Degrees beyond this are past what power sums in double precision tell apart.
+MOST_DEGREE = 8
+
+
+@F.pandas_udf(ArrayType(DoubleType()))
+def _solved(powers: pd.Series, products: pd.Series) -> pd.Series:
+    """Coefficients from the sums of u^k and of y u^k, of all series of a batch at once; null where they are not determined."""
+    if powers.empty:
+        return pd.Series([], dtype=object)
+    s, t = np.stack(powers.to_list()).astype(float), np.stack(products.to_list()).astype(float)
+    n = t.shape[1]
+    matrix = s[:, np.add.outer(np.arange(n), np.arange(n))]
+    out = np.full(len(t), None, dtype=object)
+    finite = np.flatnonzero(np.isfinite(matrix).all(axis=(1, 2)) & np.isfinite(t).all(axis=1))
+    told = finite[np.linalg.matrix_rank(matrix[finite], tol=1e-11 * s[finite, :1].max(axis=1)) == n]
+    for i, c in zip(told, np.linalg.solve(matrix[told], t[told, :, None])[:, :, 0], strict=True):
+        out[i] = c
+    return pd.Series(out)
+
+
+def polynomial_fit(df: DataFrame, value: str, x: str, by: list[str], degree: int) -> DataFrame:
+    """(by..., centre, half, coefficients): a polynomial of u = (x - centre) / half for each series, least squares.
+
+    Rows without x or value take no part. Sums of powers are partial aggregates, so that a long series is no task of its
+    own; u runs from -1 to 1, for their digits' sake. Coefficients are null where a series has no more distinct x than the
+    degree, or values that are not finite.
+    """
+    if not 1 <= degree <= MOST_DEGREE:
+        raise ValueError(f"a degree of {degree}, not 1 to {MOST_DEGREE}")
+    told = df.where(F.col(value).isNotNull() & F.col(x).isNotNull()).select(*by, F.col(x).cast("double").alias("_x"), F.col(value).cast("double").alias("_y"))
+    span = told.groupBy(*by).agg(((F.min("_x") + F.max("_x")) / 2).alias("centre"), ((F.max("_x") - F.min("_x")) / 2).alias("half"))
+    placed = told.join(span, by).withColumn("_u", F.when(F.col("half") > 0, (F.col("_x") - F.col("centre")) / F.col("half")).otherwise(F.lit(0.0)))
+    power = lambda k: F.pow("_u", F.lit(float(k)))
+    powers = F.array(*[F.sum(power(k)) for k in range(2 * degree + 1)]).alias("_s")
+    products = F.array(*[F.sum(F.col("_y") * power(k)) for k in range(degree + 1)]).alias("_t")
+    return placed.groupBy(*by, "centre", "half").agg(powers, products).select(*by, "centre", "half", _solved("_s", "_t").alias("coefficients"))
+
+
+def polynomial_detrended(df: DataFrame, value: str, x: str, by: list[str], degrees: tuple[int, ...] = (2,), add_average: bool = False) -> DataFrame:
+    """df with residual_<degree> for each degree: the value less its polynomial over x; the mean may be added back.
+
+    Null where the row has no x or value, a key is null, or the series does not determine the polynomial.
+    """
+    out = df
+    if add_average:
+        out = out.join(df.groupBy(*by).agg(F.avg(value).alias("_average")), by, "left")
+    for d in degrees:
+        out = out.join(polynomial_fit(df, value, x, by, d).withColumnsRenamed({c: f"_{c}" for c in ("centre", "half", "coefficients")}), by, "left")
+        u = F.when(F.col("_half") > 0, (F.col(x) - F.col("_centre")) / F.col("_half")).otherwise(F.lit(0.0))
+        curve = F.get("_coefficients", F.lit(d))
+        for k in reversed(range(d)):
+            curve = curve * u + F.get("_coefficients", F.lit(k))
+        out = out.withColumn(f"residual_{d}", F.col(value) - curve + (F.col("_average") if add_average else F.lit(0.0))).drop("_centre", "_half", "_coefficients")
+    return out.drop("_average")
+
+
 def mask_outliers(value: str, by: list[str], k: float = 5.0, strict: bool = False) -> Column:
     """Null beyond k times the 99 % quantile of the series (strict: also at it)."""
     limit = F.percentile(value, F.lit(0.99)).over(Window.partitionBy(*by)) * k

@@ -46,6 +46,19 @@ def agg2_rain_days(spark, sf_dir):
     return win.rain_days(t.obs_daily(spark, sf_dir), DAY, 90, threshold=5.0)
 
 
+@query(f"""WITH {t.SQL_MONTHLY}, x AS (SELECT *, CAST(time - DATE '1995-01-01' AS DOUBLE) / 1000 AS x FROM monthly WHERE precip IS NOT NULL),
+f AS (SELECT *, x - avg(x) OVER w AS p FROM x WINDOW w AS (PARTITION BY iy, ix)),
+q AS (SELECT *, p * p - avg(p * p) OVER w - sum(p * p * p) OVER w / nullif(sum(p * p) OVER w, 0) * p AS q FROM f WINDOW w AS (PARTITION BY iy, ix)),
+r AS (SELECT *, p * p * p - avg(p * p * p) OVER w - sum(p * p * p * p) OVER w / nullif(sum(p * p) OVER w, 0) * p - sum(p * p * p * q) OVER w / nullif(sum(q * q) OVER w, 0) * q AS r FROM q WINDOW w AS (PARTITION BY iy, ix)),
+s AS (SELECT *, precip - avg(precip) OVER w - sum(precip * p) OVER w / nullif(sum(p * p) OVER w, 0) * p - sum(precip * q) OVER w / nullif(sum(q * q) OVER w, 0) * q AS second, sum(precip * r) OVER w / nullif(sum(r * r) OVER w, 0) * r AS third FROM r WINDOW w AS (PARTITION BY iy, ix))
+SELECT iy, ix, time, round(second, 5) AS residual_2, round(second - third, 5) AS residual_3 FROM s""")
+def sta6_polynomial(spark, sf_dir):
+    """Monthly sums less a parabola and less a cubic of each cell; the SQL has the same curves by orthogonal polynomials."""
+    m = t.obs_monthly(spark, sf_dir).withColumn("x", F.datediff("time", F.lit("1995-01-01").cast("date")).cast("double"))
+    out = clim.polynomial_detrended(m, "precip", "x", CELL, (2, 3))
+    return out.select(*CELL, "time", *[F.round(f"residual_{d}", 5).alias(f"residual_{d}") for d in (2, 3)])
+
+
 @query(f"""WITH {t.SQL_OBS}, {_CLIM_SQL}, now AS (SELECT iy, ix, coalesce(sum(precip), 0) AS precip FROM obs WHERE {_LAST90} GROUP BY iy, ix)
 SELECT *, CAST(CASE WHEN pctscore >= 100 THEN 6 WHEN pctscore >= 90.01 THEN 5 WHEN pctscore >= 25 THEN 4 WHEN pctscore >= 10 THEN 3 WHEN pctscore >= 5 THEN 2 ELSE 1 END AS INTEGER) AS ear
 FROM (SELECT iy, ix, round(any_value(precip), 6) AS precip, round(any_value(precip) - avg(clim), 6) AS anomaly,
