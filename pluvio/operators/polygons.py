@@ -16,7 +16,7 @@ from .grid import bounds
 
 #: Digits of a degree that coordinates of overlays keep: a tenth of a millimetre.
 DIGITS = 9
-#: A vertex this near to the line between its neighbours, in degrees, is not a corner.
+#: A vertex this near to the one before it, or to the line between its neighbours, in degrees, is not a corner.
 STRAIGHT = 1e-8
 
 
@@ -136,9 +136,12 @@ def _walk(edge: pd.Series, after: pd.Series) -> pd.Series:
 
 
 def _corners(points: Column) -> Column:
-    """Points of an open ring without those on the line between their neighbours."""
-    n = F.size(points)
-    before = F.concat(F.slice(points, -1, 1), F.slice(points, 1, n - 1))
+    """Points of an open ring without those at their forerunner, and then those on the line between their neighbours."""
+    before = F.concat(F.slice(points, -1, 1), F.slice(points, 1, F.size(points) - 1))
+    steps = F.filter(F.arrays_zip(before.alias("a"), points.alias("b")), lambda t: F.hypot(t["b"]["lon"] - t["a"]["lon"], t["b"]["lat"] - t["a"]["lat"]) > STRAIGHT)
+    points = F.transform(steps, lambda t: t["b"])
+    n = F.greatest(F.size(points), F.lit(1))
+    before = F.concat(F.slice(points, F.greatest(F.size(points), F.lit(1)), 1), F.slice(points, 1, n - 1))
     behind = F.concat(F.slice(points, 2, n - 1), F.slice(points, 1, 1))
     three = F.arrays_zip(before.alias("a"), points.alias("b"), behind.alias("c"))
 
@@ -195,10 +198,11 @@ def _boxes(polygons: DataFrame, name: str, tile: float) -> DataFrame:
 
 
 def _banded(polygons: DataFrame, name: str, band: float) -> DataFrame:
-    """(name, x1, y1, x2, y2, _band, _lo, _hi): edges from south to north, a row for each band of latitude that they cross."""
+    """(name, x1, y1, x2, y2, _band, _lo, _hi): edges from south to north, their ends to DIGITS, a row for each
+    band of latitude that they cross."""
     e = polygons.select(F.col("region").alias(name), F.explode(_edges(F.col("ring"))).alias("e"))
     up = F.col("e.p.lat") < F.col("e.q.lat")
-    ends = [F.when(up, F.col(f"e.{a}.{c}")).otherwise(F.col(f"e.{b}.{c}")).alias(n) for n, a, b, c in (("x1", "p", "q", "lon"), ("y1", "p", "q", "lat"), ("x2", "q", "p", "lon"), ("y2", "q", "p", "lat"))]
+    ends = [F.round(F.when(up, F.col(f"e.{a}.{c}")).otherwise(F.col(f"e.{b}.{c}")), DIGITS).alias(n) for n, a, b, c in (("x1", "p", "q", "lon"), ("y1", "p", "q", "lat"), ("x2", "q", "p", "lon"), ("y2", "q", "p", "lat"))]
     edge = e.select(name, *ends).where("y1 < y2")
     banded = edge.withColumn("_band", F.explode(F.sequence(F.floor(F.col("y1") / band), F.ceil(F.col("y2") / band) - 1)))
     return banded.withColumns({"_lo": F.greatest("y1", F.col("_band") * band), "_hi": F.least("y2", (F.col("_band") + 1) * band)})
@@ -232,7 +236,8 @@ def overlay_pieces(first: DataFrame, second: DataFrame, band: float = 5.0) -> Da
     group = [*ids, "_band"]
     slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     lines = lambda df, s: df.select(*group, F.col("_lo").alias(f"_lo{s}"), F.col("_hi").alias(f"_hi{s}"), slope.alias(f"_m{s}"), (F.col("x1") - slope * F.col("y1")).alias(f"_k{s}"))
-    y = F.try_divide(F.col("_k1") - F.col("_k0"), F.col("_m0") - F.col("_m1"))
+    # Slabs thinner than the digits would have pieces whose sense is not known.
+    y = F.round(F.try_divide(F.col("_k1") - F.col("_k0"), F.col("_m0") - F.col("_m1")), DIGITS)
     crossings = lines(left, 0).join(lines(right, 1), group).select(*group, y.alias("_y"), F.greatest("_lo0", "_lo1").alias("_a"), F.least("_hi0", "_hi1").alias("_b")).where("_y > _a and _y < _b")
     cuts = edges.select(*group, F.explode(F.array("_lo", "_hi")).alias("_y")).unionByName(crossings.select(*group, "_y")).distinct()
     slabs = cuts.select(*group, F.col("_y").alias("_s"), F.lead("_y").over(Window.partitionBy(*group).orderBy("_y")).alias("_n")).where("_n is not null")
@@ -243,10 +248,11 @@ def overlay_pieces(first: DataFrame, second: DataFrame, band: float = 5.0) -> Da
     spots = spans.groupBy(*group, "_s", "_n", "_xs", "_xn").agg(*[F.count_if(F.col("_side") == s).alias(f"_n{s}") for s in (0, 1)])
     w = Window.partitionBy(*group, "_s").orderBy(F.col("_xs") + F.col("_xn"), "_xs")
     common = lambda s: F.sum(f"_n{s}").over(w) % 2 == 1
-    told = spots.withColumns({"_in": common(0) & common(1)}).withColumn("_was", F.lag("_in", 1, False).over(w)).where("_in <> _was")
-    ends = told.withColumns({"_xs2": F.lead("_xs").over(w), "_xn2": F.lead("_xn").over(w)}).where("_in and _xs2 is not null")
+    # Where digits put edges that meet past each other, the further one counts, so that no piece is turned over.
+    told = spots.withColumns({"_in": common(0) & common(1), "_es": F.max("_xs").over(w), "_en": F.max("_xn").over(w)}).withColumn("_was", F.lag("_in", 1, False).over(w)).where("_in <> _was")
+    ends = told.withColumns({"_es2": F.lead("_es").over(w), "_en2": F.lead("_en").over(w)}).where("_in and _es2 is not null")
     at = lambda x, lat: _point(F.col(x), F.col(lat))
-    return ends.select(*ids, F.array(at("_xs", "_s"), at("_xs2", "_s"), at("_xn2", "_n"), at("_xn", "_n"), at("_xs", "_s")).alias("ring"))
+    return ends.select(*ids, F.array(at("_es", "_s"), at("_es2", "_s"), at("_en2", "_n"), at("_en", "_n"), at("_es", "_s")).alias("ring"))
 
 
 def overlay_rings(first: DataFrame, second: DataFrame, band: float = 5.0) -> DataFrame:

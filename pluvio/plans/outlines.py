@@ -13,6 +13,8 @@ from ._registry import query
 
 #: Moves areas off rounding ties.
 _OFF_TIES = 1e-9
+#: The same for four digits of areas whose corners have nine.
+_OFF_COARSE_TIES = 3.1e-6
 
 # Corners of a dart, by its size, from the tip and turning left; the third is a notch.
 DART = [(1.0, 0.0), (-1.0, 0.8), (-0.3, 0.0), (-1.0, -0.8)]
@@ -40,12 +42,12 @@ area AS (SELECT id, name, sum(sign(x1 - x2) * (({_HEIGHT.format(y="yb")}) - ({_H
 
 
 @query(f"""WITH {t.SQL_CELLS}, {_DARTS}, rect(name, a, b, c, d) AS (VALUES ('Box', 158.0::DOUBLE, 172.0::DOUBLE, -22.0::DOUBLE, -8.0::DOUBLE), ('Ell', 158, 182, -22, -13), ('Ell', 158, 168, -13, 2)),
-{_CLIPPED} SELECT id, name AS other, round(area + {_OFF_TIES}, 6) AS area FROM area WHERE area > 1e-6""")
+{_CLIPPED} SELECT id, name AS other, round(area + {_OFF_COARSE_TIES}, 4) AS area FROM area WHERE area > 1e-6""")
 def jn14_overlay_rings(spark, sf_dir):
     """The common area of every customer's dart and each region, from the rings of the overlay."""
     common = p.overlay_rings(darts(spark, sf_dir), t.polygons(spark))
     area = common.groupBy(F.col("region").alias("id"), "other").agg(F.sum("area").alias("area")).where("area > 1e-6")
-    return area.select("id", "other", F.round(F.col("area") + _OFF_TIES, 6).alias("area"))
+    return area.select("id", "other", F.round(F.col("area") + _OFF_COARSE_TIES, 4).alias("area"))
 
 
 @query(f"""WITH {t.SQL_CELLS}, {_DARTS}, rect(name, a, b, c, d) AS (VALUES ('west', -1000.0::DOUBLE, 180.0::DOUBLE, -90.0::DOUBLE, 90.0::DOUBLE), ('east', 180, 1000, -90, 90)),

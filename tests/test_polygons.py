@@ -70,6 +70,14 @@ def test_overlays_of_like_touching_and_enclosed_rings(spark):
     assert p.overlay_rings(first.limit(0), second).count() == 0
 
 
+def test_crossings_beside_a_vertex(spark):
+    """A corner that lies on the other's edge, but for the last digit of a double."""
+    dart = [(182.0, -19.4), (178.39999999999998, -17.959999999999997), (179.66, -19.4), (178.39999999999998, -20.84), (182.0, -19.4)]
+    box = [(170.0, -22.0), (182.0, -22.0), (182.0, -13.0), (170.0, -13.0), (170.0, -22.0)]
+    (row,) = p.overlay_rings(frame(spark, [("a", dart)]), frame(spark, [("b", box)])).collect()
+    assert row["area"] == pytest.approx(area(dart), abs=1e-7)
+
+
 def test_outlines_of_random_pixels(spark):
     rng = random.Random(8)
     cells = [(k, float(x), float(y)) for k in range(5) for x in range(12) for y in range(12) if rng.random() < 0.6]
