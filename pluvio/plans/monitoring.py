@@ -9,7 +9,10 @@ from pluvio.functions import special
 from pluvio.operators import classify as cls
 from pluvio.operators import climatology as clim
 from pluvio.operators import windows as win
+from pluvio.sources import climatology as store
+from pluvio.sources import files
 from pluvio.sources import tables as t
+from pluvio.sources.steps import kept
 
 from ._registry import query
 
@@ -280,3 +283,22 @@ def stm3_replay(spark, sf_dir):
     obs = t.obs_daily(spark, sf_dir).withColumn("precip", F.coalesce("precip", F.lit(0.0)))
     sums = win.running_sums(obs, (30, 90)).withColumn("lag", F.datediff(F.lit(DAY).cast("date"), "time"))
     return sums.where(F.col("lag").between(1, 10)).select(*CELL, "lag", F.round("sum_30d", 6).alias("sum_30d"), F.round("sum_90d", 6).alias("sum_90d"))
+
+
+@query(f"""WITH {t.SQL_OBS}, s AS (SELECT iy, ix, time, CASE WHEN count(precip) OVER w = 3 THEN sum(precip) OVER w END AS sum_3d, {_DOY} AS doy FROM obs WINDOW w AS (PARTITION BY iy, ix ORDER BY time ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+g AS (SELECT CAST(time AS DATE) AS target, {_DOY} AS day FROM (SELECT max(time) - INTERVAL (91 * i) DAY AS time FROM obs, (SELECT unnest(range(4)) AS i) GROUP BY i)),
+c AS (SELECT target, (day + b - 1 + 365) % 365 + 1 AS doy FROM g, (SELECT unnest(range(-7, 8)) AS b))
+SELECT target, iy, ix, count(*) AS days, count(sum_3d) AS full_days, round(avg(sum_3d), 6) AS average, round(max(sum_3d), 6) AS most FROM s JOIN c USING (doy) GROUP BY target, iy, ix""")
+def src22_climatology_store(spark, sf_dir):
+    """Three-day sums of all years around the last day and three days before it, from a store by day of the year.
+
+    The store lies in a folder of its own while the query's rows, a few for each cell, are made from it."""
+    obs = t.obs_daily(spark, sf_dir)
+    sums = win.running_sums(obs, (3,)).select(*CELL, "time", "sum_3d")
+    last = t.table(spark, sf_dir, "lineitem").agg(F.to_date(F.max("l_shipdate")).alias("last"))
+    targets = last.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.date_sub("last", i * 91))).alias("time"))
+    with files.workspace(spark) as folder:
+        store.write_sums(sums, folder)
+        near = store.read_around(spark, folder, "iy int, ix int, time date, sum_3d double", targets, 7)
+        told = near.groupBy("target", *CELL).agg(F.count("*").alias("days"), F.count("sum_3d").alias("full_days"), F.round(F.avg("sum_3d"), 6).alias("average"), F.round(F.max("sum_3d"), 6).alias("most"))
+        return kept(told)
