@@ -8,6 +8,8 @@ from random import Random
 # Syllables and names that pages are written with.
 _SYLLABLES = "ba re ti lo mun ka sel dor vi an te ro ni ush pal gor em ist".split()
 _CONTENT = ["article", "main", "article class='post'", "div class='content'", "div id='main-content'", "section class='entry-content'", "div class='story-body'", "div class='article-text'", "div itemprop='articleBody'", "div class='post-body prose'"]
+#: Boxes around an article whose names say nothing, as many page builders write them.
+_UNNAMED = ["div", "section", "div class='css-1q7'", "div class='c4 x2'", "div id='r7'", "td"]
 _PLAIN = ["div", "section", "div class='wrapper'", "div class='row'", "div id='page'"]
 _BOXES = {
     "menu": ["nav", "nav class='menu'", "div class='nav'", "ul class='menu'", "div id='navigation'", "div class='breadcrumbs'", "div role='navigation'"],
@@ -48,8 +50,8 @@ class _Writer:
         r = self.random
         return self.words(1, 4, True) if r.random() < 0.2 else self.words(4, 90, r.random() < 0.9)
 
-    def content(self) -> tuple[str, list[str]]:
-        """Inner html of an article, with its blocks."""
+    def content(self, block: str = "p") -> tuple[str, list[str]]:
+        """Inner html of an article, with its blocks; block: the element of its paragraphs."""
         r, html, lines = self.random, "", []
 
         def add(tag: str, text: str, shown: str | None = None) -> str:
@@ -58,7 +60,14 @@ class _Writer:
 
         if r.random() < 0.8:
             title = add("h1", self.words(2, 16, r.random() < 0.6))
-            html += self.tagged("header", title) if r.random() < 0.01 else title
+            html += self.tagged("header", title) if r.random() < 0.1 else title
+        if block == "a":
+            # A list of stories: links are all that it has.
+            told = ""
+            for _ in range(r.randint(3, 9)):
+                lines.append(text := self.words(4, 16, r.random() < 0.3))
+                told += self.tagged("li", f"<a href='/s'>{escape(text)}</a>")
+            return html + self.tagged("ul", told), lines
         for _ in range(r.choice([1, 1, 2, 3, 5, 8, 13])):
             kind = r.random()
             text = self.paragraph()
@@ -76,7 +85,7 @@ class _Writer:
             elif kind < 0.43:
                 html += self.tagged("div", add("p", text))
             else:
-                html += add("p", text)
+                html += add(block, text)
             if r.random() < 0.06:
                 html += self.box(r.choice(["advert", "side", "form", "notice"]))
         return html, lines
@@ -103,8 +112,14 @@ class _Writer:
     def page(self) -> tuple[str, str]:
         r = self.random
         self.used = set()
-        article, lines = self.content()
-        tag = r.choice(_CONTENT)
+        tag, block = r.choice(_CONTENT), "p"
+        if (style := r.random()) < 0.35:
+            tag, block = r.choice(_UNNAMED), r.choice(["div", "div", "p"])
+        elif style < 0.5:
+            block = "div"
+        elif style < 0.6:
+            tag, block = r.choice(_CONTENT[:2]), "a"
+        article, lines = self.content(block)
         for kind, chance in (("comments", 0.2), ("form", 0.08), ("side", 0.08), ("footer", 0.06), ("menu", 0.05), ("advert", 0.08)):
             if r.random() < chance:
                 article += self.box(kind)

@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 
 import pytest
 
-from pluvio.llm import html_text, labelled_pages
+from pluvio.llm import html_text, labelled_pages, registry
 
 MODEL = html_text.train(labelled_pages.labelled_pages(400))
 
@@ -93,6 +93,29 @@ OWN_WORDS = [
 ]
 
 
+_FIRST, _SECOND = "The council met on Tuesday to discuss the new bridge over the river.", "Work is to begin in the spring, and it will last for two years."
+OWN_WORDS += [
+    # Prose in plain divs, alone and between a bar of links and a line about rights.
+    (f"<html><body><div class='css-77'><div>{_FIRST}</div><div>{_SECOND}</div></div></body></html>", [_FIRST, _SECOND]),
+    (f"<html><body><div><a href='/a'>Home</a> <a href='/b'>News</a></div><div class='css-77'><div>{_FIRST}</div><div>{_SECOND}</div></div><div>&copy; 2024 Site</div></body></html>", [_FIRST, _SECOND]),
+    # A title in the article's own header, while the page's header is none of it.
+    (f"<html><body><header class='masthead'><p>Daily Site</p></header><article><header><h1>A new bridge</h1></header><p>{_FIRST}</p><p>{_SECOND}</p></article></body></html>", ["A new bridge", _FIRST, _SECOND]),
+    # An article that is a list of links.
+    ("<html><body><article><h1>Ten links</h1><ul>" + "".join(f"<li><a href='/{i}'>The story number {i} of the week</a></li>" for i in range(4)) + "</ul></article></body></html>", ["Ten links", *[f"The story number {i} of the week" for i in range(4)]]),
+]
+
+
+@pytest.fixture(scope="module")
+def whole_model():
+    return html_text.train(labelled_pages.labelled_pages())
+
+
 @pytest.mark.parametrize("html, blocks", OWN_WORDS)
-def test_pages_written_by_hand(html, blocks):
-    assert html_text.train(labelled_pages.labelled_pages()).text(html).split("\n") == blocks
+def test_pages_written_by_hand(html, blocks, whole_model):
+    assert whole_model.text(html).split("\n") == blocks
+
+
+def test_query_counts_code_points(spark, sf_dir, whole_model):
+    rows = registry.op5_html_text(spark, sf_dir).collect()
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    assert sorted((r.page_id, r.url, r.text, r.n_chars) for r in rows) == sorted((p.page_id, p.url, t, len(t)) for p in pages for t in [whole_model.text(p.html or "")])
