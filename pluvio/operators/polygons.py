@@ -5,6 +5,8 @@ A ring is an array of (lon, lat) whose last point is its first. All is done in t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,11 @@ def _point(lon: Column, lat: Column) -> Column:
     return F.struct(lon.alias("lon"), lat.alias("lat"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, wherever the body names it, also in functions over arrays."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _edges(ring: Column) -> Column:
     """(p, q) for each edge; none for rings of fewer than two points."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))
@@ -32,13 +39,15 @@ def _edges(ring: Column) -> Column:
 
 def signed_area(ring: Column) -> Column:
     """Square degrees, above zero for rings that turn left; the first point is the origin, for the digits' sake."""
-    o = F.element_at(ring, 1)
 
-    def turn(e: Column) -> Column:
-        p, q = e["p"], e["q"]
-        return (p["lon"] - o["lon"]) * (q["lat"] - o["lat"]) - (q["lon"] - o["lon"]) * (p["lat"] - o["lat"])
+    def about(r: Column, o: Column) -> Column:
+        def turn(e: Column) -> Column:
+            p, q = e["p"], e["q"]
+            return (p["lon"] - o["lon"]) * (q["lat"] - o["lat"]) - (q["lon"] - o["lon"]) * (p["lat"] - o["lat"])
+
+        return F.aggregate(_edges(r), F.lit(0.0), lambda s, e: s + turn(e)) / 2
 
-    return F.aggregate(F.transform(_edges(ring), turn), F.lit(0.0), lambda s, v: s + v) / 2
+    return _let(ring, lambda r: _let(F.get(r, F.lit(0)), lambda o: about(r, o)))
 
 
 def ring_length(ring: Column) -> Column:
@@ -65,9 +74,10 @@ def clip_half_plane(ring: Column, axis: str, limit: float, below: bool = True) -
         none = F.slice(F.array(q), 1, 0)
         return F.concat(F.when(crosses, F.array(cut)).otherwise(none), F.when(within(q), F.array(q)).otherwise(none))
 
-    points = F.flatten(F.transform(_edges(ring), left))
-    closed = F.concat(points, F.slice(points, 1, 1))
-    return F.when(ring.isNull(), F.lit(None)).otherwise(F.when(F.abs(signed_area(closed)) > 0, closed).otherwise(F.slice(closed, 1, 0)))
+    # Each step is bound to a name: an expression that is written out wherever it is used is computed anew for every edge.
+    points = _let(ring, lambda r: F.flatten(F.transform(_edges(r), left)))
+    closed = _let(points, lambda p: F.concat(p, F.slice(p, 1, 1)))
+    return _let(closed, lambda c: F.when(F.abs(signed_area(c)) > 0, c).when(c.isNotNull(), F.slice(c, 1, 0)))
 
 
 def split_at_meridian(polygons: DataFrame, seam: float = 180.0, turn: float = -360.0) -> DataFrame:

@@ -23,6 +23,8 @@ DART = [(1.0, 0.0), (-1.0, 0.8), (-0.3, 0.0), (-1.0, -0.8)]
 def darts(spark, sf_dir):
     """(region, ring): a concave ring for each customer around its nation's cell, as large as its balance says."""
     c = t.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("k"), F.col("c_acctbal").cast("double").alias("balance"))
+    # A small file is read by one task, but each of its rows is much work.
+    c = c.repartition("c_custkey")
     at = c.join(t.cells(spark, sf_dir).select("k", "lon", "lat"), "k")
     lon, lat = F.col("lon") + (F.col("c_custkey") % 11 - 5) / 10.0, F.col("lat") + (F.col("c_custkey") % 13 - 6) / 10.0
     size = F.floor(F.abs("balance")) % 40 / 10.0 + 1

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +121,16 @@ def test_rings_split_at_the_antimeridian(spark):
     east = p.split_at_meridian(frame(spark, [("fork", fork)])).where("part = 'east'")
     apart = p.dissolved(east, ["region"]).collect()
     assert len(apart) == 2 and sum(r["area"] for r in apart) == pytest.approx(area(points(east.first())))
+
+
+def test_a_cut_takes_time_in_proportion_to_the_ring(spark):
+    """Each step of a cut is computed once, not anew for every edge."""
+    n = 1500
+    angles = [2 * math.pi * i / n for i in range(n)]
+    ring = [(180.5 + math.cos(a), math.sin(a)) for a in angles]
+    ring.append(ring[0])
+    start = time.monotonic()
+    rows = p.split_at_meridian(frame(spark, [("round", ring)])).select("part", p.signed_area(F.col("ring")).alias("area")).collect()
+    assert time.monotonic() - start < 20
+    assert {r["part"] for r in rows} == {"west", "east"}
+    assert sum(r["area"] for r in rows) == pytest.approx(area(ring), abs=1e-9)
