@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from pluvio.sources.steps import kept
+from pluvio.sources.steps import dealer, kept
 
 from .grid import bounds
 
@@ -20,6 +20,8 @@ from .grid import bounds
 DIGITS = 9
 #: A vertex this near to the one before it, or to the line between its neighbours, in degrees, is not a corner.
 STRAIGHT = 1e-8
+#: Rows of a step that one task holds.
+ROWS = 100_000
 
 
 def _point(lon: Column, lat: Column) -> Column:
@@ -99,6 +101,9 @@ def outline_edges(pieces: DataFrame, by: list[str]) -> DataFrame:
     those along an axis by a running sum on their line, so that edges of other lengths cancel too and neighbours on a line
     become one, all others where their ends are alike.
     """
+    # Both kinds of edges read the pieces.
+    pieces = kept(pieces)
+    dealt = dealer(pieces, ROWS // 2)
     sense = F.signum(signed_area(F.col("ring")))
     told = pieces.withColumn("_sense", sense).where("_sense <> 0").select(*by, "_sense", F.explode(_edges(F.col("ring"))).alias("_e"))
     p, q = F.col("_e.p"), F.col("_e.q")
@@ -113,7 +118,7 @@ def outline_edges(pieces: DataFrame, by: list[str]) -> DataFrame:
     steps = F.inline(F.array(step(start, F.col("_sense")), step(end, -F.col("_sense"))))
     # An edge that runs backwards starts at its far end: its steps are +sense there and -sense at the near one, so that the
     # running sum over its extent is -sense.
-    sums = flat.select(*by, level.alias("_level"), line.alias("_line"), steps).groupBy(*by, "_level", "_line", "_at").agg(F.sum("_d").alias("_d")).where("_d <> 0")
+    sums = dealt(flat.select(*by, level.alias("_level"), line.alias("_line"), steps), *by, "_level", "_line").groupBy(*by, "_level", "_line", "_at").agg(F.sum("_d").alias("_d")).where("_d <> 0")
     w = Window.partitionBy(*by, "_level", "_line").orderBy("_at")
     runs = sums.select(*by, "_level", "_line", F.col("_at").alias("_a"), F.lead("_at").over(w).alias("_b"), F.sum("_d").over(w).alias("_net")).where("_net <> 0 and _b is not null")
     a, b = F.when(F.col("_net") > 0, F.col("_a")).otherwise(F.col("_b")), F.when(F.col("_net") > 0, F.col("_b")).otherwise(F.col("_a"))
@@ -125,7 +130,7 @@ def outline_edges(pieces: DataFrame, by: list[str]) -> DataFrame:
     swap = F.col("ax") > F.col("bx")
     ends = [F.when(swap, high).otherwise(low).alias("_l"), F.when(swap, low).otherwise(high).alias("_h")]
     slant = edge.where(~level & (F.col("ax") != F.col("bx"))).select(*by, *ends, F.when(forth, 1).otherwise(-1).alias("_d"))
-    slant = slant.groupBy(*by, "_l", "_h").agg(F.sum("_d").alias("_net")).where("_net <> 0")
+    slant = dealt(slant, *by, "_l", "_h").groupBy(*by, "_l", "_h").agg(F.sum("_d").alias("_net")).where("_net <> 0")
     ahead = F.col("_net") > 0
     pick = lambda c, f: F.when(ahead if f else ~ahead, F.col(f"_l.{c}")).otherwise(F.col(f"_h.{c}"))
     return along.unionByName(slant.select(*by, pick("x", True).alias("ax"), pick("y", True).alias("ay"), pick("x", False).alias("bx"), pick("y", False).alias("by_")))
@@ -170,21 +175,24 @@ def rings(edges: DataFrame, by: list[str]) -> DataFrame:
     the longest ring has binary digits; nothing but a single ring, which is a row in the end, is ever in one task.
     """
     numbered = kept(edges.withColumn("_e", F.monotonically_increasing_id()))
+    # Rows of a few numbers, sorted once a step.
+    dealt = dealer(numbered, 4 * ROWS)
     behind = numbered.select(*by, F.col("_e").alias("_next"), F.col("ax").alias("bx"), F.col("ay").alias("by_"), F.col("bx").alias("_cx"), F.col("by_").alias("_cy"))
     ux, uy, vx, vy = F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay"), F.col("_cx") - F.col("bx"), F.col("_cy") - F.col("by_")
     turn = F.atan2(ux * vy - uy * vx, ux * vx + uy * vy)
-    met = numbered.join(behind, [*by, "bx", "by_"]).groupBy("_e").agg(F.max_by("_next", turn).alias("_next"))
+    ends = [*by, "bx", "by_"]
+    met = dealt(dealt(numbered, *ends).join(dealt(behind, *ends), ends).select("_e", "_next", turn.alias("_turn")), "_e").groupBy("_e").agg(F.max_by("_next", "_turn").alias("_next"))
     follow = kept(met)
     leap = follow.select("_e", F.col("_next").alias("_to"), F.least("_e", "_next").alias("_low"))
     changed = True
     while changed:
         target = leap.select(F.col("_e").alias("_to"), F.col("_to").alias("_far"), F.col("_low").alias("_other"))
-        leap = kept(leap.join(target, "_to").select("_e", F.col("_far").alias("_to"), F.least("_low", "_other").alias("_low"), (F.col("_other") < F.col("_low")).alias("_less")))
+        leap = kept(dealt(leap, "_to").join(dealt(target, "_to"), "_to").select("_e", F.col("_far").alias("_to"), F.least("_low", "_other").alias("_low"), (F.col("_other") < F.col("_low")).alias("_less")))
         changed = not leap.where("_less").isEmpty()
         leap = leap.drop("_less")
-    whole = numbered.join(leap.select("_e", "_low"), "_e").join(follow, "_e")
+    whole = dealt(numbered, "_e").join(dealt(leap.select("_e", "_low"), "_e"), "_e").join(dealt(follow, "_e"), "_e")
     at = F.struct("_e", "_next", _point(F.col("ax"), F.col("ay")).alias("p"))
-    ring = whole.groupBy(*by, "_low").agg(F.sort_array(F.collect_list(at)).alias("_m"))
+    ring = dealt(whole.select(*by, "_low", at.alias("_at")), *by, "_low").groupBy(*by, "_low").agg(F.sort_array(F.collect_list("_at")).alias("_m"))
     ring = ring.withColumn("_order", _walk(F.transform("_m", lambda m: m["_e"]), F.transform("_m", lambda m: m["_next"])))
     points = ring.withColumn("_p", F.transform("_order", lambda i: F.get(F.col("_m"), i)["p"]))
     bent = points.withColumn("_c", _corners(F.col("_p"))).where(F.size("_c") > 2)
@@ -231,9 +239,11 @@ def overlay_pieces(first: DataFrame, second: DataFrame, band: float = 5.0) -> Da
     not cross itself or another of its region. Polygons meet by equality of the tiles of their boxes. In bands of `band`
     degrees, the latitudes of all vertices and crossings cut slabs within which no edges cross; in a slab's order of edges,
     what lies between an edge and the next is common if an odd number of each polygon's edges lies before. The work in a
-    band is its edges times its slabs, so that bands should be narrow where outlines are fine.
+    band is its edges times its slabs, so that bands should be narrow where outlines are fine. Each step is dealt over tasks by
+    its rows.
     """
     ids = ["region", "other"]
+    first = dealer(first, ROWS // 2)(first, "region")
     a, b = _boxes(first, "region", band), _boxes(second, "other", band)
     apart = " and ".join(f"region_{c}_min < other_{c}_max and other_{c}_min < region_{c}_max" for c in ("lon", "lat"))
     reach = [F.greatest("region_lat_min", "other_lat_min").alias("_south"), F.least("region_lat_max", "other_lat_max").alias("_north")]
@@ -241,18 +251,20 @@ def overlay_pieces(first: DataFrame, second: DataFrame, band: float = 5.0) -> Da
     shared = (F.col("_hi") > F.col("_south")) & (F.col("_lo") < F.col("_north"))
     own = lambda df, name: pairs.join(_banded(df, name, band), name).where(shared).drop("_south", "_north")
     left, right = own(first, "region").withColumn("_side", F.lit(0)), own(second, "other").withColumn("_side", F.lit(1))
-    edges = left.unionByName(right)
+    edges = kept(left.unionByName(right))
+    left, right = (edges.where(F.col("_side") == s) for s in (0, 1))
 
     group = [*ids, "_band"]
+    dealt = dealer(edges, ROWS)
     slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     lines = lambda df, s: df.select(*group, F.col("_lo").alias(f"_lo{s}"), F.col("_hi").alias(f"_hi{s}"), slope.alias(f"_m{s}"), (F.col("x1") - slope * F.col("y1")).alias(f"_k{s}"))
     # Slabs thinner than the digits would have pieces whose sense is not known.
     y = F.round(F.try_divide(F.col("_k1") - F.col("_k0"), F.col("_m0") - F.col("_m1")), DIGITS)
-    crossings = lines(left, 0).join(lines(right, 1), group).select(*group, y.alias("_y"), F.greatest("_lo0", "_lo1").alias("_a"), F.least("_hi0", "_hi1").alias("_b")).where("_y > _a and _y < _b")
-    cuts = edges.select(*group, F.explode(F.array("_lo", "_hi")).alias("_y")).unionByName(crossings.select(*group, "_y")).distinct()
+    crossings = dealt(lines(left, 0), *group).join(dealt(lines(right, 1), *group), group).select(*group, y.alias("_y"), F.greatest("_lo0", "_lo1").alias("_a"), F.least("_hi0", "_hi1").alias("_b")).where("_y > _a and _y < _b")
+    cuts = dealt(edges.select(*group, F.explode(F.array("_lo", "_hi")).alias("_y")).unionByName(crossings.select(*group, "_y")), *group).distinct()
     slabs = cuts.select(*group, F.col("_y").alias("_s"), F.lead("_y").over(Window.partitionBy(*group).orderBy("_y")).alias("_n")).where("_n is not null")
 
-    through = slabs.join(edges, group).where("_lo <= _s and _hi >= _n")
+    through = slabs.join(dealt(edges, *group), group).where("_lo <= _s and _hi >= _n")
     spans = through.select(*group, "_s", "_n", "_side", F.round(_x_at(F.col("_s")), DIGITS).alias("_xs"), F.round(_x_at(F.col("_n")), DIGITS).alias("_xn"))
     # Edges at one place are taken as one, those without a width between them part nothing.
     spots = spans.groupBy(*group, "_s", "_n", "_xs", "_xn").agg(*[F.count_if(F.col("_side") == s).alias(f"_n{s}") for s in (0, 1)])

@@ -1,7 +1,9 @@
-"""Results that are read again, in the folder that the cluster's machines share."""
+"""Results that are read again, in the folder that the cluster's machines share, and over how many tasks rows are dealt."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 
@@ -19,3 +21,18 @@ def kept(df: DataFrame) -> DataFrame:
             folder = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def dealer(df: DataFrame, rows: int) -> Callable[..., DataFrame]:
+    """What deals a frame over tasks by the given keys, so that a task holds about `rows` of the rows of `df` or fewer.
+
+    Spark sizes the partitions of a shuffle by its bytes alone; a step that makes many rows of one, or sorts them several
+    times, would hold ever more in a task. A frame of no more than `rows` for each core stays as it is. There are never fewer
+    partitions than spark.sql.shuffle.partitions, to which a join would deal its sides again. `df` is counted, which costs
+    little for what is kept.
+    """
+    n, context = df.count(), df.sparkSession.sparkContext
+    if n <= rows * context.defaultParallelism:
+        return lambda frame, *_: frame
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // rows))
+    return lambda frame, *keys: frame.repartition(parts, *keys)

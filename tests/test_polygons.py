@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pluvio.operators import grid as g
 from pluvio.operators import polygons as p
+from pluvio.sources import steps
 
 SCHEMA = "region string, ring array<struct<lon:double,lat:double>>"
 
@@ -134,3 +135,18 @@ def test_a_cut_takes_time_in_proportion_to_the_ring(spark):
     assert time.monotonic() - start < 20
     assert {r["part"] for r in rows} == {"west", "east"}
     assert sum(r["area"] for r in rows) == pytest.approx(area(ring), abs=1e-9)
+
+
+def test_the_rows_of_a_task_do_not_grow_with_the_input(spark, monkeypatch):
+    many = spark.range(1000)
+    dealt = steps.dealer(many, 20)(many, "id")
+    assert dealt.rdd.getNumPartitions() == 50 and dealt.count() == 1000
+    assert steps.dealer(many, 250)(many, "id") is many
+    counted = []
+    monkeypatch.setattr(p, "dealer", lambda df, rows: counted.append(df.count()) or steps.dealer(df, rows))
+    monkeypatch.setattr(p, "ROWS", 4)
+    square = lambda x, y, s: [(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]
+    first = frame(spark, [(f"a{i}", square(i * 3.0, 0.5, 2.0)) for i in range(20)])
+    rows = p.overlay_rings(first, frame(spark, [("b", square(0.0, 0.0, 100.0))])).collect()
+    assert len(rows) == 20 and all(r["area"] == pytest.approx(4.0) for r in rows)
+    assert len(counted) == 4 and min(counted) > 4, "polygons, edges in bands, pieces, edges of outlines"
