@@ -143,7 +143,8 @@ def variants(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the word itself if it has none. Rows that repeat an id and a text count as often as they stand. Other columns are not
     read. An empty table gives no rows.
     """
-    told = documents.select(F.col(id_col).alias("id"), F.explode(words_of(F.col(text_col))).alias("word"))
+    # No letter is ever added, so that shorter runs are no words, and need no checksum.
+    told = documents.select(F.col(id_col).alias("id"), F.explode(words_of(F.col(text_col))).alias("word")).where(F.length("word") >= min_chars)
     with Scratch(documents.sparkSession) as scratch:
         words = scratch.stored(vocabulary(told.select(misspelt(F.col("word"), F.col("id"), every).alias("word")), min_chars, min_count))
         near = near_words(words, crowd)

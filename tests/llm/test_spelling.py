@@ -103,3 +103,10 @@ def test_query_over_the_table(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = _got(registry.op12_spelling(spark, sf_dir))
     assert got == _variants(rows) and any(v[2] for v in got.values())
+
+
+def test_runs_too_short_for_words_get_no_checksum(spark, monkeypatch):
+    long = lambda word, *_: F.when(F.length(word) >= 7, word).otherwise(F.raise_error(F.lit("a short run")).cast("string"))
+    monkeypatch.setattr(spelling, "misspelt", long)
+    docs = spark.createDataFrame([(1, "a rather lengthy sentence"), (2, "the same lengthy one")], "doc_id long, text string")
+    assert [(r.word, r.n) for r in spelling.variants(docs).collect()] == [("lengthy", 2)]
