@@ -227,8 +227,8 @@ def _crowd_links(entries: DataFrame, evidence: DataFrame, edits: int, crowd: int
             return links
 
 
-def _classes(docs: DataFrame, edits: int, min_chars: int, exact_chars: int | None, crowd: int, scratch: Scratch) -> DataFrame:
-    """line_classes() of docs (id, text), reading tables of `scratch`."""
+def _classes(docs: DataFrame, edits: int, min_chars: int, exact_chars: int | None, crowd: int, scratch: Scratch, named: dict[str, Column]) -> DataFrame:
+    """line_classes() of docs (id, text), with the columns `named` of a line for the line, reading tables of `scratch`."""
     lines = _lines(docs.where("id is not null")).where(F.length("line") >= _least(min_chars, exact_chars))
     distinct = lines.groupBy("line").agg(F.min(_position()).alias("first"), F.count("*").alias("times"))
     # The numbers are unique, and fixed as the table is written.
@@ -263,8 +263,10 @@ def _classes(docs: DataFrame, edits: int, min_chars: int, exact_chars: int | Non
     groups = components(scratch.stored(found)).withColumnRenamed("node", "id")
     joined = scratch.stored(groups.join(distinct.select("id", "first"), "id"))
     first = joined.groupBy("component").agg(F.min("first").alias("class_first"))
-    named = joined.join(first, "component").select("id", "class_first")
-    return distinct.join(named, "id", "left").select("line", *[v.alias(k) for k, v in _key().items()], "first", "times", F.coalesce("class_first", "first").alias("class_first"))
+    placed = joined.join(first, "component").select("id", "class_first")
+    # What is wanted of the lines is taken before the join, so that their keys travel, not their texts.
+    brief = distinct.select("id", "first", "times", *[v.alias(k) for k, v in named.items()])
+    return brief.join(placed, "id", "left").select(*named, "first", "times", F.coalesce("class_first", "first").alias("class_first"))
 
 
 def _checked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int) -> DataFrame:
@@ -282,8 +284,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     decimal. Lines of null ids are left out. Buckets of more than `crowd` members are cut anew, which finds the same links.
     """
     with Scratch(docs.sparkSession) as scratch:
-        classes = _classes(_checked(docs, id_col, text_col, edits, min_chars), edits, min_chars, exact_chars, crowd, scratch)
-        return shared(classes.select("line", "first", "times", "class_first"))
+        classes = _classes(_checked(docs, id_col, text_col, edits, min_chars), edits, min_chars, exact_chars, crowd, scratch, {"line": F.col("line")})
+        return shared(classes)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, exact_chars: int | None = None, crowd: int = CROWD) -> DataFrame:
@@ -299,7 +301,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     plain = _checked(docs, id_col, text_col, edits, min_chars)
     with Scratch(docs.sparkSession) as scratch:
-        groups = _classes(plain, edits, min_chars, exact_chars, crowd, scratch)
+        groups = _classes(plain, edits, min_chars, exact_chars, crowd, scratch, _key())
         repeated = shared(groups.where("times > 1 or first <> class_first").select(*_NAMES, "class_first"))
     lines = _lines(plain.where("id is not null")).where(F.length("line") >= _least(min_chars, exact_chars))
     found = lines.select(_position().alias("_position"), F.col("id").alias("_id"), "n", *[v.alias(k) for k, v in _key().items()])

@@ -611,3 +611,21 @@ def test_digests(spark, sf_dir):
     text = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id = 5").first().text
     assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert pa.types.is_string(pa.array([row.ids_sha256]).type) and len(row.ids_sha256) == 64
+
+
+def test_texts_of_lines_do_not_travel_to_their_classes(spark, monkeypatch):
+    """The join of the lines with their classes takes their keys alone."""
+    joined, keep = [], line_dedup.shared
+
+    def noted(df):
+        node = df._jdf.queryExecution().optimizedPlan()
+        while node.nodeName() != "Join":
+            node = node.children().head()
+        joined.append(re.findall(r"(\w+)#", node.left().output().mkString(",")))
+        return keep(df)
+
+    monkeypatch.setattr(line_dedup, "shared", noted)
+    line = "A line that stands in two documents, word for word."
+    rows = line_dedup.dedup_lines(spark.createDataFrame([(1, f"{line}\nand more"), (2, line)], DOC)).orderBy("doc_id").collect()
+    assert [r.dropped for r in rows] == [[], [0]]
+    assert len(joined) == 1 and "line" not in joined[0] and {"id", "_k1", "_k2", "_k3"} <= set(joined[0])
