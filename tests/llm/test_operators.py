@@ -629,3 +629,53 @@ def test_texts_of_lines_do_not_travel_to_their_classes(spark, monkeypatch):
     rows = line_dedup.dedup_lines(spark.createDataFrame([(1, f"{line}\nand more"), (2, line)], DOC)).orderBy("doc_id").collect()
     assert [r.dropped for r in rows] == [[], [0]]
     assert len(joined) == 1 and "line" not in joined[0] and {"id", "_k1", "_k2", "_k3"} <= set(joined[0])
+
+
+def _marked_ids(spark, n, step):
+    lines = spark.range(n).select((F.col("id") % 3 * (1 << 33) + F.col("id")).alias("id"), F.lit("x").alias("line"))
+    wanted = lines.where(F.col("line").isNotNull() & (F.pmod("id", F.lit(step)) == 0)).select("id")
+    return [{r.id for r in df.collect()} for df in (line_dedup._marked(lines, wanted), wanted)]
+
+
+@pytest.mark.parametrize("marks", [1, 8, 70_000, line_dedup.MARKS])
+def test_marked_lines_hold_all_that_are_wanted(spark, monkeypatch, marks):
+    monkeypatch.setattr(line_dedup, "MARKS", marks)
+    got, wanted = _marked_ids(spark, 5000, 40)
+    assert wanted and wanted <= got and (marks > 8 or len(got) == 5000) and (marks < 70_000 or len(got) < 600)
+    lines = spark.createDataFrame([(1, "x")], "id long, line string")
+    assert line_dedup._marked(lines, lines.select("id").limit(0)).count() == 0
+
+
+def _shuffled(spark):
+    """Bytes that the session's stages have shuffled so far."""
+    gateway, context = spark.sparkContext._gateway, spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty(30_000)
+    stages = context.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_of_lines_without_a_near_one_stay_where_they_are(spark, monkeypatch):
+    """Where no table is broadcast unasked, as at size, only texts of lines that share a segment are shuffled for the evidence."""
+    moved, keep = [], line_dedup.Scratch.stored
+
+    def noted(scratch, df):
+        before = _shuffled(spark)
+        out = keep(scratch, df)
+        if "letters" in df.columns:
+            moved.extend([_shuffled(spark) - before, out.count()])
+        return out
+
+    monkeypatch.setattr(line_dedup.Scratch, "stored", noted)
+    rng = random.Random(12)
+    alone = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)).strip() for _ in range(400)]
+    near = ["a line that stands here and, nearly, there", "a line that stand here and, nearly, there"]
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for k in settings:
+            spark.conf.set(k, "-1")
+        rows = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate([*alone, *near])), DOC)).where("size(dropped) > 0").collect()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert [(r.doc_id, r.dropped) for r in rows] == [(401, [0])]
+    assert moved[1] == 2 and moved[0] < 20_000 < sum(map(len, alone)) / 10
